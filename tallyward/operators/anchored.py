@@ -50,7 +50,7 @@ def _marked_failures(df: DataFrame, key: str, ts: str, seq: Sequence[str], faile
     followed = F.coalesce(F.col("_next_failed") & (F.col("_next_us") - F.col(US) <= span), F.lit(False))
     marked = seen.select(
         key,
-        ts,
+        US,
         *seq,
         (~follows).alias("_sure"),
         F.when(~F.col("_next_failed"), F.col("_next_us")).alias("_reset"),
@@ -212,7 +212,7 @@ def anchored_groups(
     span = span_micros(within)
     width = slot_width(span)
     marked = _marked_failures(df, key, ts, seq, failed, times, span)
-    rows = with_slots(marked, ts, ahead=span, width=width).drop(ts)
+    rows = with_slots(marked, US, ahead=span, width=width)
     key_type = df.schema[key].dataType.simpleString()
 
     def sorted_slots(frame: DataFrame) -> DataFrame:

@@ -60,17 +60,20 @@ def with_lateness(
     lateness: Span = ALLOWED_LATENESS,
     tie: Sequence[str] = (),
     block: int = _BLOCK,
+    seen_until: int | None = None,
 ) -> DataFrame:
     """Add ``_first`` / ``_last`` (window ends still open to the row, microseconds) and ``channel``.
 
     The watermark at a row is the largest event time of the rows before it minus ``delay``. A window takes
     the row unless ``window end - 1 ms + lateness <= watermark``; a row that no window takes is ``late``.
+    ``seen_until`` is the largest event time (microseconds) of rows that came before the whole table.
     """
     size_us, slide_us = span_micros(size), span_micros(slide)
     us = micros(ts)
     seen = running_max_before(df, seq, us, tie, block)
     # Window ends up to this instant are closed; NULL before the first row.
-    closed = F.col("_max_before") - F.lit(span_micros(delay)) + F.lit(_MILLI) - F.lit(span_micros(lateness))
+    latest = F.greatest(F.col("_max_before"), F.lit(seen_until).cast("bigint"))
+    closed = latest - F.lit(span_micros(delay)) + F.lit(_MILLI) - F.lit(span_micros(lateness))
     first, last = first_window_end(us, size_us, slide_us), last_window_end(us, size_us, slide_us)
     offset = size_us % slide_us
     after_closed = floor_to(closed - F.lit(offset), slide_us) + F.lit(slide_us + offset)

@@ -28,6 +28,11 @@ def keyed_text(template: str, key: str) -> Column:
     return F.concat(F.lit(before), F.col(key).cast("string"), F.lit(after))
 
 
+def lifecycle_text(channel: str) -> Column:
+    texts = F.create_map(*[F.lit(word) for pair in LIFECYCLE_TEXTS.items() for word in pair])
+    return texts[F.col(channel)]
+
+
 def followed_by(
     df: DataFrame,
     key: str,
@@ -83,14 +88,10 @@ def life_cycle(
         .when(payed - created < span_micros(within), PAYED)
         .otherwise(LATE_PAY)
     )
-    result = firsts.withColumn("channel", channel)
-    text = F.when(F.lit(False), F.lit(""))
-    for name, message in LIFECYCLE_TEXTS.items():
-        text = text.when(F.col("channel") == name, message)
-    return result.select(
+    return firsts.withColumn("channel", channel).select(
         *keys,
         F.timestamp_micros("_create").alias("create_ts"),
         F.timestamp_micros("_pay").alias("pay_ts"),
         "channel",
-        text.alias("result_msg"),
+        lifecycle_text("channel").alias("result_msg"),
     )

@@ -24,7 +24,9 @@ def slot_width(reach: int) -> int:
 
 
 def with_slots(df: DataFrame, ts: str, back: int = 0, ahead: int = 0, width: int | None = None) -> DataFrame:
-    """Add ``_us`` (event time in microseconds), ``_slot`` (start of the slot) and ``_own``.
+    """Replace ``ts`` by ``_us`` (event time in microseconds), ``_slot`` (start of the slot) and ``_own``.
+
+    ``ts`` is a timestamp column, or ``_us`` itself where that is already there.
 
     A row is placed in its own slot (``_own``) and, as context, in each other slot that needs it: a
     slot sees the rows up to ``back`` before its start and up to ``ahead`` after its end, inclusive.
@@ -34,8 +36,5 @@ def with_slots(df: DataFrame, ts: str, back: int = 0, ahead: int = 0, width: int
         raise ValueError("a slot must be at least as long as the reach")
     us = F.col(US)
     slots = F.sequence(floor_to(us - F.lit(ahead), width), floor_to(us + F.lit(back), width), F.lit(width))
-    return (
-        df.withColumn(US, micros(ts))
-        .withColumn(SLOT, F.explode(slots))
-        .withColumn(OWN, F.col(SLOT) == floor_to(us, width))
-    )
+    timed = df if ts == US else df.withColumn(US, micros(ts)).drop(ts)
+    return timed.withColumn(SLOT, F.explode(slots)).withColumn(OWN, F.col(SLOT) == floor_to(us, width))

@@ -50,7 +50,8 @@ def visitor_bitmaps(
     """One bit per visitor: ``window_end, bucket, bitmap`` (4 KiB of bits per row).
 
     Bitmaps of the same bucket merge with ``bitmap_or_agg``; a window needs at most 2^bits / 32768 rows.
-    Equal bits are removed before the bitmaps are built, so a hot window shuffles each bit once per map task.
+    Equal bits are removed first, so a much seen visitor is shuffled once per map task. The remaining positions
+    are then brought together by bucket: positions are shuffled, never half-empty bitmaps.
     """
     offset = poly_offset(key, base, bits)
     bits_set = _with_end(df, ts, size).select("window_end", offset.alias("_offset")).distinct()
@@ -60,6 +61,7 @@ def visitor_bitmaps(
             F.bitmap_bucket_number("_offset").alias("bucket"),
             F.bitmap_bit_position("_offset").alias("_position"),
         )
+        .repartition("window_end", "bucket")
         .groupBy("window_end", "bucket")
         .agg(F.bitmap_construct_agg("_position").alias("bitmap"))
     )
