@@ -90,9 +90,9 @@ def with_partner_flag(
     both = one.unionByName(two, allowMissingColumns=True)
     rows = with_slots(both, "_ts", back=span, ahead=span)
     group = Window.partitionBy("_on", SLOT)
-    running = (Window.unboundedPreceding, 0)
-    before = group.orderBy(F.asc(US)).rowsBetween(*running)
-    after = group.orderBy(F.desc(US)).rowsBetween(*running)
+    # Range frames: rows of the same instant are seen from both directions.
+    before = group.orderBy(F.asc(US)).rangeBetween(Window.unboundedPreceding, 0)
+    after = group.orderBy(F.desc(US)).rangeBetween(Window.unboundedPreceding, 0)
 
     def nearest(side: int, line) -> Column:
         return F.last(F.when(F.col("_side") == side, F.col(US)), ignorenulls=True).over(line)

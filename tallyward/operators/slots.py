@@ -3,8 +3,8 @@
 Rules that look a bounded time back or ahead need not hold a key's whole history in one
 task. Rows are keyed by (key, time slot), and the rows within reach of a slot's edge are copied
 to the neighbouring slot as context. A key that holds a third of all rows is then spread over as
-many tasks as its history has slots. Slots are ``SLOT_FACTOR`` times as long as the reach, so about
-one row in ``SLOT_FACTOR`` is copied.
+many tasks as its history has slots. Slots are at least ``SLOT_FACTOR`` times as long as the reach, so at most
+about one row in ``SLOT_FACTOR`` is copied per direction; for short reaches ``MIN_SLOT`` makes copies rarer still.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from tallyward.functions.timing import floor_to, micros
 
 SLOT_FACTOR = 4
+MIN_SLOT = 60_000_000
 
 US, SLOT, OWN = "_us", "_slot", "_own"
 
 
 def slot_width(reach: int) -> int:
-    return max(SLOT_FACTOR * reach, 1)
+    return max(SLOT_FACTOR * reach, MIN_SLOT)
 
 
 def with_slots(df: DataFrame, ts: str, back: int = 0, ahead: int = 0, width: int | None = None) -> DataFrame:

@@ -568,7 +568,7 @@ def _cut_values(spark, sf_dir) -> DataFrame:
     rows = _behavior_rows(tables.events(spark, sf_dir))
     whole = lines.encode_records(rows, schemas.USER_BEHAVIOR)
     return whole.select(
-        F.when(F.split("value", ",")[3] == "error", F.regexp_replace("value", ",[^,]*$", ""))
+        F.when(F.col("value").contains(",error,"), F.substring_index("value", ",", 4))
         .otherwise(F.col("value"))
         .alias("value")
     )

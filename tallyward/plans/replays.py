@@ -39,7 +39,7 @@ def _replay_settings(spark: SparkSession):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def event_stream(spark: SparkSession, sf_dir: str, folder: str, delay="0 seconds", **flush) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str, folder: str, delay=streams.IN_ORDER, **flush) -> DataFrame:
     """The events table as a watermarked stream that ends with a flush row."""
     events = tables.events(spark, sf_dir)
     stored = spark.read.parquet(f"{sf_dir}/events.parquet").schema

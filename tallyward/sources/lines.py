@@ -14,6 +14,8 @@ SECONDS, MILLIS = "seconds", "millis"
 LOG_TIME_PATTERN = "dd/MM/yyyy:HH:mm:ss"
 LOG_TOKENS = {"ip": 0, "user_id": 1, "ts": 3, "method": 5, "url": 6}
 
+# A record may have a ``channel`` of its own.
+OUTCOME = "parse_channel"
 PARSED, MALFORMED = "parsed", "malformed"
 
 
@@ -60,52 +62,56 @@ def parse_records(
 ) -> DataFrame:
     """Split comma-separated ``value`` text into the schema's columns; works on files and on message streams.
 
-    Lenient (default): adds ``channel``, ``malformed`` where a field is missing or does not convert, so that one
+    Lenient (default): adds ``parse_channel``, ``malformed`` where a field is missing or does not convert, so that one
     bad line does not stop the job. Strict: a bad line fails the query.
     """
-    fields = F.split(F.col(value), ",", -1)
+    # Split once; the optimizer keeps the split apart from the fields taken from it.
+    split = lines.select(value, F.split(F.col(value), ",", -1).alias("_fields"))
     parsed = []
     for place, field in enumerate(schema.fields):
-        token = fields[place] if strict else F.get(fields, F.lit(place))
+        token = F.element_at("_fields", place + 1) if strict else F.get("_fields", F.lit(place))
         number = "bigint" if isinstance(field.dataType, TimestampType) else field.dataType.simpleString()
         typed = token if number == "string" else (token.cast(number) if strict else token.try_cast(number))
         if isinstance(field.dataType, TimestampType):
             typed = _epoch(typed, unit)
         parsed.append(typed.alias(field.name))
     if strict:
-        return lines.select(*parsed)
-    return _with_channel(lines.select(F.col(value), *parsed), schema, value)
+        return split.select(*parsed)
+    return _with_outcome(split, parsed, value)
 
 
-def _with_channel(rows: DataFrame, schema: StructType, value: str) -> DataFrame:
+def _with_outcome(split: DataFrame, parsed: list[Column], value: str) -> DataFrame:
+    # The fields come out of a generator (of one row): filters on them stay above it. On a plain projection every
+    # such filter would be copied below it, splitting and converting the line again for each field.
+    rows = split.select(F.col(value), F.inline(F.array(F.struct(*parsed))))
+    names = [c for c in rows.columns if c != value]
     complete = F.lit(True)
-    for name in schema.names:
+    for name in names:
         complete = complete & F.col(name).isNotNull()
-    return rows.select(
-        F.col(value), *schema.names, F.when(complete, PARSED).otherwise(MALFORMED).alias("channel")
-    )
+    return rows.select(F.col(value), *names, F.when(complete, PARSED).otherwise(MALFORMED).alias(OUTCOME))
 
 
 def parse_web_log(lines: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
     """Space-separated web-server log lines; the zone token after the time is not applied."""
-    tokens = F.split(F.col(value), " ")
+    split = lines.select(value, F.split(F.col(value), " ", -1).alias("_tokens"))
     columns = []
     for name, place in LOG_TOKENS.items():
-        token = tokens[place] if strict else F.get(tokens, F.lit(place))
+        token = F.element_at("_tokens", place + 1) if strict else F.get("_tokens", F.lit(place))
         if name == "ts":
-            token = (F.to_timestamp if strict else F.try_to_timestamp)(token, F.lit(LOG_TIME_PATTERN) if not strict else LOG_TIME_PATTERN)
+            pattern = F.lit(LOG_TIME_PATTERN)
+            token = F.to_timestamp(token, LOG_TIME_PATTERN) if strict else F.try_to_timestamp(token, pattern)
         columns.append(token.alias(name))
     if strict:
-        return lines.select(*columns)
-    return _with_channel(lines.select(F.col(value), *columns), schemas.WEB_LOG, value)
+        return split.select(*columns)
+    return _with_outcome(split, columns, value)
 
 
 def parsed_only(rows: DataFrame, value: str = "value") -> DataFrame:
-    return rows.filter(F.col("channel") == PARSED).drop("channel", value)
+    return rows.filter(F.col(OUTCOME) == PARSED).drop(OUTCOME, value)
 
 
 def malformed_only(rows: DataFrame, value: str = "value") -> DataFrame:
-    return rows.filter(F.col("channel") == MALFORMED).select(value)
+    return rows.filter(F.col(OUTCOME) == MALFORMED).select(value)
 
 
 def encode_records(rows: DataFrame, schema: StructType, unit: str = SECONDS) -> DataFrame:
