@@ -17,36 +17,36 @@ ALLOWED_LATENESS = "1 minute"
 ON_TIME, LATE = "on-time", "late"
 
 _MILLI = 1_000
-_BLOCK = 1 << 20
+# Blocks hold 2^20 arrival numbers.
+_BLOCK_BITS = 20
 
 
 def running_max_before(
-    df: DataFrame, order: str, value: Column, tie: Sequence[str] = (), block: int = _BLOCK, levels: int = 2
+    df: DataFrame, order: str, value: Column, tie: Sequence[str] = (), bits: int = _BLOCK_BITS, levels: int = 2
 ) -> DataFrame:
-    """Add ``_max_before``: the maximum of ``value`` over all rows earlier in ``order``.
+    """Add ``_max_before``: the maximum of ``value`` over all rows earlier in ``order`` (a whole number, not NULL).
 
     A plain running window would sort the whole table in one task. Here the order is cut into blocks
-    of ``block`` arrival numbers; the blocks' maxima are scanned the same way one level up, and each
+    of 2^bits arrival numbers; the blocks' maxima are scanned the same way one level up, and each
     row takes the larger of "earlier in my block" and "all blocks before mine". With two levels the last,
-    single-task scan sees one row per block^2 arrival numbers.
+    single-task scan sees one row per 2^(2 x bits) arrival numbers.
     """
-    valued = df.withColumn("_value", value)
+    # Without NULLs no extra filters are inferred, and both levels share one scan for the maxima.
+    valued = df.filter(F.col(order).isNotNull()).withColumn("_value", value)
     if levels == 0:
         line = Window.orderBy(order, *tie).rowsBetween(Window.unboundedPreceding, -1)
         return valued.withColumn("_max_before", F.max("_value").over(line)).drop("_value")
-    cut = f"_block{levels}"
-    blocked = valued.withColumn(cut, floor_to(F.col(order).cast("bigint"), block))
-    inside = Window.partitionBy(cut).orderBy(order, *tie).rowsBetween(Window.unboundedPreceding, -1)
-    maxima = blocked.groupBy(cut).agg(F.max("_value").alias("_block_max"))
-    # Blocks are numbered densely for the next level.
-    maxima = maxima.withColumn("_number", (F.col(cut) / F.lit(block)).cast("bigint"))
-    scanned = running_max_before(maxima, "_number", F.col("_block_max"), (), block, levels - 1)
-    carried = scanned.select(cut, F.col("_max_before").alias("_carry"))
+    block = f"_block{levels}"
+    blocked = valued.withColumn(block, F.shiftright(F.col(order).cast("bigint"), bits))
+    inside = Window.partitionBy(block).orderBy(order, *tie).rowsBetween(Window.unboundedPreceding, -1)
+    maxima = blocked.groupBy(block).agg(F.max("_value").alias("_block_max"))
+    scanned = running_max_before(maxima, block, F.col("_block_max"), (), bits, levels - 1)
+    carried = scanned.select(block, F.col("_max_before").alias("_carry"))
     return (
         blocked.withColumn("_inside", F.max("_value").over(inside))
-        .join(carried, cut)
+        .join(carried, block)
         .withColumn("_max_before", F.greatest("_inside", "_carry"))
-        .drop("_value", "_inside", "_carry", cut)
+        .drop("_value", "_inside", "_carry", block)
     )
 
 
@@ -59,7 +59,7 @@ def with_lateness(
     delay: Span = OUT_OF_ORDER,
     lateness: Span = ALLOWED_LATENESS,
     tie: Sequence[str] = (),
-    block: int = _BLOCK,
+    bits: int = _BLOCK_BITS,
     seen_until: int | None = None,
 ) -> DataFrame:
     """Add ``_first`` / ``_last`` (window ends still open to the row, microseconds) and ``channel``.
@@ -70,7 +70,7 @@ def with_lateness(
     """
     size_us, slide_us = span_micros(size), span_micros(slide)
     us = micros(ts)
-    seen = running_max_before(df, seq, us, tie, block)
+    seen = running_max_before(df, seq, us, tie, bits)
     # Window ends up to this instant are closed; NULL before the first row.
     latest = F.greatest(F.col("_max_before"), F.lit(seen_until).cast("bigint"))
     closed = latest - F.lit(span_micros(delay)) + F.lit(_MILLI) - F.lit(span_micros(lateness))

@@ -58,6 +58,25 @@ def windowed_counts(
     return with_bounds(counted, size_us)
 
 
+def windowed_aggregates(
+    df: DataFrame, keys: Sequence[str], ts: str, size: Span, slide: Span | None = None, **aggregates: Column
+) -> DataFrame:
+    """Any aggregate functions per (key, window), also grouped pandas UDFs and streams.
+
+    Rows are copied to their windows. For plain counts over long windows with a short slide ``windowed_counts`` is
+    much cheaper.
+    """
+    window = F.window(ts, span_text(size), span_text(slide if slide is not None else size))
+    grouped = df.groupBy(*keys, window.alias("window"))
+    result = grouped.agg(*[column.alias(name) for name, column in aggregates.items()])
+    return result.select(
+        *keys,
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        *aggregates,
+    )
+
+
 def with_bounds(counted: DataFrame, size_us: int) -> DataFrame:
     """Replace ``_end`` (microseconds) by ``window_start`` and ``window_end`` timestamps."""
     rest = [c for c in counted.columns if c not in ("_end", "cnt")]

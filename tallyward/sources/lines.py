@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampType
-
-from tallyward import schemas
+from pyspark.sql.types import StringType, StructType, TimestampType
 
 SECONDS, MILLIS = "seconds", "millis"
 
@@ -58,52 +58,63 @@ def _epoch(number: Column, unit: str) -> Column:
 
 
 def parse_records(
-    lines: DataFrame, schema: StructType, unit: str = SECONDS, value: str = "value", strict: bool = False
+    lines: DataFrame,
+    schema: StructType,
+    unit: str = SECONDS,
+    value: str = "value",
+    strict: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Split comma-separated ``value`` text into the schema's columns; works on files and on message streams.
 
     Lenient (default): adds ``parse_channel``, ``malformed`` where a field is missing or does not convert, so that one
-    bad line does not stop the job. Strict: a bad line fails the query.
+    bad line does not stop the job. Strict: a bad line fails the query. ``keep`` names columns to carry along.
     """
-    # Split once; the optimizer keeps the split apart from the fields taken from it.
-    split = lines.select(value, F.split(F.col(value), ",", -1).alias("_fields"))
-    parsed = []
-    for place, field in enumerate(schema.fields):
-        token = F.element_at("_fields", place + 1) if strict else F.get("_fields", F.lit(place))
-        number = "bigint" if isinstance(field.dataType, TimestampType) else field.dataType.simpleString()
-        typed = token if number == "string" else (token.cast(number) if strict else token.try_cast(number))
-        if isinstance(field.dataType, TimestampType):
-            typed = _epoch(typed, unit)
-        parsed.append(typed.alias(field.name))
-    if strict:
-        return split.select(*parsed)
-    return _with_outcome(split, parsed, value)
 
+    def field(tokens: str, place: int) -> Column:
+        kind = schema.fields[place].dataType
+        token = _token(tokens, place, strict)
+        if isinstance(kind, StringType):
+            return token
+        number = "bigint" if isinstance(kind, TimestampType) else kind.simpleString()
+        typed = token.cast(number) if strict else token.try_cast(number)
+        return _epoch(typed, unit) if isinstance(kind, TimestampType) else typed
 
-def _with_outcome(split: DataFrame, parsed: list[Column], value: str) -> DataFrame:
-    # The fields come out of a generator (of one row): filters on them stay above it. On a plain projection every
-    # such filter would be copied below it, splitting and converting the line again for each field.
-    rows = split.select(F.col(value), F.inline(F.array(F.struct(*parsed))))
-    names = [c for c in rows.columns if c != value]
-    complete = F.lit(True)
-    for name in names:
-        complete = complete & F.col(name).isNotNull()
-    return rows.select(F.col(value), *names, F.when(complete, PARSED).otherwise(MALFORMED).alias(OUTCOME))
+    fields = {name: place for place, name in enumerate(schema.names)}
+    return _parsed(lines, ",", fields, field, value, strict, keep)
 
 
-def parse_web_log(lines: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+def parse_web_log(
+    lines: DataFrame, value: str = "value", strict: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """Space-separated web-server log lines; the zone token after the time is not applied."""
-    split = lines.select(value, F.split(F.col(value), " ", -1).alias("_tokens"))
-    columns = []
-    for name, place in LOG_TOKENS.items():
-        token = F.element_at("_tokens", place + 1) if strict else F.get("_tokens", F.lit(place))
-        if name == "ts":
-            pattern = F.lit(LOG_TIME_PATTERN)
-            token = F.to_timestamp(token, LOG_TIME_PATTERN) if strict else F.try_to_timestamp(token, pattern)
-        columns.append(token.alias(name))
+
+    def field(tokens: str, place: int) -> Column:
+        token = _token(tokens, place, strict)
+        if place != LOG_TOKENS["ts"]:
+            return token
+        return F.to_timestamp(token, LOG_TIME_PATTERN) if strict else F.try_to_timestamp(token, F.lit(LOG_TIME_PATTERN))
+
+    return _parsed(lines, " ", LOG_TOKENS, field, value, strict, keep)
+
+
+def _token(tokens: str, place: int, strict: bool) -> Column:
+    return F.element_at(tokens, place + 1) if strict else F.get(tokens, F.lit(place))
+
+
+def _parsed(lines, separator, fields, field, value, strict, keep) -> DataFrame:
+    # Split once; the optimizer keeps the split apart from the fields taken from it.
+    split = lines.select(*keep, value, F.split(F.col(value), separator, -1).alias("_tokens"))
+    columns = [field("_tokens", place).alias(name) for name, place in fields.items()]
     if strict:
-        return split.select(*columns)
-    return _with_outcome(split, columns, value)
+        return split.select(*keep, *columns)
+    # The fields come out of a generator (of one row): filters on them stay above it. On a plain projection every
+    # such filter would be copied below it, splitting and converting the line again for each field.
+    rows = split.select(*keep, value, F.inline(F.array(F.struct(*columns))))
+    complete = F.lit(True)
+    for name in fields:
+        complete = complete & F.col(name).isNotNull()
+    return rows.withColumn(OUTCOME, F.when(complete, PARSED).otherwise(MALFORMED))
 
 
 def parsed_only(rows: DataFrame, value: str = "value") -> DataFrame:

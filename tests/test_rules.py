@@ -164,6 +164,17 @@ def test_window_edges(spark):
     assert sorted(map(tuple, counted.collect())) == [(60, 2), (120, 1)]
 
 
+def test_windowed_aggregates(spark):
+    """Any aggregate per window; counts agree with the counting operator."""
+    df = frame(spark, random_events(SHAPES[0], ["a", "b"], 5))
+    args = (["key"], "ts", "60 seconds", "20 seconds")
+    found = windows.windowed_aggregates(df, *args, cnt=F.count("*"), kinds=F.count_distinct("kind"))
+    counted = windows.windowed_counts(df, *args)
+    columns = ["key", "window_start", "window_end", "cnt"]
+    assert sorted(found.select(columns).collect()) == sorted(counted.select(columns).collect())
+    assert found.agg(F.max("kinds")).head()[0] == 2
+
+
 def test_salted_counts(spark):
     df = frame(spark, random_events(SHAPES[1], ["a", "b"], 5))
     plain = windows.windowed_counts(df, [], "ts", "5 minutes", where=F.col("kind") == "a").select("window_end", "cnt")
@@ -218,13 +229,13 @@ def test_reconcile(spark, shape, within):
     assert {r.channel: r["count"] for r in channels} == {k: v for k, v in expected.items() if v}
 
 
-@pytest.mark.parametrize("block", [8, 1 << 20])
+@pytest.mark.parametrize("bits", [3, 20])
 @pytest.mark.parametrize("size, slide, delay, allowed", [(60, 20, 10, 10), (60, 60, 0, 0), (50, 15, 30, 7)])
-def test_lateness(spark, block, size, slide, delay, allowed):
+def test_lateness(spark, bits, size, slide, delay, allowed):
     rnd = random.Random(size)
     events = [(rnd.randrange(3), max(0, seq * 3 - rnd.randrange(150)), seq, "a") for seq in range(500)]
     spans = [f"{x} seconds" for x in (size, slide, delay, allowed)]
-    marked = lateness.with_lateness(frame(spark, events), "ts", "seq", *spans, block=block)
+    marked = lateness.with_lateness(frame(spark, events), "ts", "seq", *spans, bits=bits)
     expected = brute.lateness(events, size, slide, delay, allowed)
     late = sorted(seq for seq, ends in expected.items() if not ends)
     assert late

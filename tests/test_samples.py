@@ -30,10 +30,7 @@ def clicks(lines_of):
 
 
 def parsed(lines_of, text_lines, schema):
-    # The arrival number rides along as the record's first field.
-    numbered = lines_of(text_lines).select(F.concat_ws(",", "seq", "value").alias("value"))
-    with_seq = schemas.StructType([schemas.StructField("seq", schemas.LongType()), *schema.fields])
-    return lines.parsed_only(lines.parse_records(numbered, with_seq))
+    return lines.parsed_only(lines.parse_records(lines_of(text_lines), schema, keep=["seq"]))
 
 
 def seconds(warnings):
