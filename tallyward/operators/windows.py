@@ -14,6 +14,9 @@ from tallyward.functions.timing import Span, first_window_end, floor_to, last_wi
 # A slice of a sliding count covers this many window lengths of one key's timeline.
 _WINDOWS_PER_SLICE = 24
 
+# With up to this many windows per row it is cheaper to copy the rows (one shuffle less).
+_COPY_UP_TO = 4
+
 
 def windowed_counts(
     df: DataFrame,
@@ -43,17 +46,11 @@ def windowed_counts(
         )
     if where is not None:
         df = df.filter(where)
-    us = micros(ts)
     if slide_us == size_us:
-        counted = df.groupBy(*keys, last_window_end(us, size_us, size_us).alias("_end")).agg(F.count("*").alias("cnt"))
+        end = last_window_end(micros(ts), size_us, size_us)
+        counted = df.groupBy(*keys, end.alias("_end")).agg(F.count("*").alias("cnt"))
     else:
-        spans = df.select(
-            *keys,
-            first_window_end(us, size_us, slide_us).alias("_first"),
-            last_window_end(us, size_us, slide_us).alias("_last"),
-        )
-        if slide_us > size_us:
-            spans = spans.filter("_first <= _last")
+        spans = _spans(df, keys, ts, size_us, slide_us)
         counted = span_counts(spans, keys, "_first", "_last", size_us, slide_us)
     return with_bounds(counted, size_us)
 
@@ -91,12 +88,24 @@ def with_bounds(counted: DataFrame, size_us: int) -> DataFrame:
 def span_counts(
     spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int
 ) -> DataFrame:
-    """How many rows cover each window end, for rows covering the ends ``first .. last``.
+    """How many rows cover each window end (``_end``), for rows covering the ends ``first .. last``."""
+    keys, slide = list(keys), F.lit(slide_us)
+    if size_us <= _COPY_UP_TO * slide_us:
+        ends = F.sequence(F.col(first), F.col(last), slide)
+        return spans.select(*keys, F.explode(ends).alias("_end")).groupBy(*keys, "_end").agg(F.count("*").alias("cnt"))
+    plateaus = span_plateaus(spans, keys, first, last, size_us, slide_us)
+    ends = F.sequence(F.col("_at"), F.col("_until") - slide, slide)
+    return plateaus.select(*keys, F.explode(ends).alias("_end"), "cnt")
+
+
+def span_plateaus(
+    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int
+) -> DataFrame:
+    """Runs of window ends ``_at`` (inclusive) to ``_until`` (exclusive) that are covered by the same ``cnt`` rows.
 
     A row covers up to size / slide windows (720 for an hour every five seconds). Instead of copying
     rows, equal spans are counted first (map-side), each span becomes one +n and one -n step, and a
-    running sum over the steps gives the count between two steps. Only those plateaus are
-    unfolded into windows, after the last shuffle. Timelines are cut into slices, so one (key, slice)
+    running sum over the steps gives the count between two steps. Timelines are cut into slices, so one (key, slice)
     group has at most 2 x slice / slide steps however many rows the key has.
     """
     keys = list(keys)
@@ -111,27 +120,47 @@ def span_counts(
     slices = F.sequence(slice_of(F.col(first)), slice_of(F.col(last)), F.lit(slice_us))
     sliced = cells.select(*keys, first, last, "_n", F.explode(slices).alias("_slice"))
     slice_end = F.col("_slice") + F.lit(slice_us)
-    steps = sliced.select(
-        *keys,
-        "_slice",
-        F.inline(
-            F.array(
-                F.struct(F.greatest(F.col(first), F.col("_slice")).alias("_at"), F.col("_n").alias("_step")),
-                F.struct(
-                    F.least(F.col(last) + F.lit(slide_us), slice_end).alias("_at"), (-F.col("_n")).alias("_step")
-                ),
-            )
-        ),
-    )
+    up = F.struct(F.greatest(F.col(first), F.col("_slice")).alias("_at"), F.col("_n").alias("_step"))
+    down = F.struct(F.least(F.col(last) + F.lit(slide_us), slice_end).alias("_at"), (-F.col("_n")).alias("_step"))
+    steps = sliced.select(*keys, "_slice", F.inline(F.array(up, down)))
     timeline = Window.partitionBy(*keys, "_slice").orderBy("_at")
-    plateaus = steps.select(
+    return steps.select(
         *keys,
         F.col("_at"),
         F.sum("_step").over(timeline).alias("cnt"),
         F.lead("_at").over(timeline).alias("_until"),
     ).filter("_until > _at AND cnt > 0")
-    ends = F.sequence(F.col("_at"), F.col("_until") - F.lit(slide_us), F.lit(slide_us))
-    return plateaus.select(*keys, F.explode(ends).alias("_end"), "cnt")
+
+
+def window_plateaus(
+    df: DataFrame, keys: Sequence[str], ts: str, size: Span, slide: Span, where: Column | None = None
+) -> DataFrame:
+    """Sliding counts in short form: ``keys, first_end, last_end, windows, cnt``.
+
+    One row per run of windows with the same count, for questions such as the peak or the number of windows above a
+    level. Its size follows the rows, not the windows. Batch only.
+    """
+    size_us, slide_us = span_micros(size), span_micros(slide)
+    spans = _spans(df if where is None else df.filter(where), keys, ts, size_us, slide_us)
+    plateaus = span_plateaus(spans, keys, "_first", "_last", size_us, slide_us)
+    return plateaus.select(
+        *keys,
+        F.timestamp_micros("_at").alias("first_end"),
+        F.timestamp_micros(F.col("_until") - F.lit(slide_us)).alias("last_end"),
+        F.expr(f"(_until - _at) div {slide_us}").alias("windows"),
+        "cnt",
+    )
+
+
+def _spans(df: DataFrame, keys: Sequence[str], ts: str, size_us: int, slide_us: int) -> DataFrame:
+    """The first and last window end of each row."""
+    us = micros(ts)
+    spans = df.select(
+        *keys,
+        first_window_end(us, size_us, slide_us).alias("_first"),
+        last_window_end(us, size_us, slide_us).alias("_last"),
+    )
+    return spans.filter("_first <= _last") if slide_us > size_us else spans
 
 
 def salted_window_counts(

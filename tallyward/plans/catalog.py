@@ -243,10 +243,11 @@ _FINE = _sliding(_MARKETING, "channel, behavior", "3600 second", "5 second", "be
 )
 def channel_peaks(spark, sf_dir):
     """All one-hour windows every five seconds, summed up per channel and behaviour."""
-    counted = jobs.channel_counts(tables.marketing(tables.events(spark, sf_dir)), dropped="error")
-    return counted.groupBy("channel", "behavior").agg(
-        F.count("*").alias("windows"), F.max("cnt").alias("peak"), F.sum("cnt").alias("total")
-    )
+    return jobs.channel_peaks(tables.marketing(tables.events(spark, sf_dir)), dropped="error")
+
+
+_FINE_CLICKS = f"""SELECT province, count(*) AS windows, CAST(sum(cnt) AS BIGINT) AS total
+    FROM ({_sliding("clicks", "province", "3600 second", "5 second", "place <= 2")}) GROUP BY ALL"""
 
 
 _CLICKS = f"""clicks AS (
@@ -279,6 +280,13 @@ def ad_counts(spark, sf_dir):
     return jobs.province_counts(clicks, ["event_id"], slide="5 minutes", max_clicks=2)
 
 
+@register("ad_counts_fine", f"WITH {_CLICKS} {_FINE_CLICKS}")
+def ad_counts_fine(spark, sf_dir):
+    """All one-hour windows every five seconds, unfolded, summed up per province."""
+    counted = jobs.province_counts(tables.ad_clicks(tables.events(spark, sf_dir)), ["event_id"], max_clicks=2)
+    return counted.groupBy("province").agg(F.count("*").alias("windows"), F.sum("cnt").alias("total"))
+
+
 # --- logins -----------------------------------------------------------------------------------------------
 
 _LINE = "(PARTITION BY user_id ORDER BY ts, event_id)"

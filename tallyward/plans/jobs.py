@@ -162,6 +162,20 @@ def channel_counts(
     ).select("window_start", "window_end", "channel", "behavior", "cnt")
 
 
+def channel_peaks(
+    marketing: DataFrame, size: Span = HOUR, slide: Span = CHANNEL_SLIDE, dropped: str = UNINSTALL
+) -> DataFrame:
+    """Per channel and behaviour: non-empty sliding windows, their largest count and the sum of their counts."""
+    runs = windows.window_plateaus(
+        marketing, ["channel", "behavior"], "ts", size, slide, F.col("behavior") != dropped
+    )
+    return runs.groupBy("channel", "behavior").agg(
+        F.sum("windows").alias("windows"),
+        F.max("cnt").alias("peak"),
+        F.sum(F.col("windows") * F.col("cnt")).alias("total"),
+    )
+
+
 def capped_clicks(
     clicks: DataFrame, seq: Sequence[str], max_clicks: int = click_cap.MAX_CLICKS, zone: str = click_cap.BUSINESS_ZONE
 ) -> DataFrame:

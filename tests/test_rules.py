@@ -164,6 +164,18 @@ def test_window_edges(spark):
     assert sorted(map(tuple, counted.collect())) == [(60, 2), (120, 1)]
 
 
+def test_window_plateaus(spark):
+    events = random_events(SHAPES[1], ["a", "b"], 4)
+    runs = windows.window_plateaus(frame(spark, events), ["key"], "ts", "60 seconds", "5 seconds")
+    found = {}
+    for row in runs.select("key", F.unix_seconds("first_end"), F.unix_seconds("last_end"), "windows", "cnt").collect():
+        key, first, last, count, cnt = row
+        ends = range(first, last + 1, 5)
+        assert len(ends) == count and not any((key, end) in found for end in ends)
+        found.update({(key, end): cnt for end in ends})
+    assert found == brute.window_counts(events, 60, 5)
+
+
 def test_windowed_aggregates(spark):
     """Any aggregate per window; counts agree with the counting operator."""
     df = frame(spark, random_events(SHAPES[0], ["a", "b"], 5))
