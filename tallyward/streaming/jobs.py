@@ -98,17 +98,16 @@ def late_split(
 ) -> StreamingQuery:
     """Split arriving rows into ``on-time`` and ``late`` sub-folders before any stateful operator drops them.
 
-    The largest event time so far is one number per batch, kept next to the output; a batch that runs again reads
-    the number of the batches before it.
+    The largest event time so far is one number per batch, kept next to the output. A batch reads the number of the
+    batch before it, also when it runs again.
     """
     rows_path, progress_path = f"{path}/rows", f"{path}/progress"
 
     def split(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        progress = sinks.read_log(spark, progress_path, f"seen_until bigint, {sinks.BATCH} int")
         before = None
-        if progress is not None:
-            before = progress.filter(F.col(sinks.BATCH) < batch_id).agg(F.max("seen_until")).head()[0]
+        if batch_id > 0:
+            before = spark.read.parquet(f"{progress_path}/{sinks.BATCH}={batch_id - 1}").head()[0]
         marked = lateness.with_lateness(batch, ts, seq, size, slide, delay, allowed, tie, seen_until=before)
         sinks.write_batch(marked.drop("_first", "_last"), rows_path, batch_id, ["channel"])
         reached = batch.agg(F.greatest(F.max(micros(ts)), F.lit(before).cast("bigint")).alias("seen_until"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "batch_id"
+_DAY = "window_day"
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -77,22 +78,25 @@ def ranked_update_writer(
 ) -> BatchWriter:
     """For counts in update mode: store the changed counts and rank every changed window again.
 
-    Counts are stored by day of the window, and only the days between the first and the last changed window are read
-    back. Read the ranks with ``newest_groups(log, [by])``.
+    Counts are stored by day of the window and batch, and only the days a batch changed are read back (their number is
+    bounded by the calendar); older days can be removed at any time. Read the ranks with ``newest_groups(log, [by])``.
     """
-    day = "window_day"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch.withColumn(day, F.to_date(by)), counts_path, batch_id, [day])
-        mine = spark.read.schema(batch.schema).parquet(f"{counts_path}/{BATCH}={batch_id}")
-        first, last = mine.agg(F.to_date(F.min(by)), F.to_date(F.max(by))).head()
-        if first is None:
-            return
-        log = read_log(spark, counts_path).filter(
-            (F.col(BATCH) <= batch_id) & F.col(day).between(F.lit(first), F.lit(last))
-        )
-        touched = log.join(mine.select(by).distinct(), by, "left_semi")
-        write_batch(rank(newest_rows(touched.drop(day), [*keys, by])), ranks_path, batch_id)
+        changed = batch.withColumn(_DAY, F.to_date(by)).withColumn(BATCH, F.lit(batch_id)).persist()
+        try:
+            # Only this batch's own folders are replaced if it runs again.
+            changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_DAY, BATCH).parquet(
+                counts_path
+            )
+            days = [row[0] for row in changed.select(_DAY).distinct().collect()]
+            if not days:
+                return
+            stored = spark.read.option("basePath", counts_path).parquet(*[f"{counts_path}/{_DAY}={d}" for d in days])
+            touched = stored.filter(F.col(BATCH) <= batch_id).join(changed.select(by).distinct(), by, "left_semi")
+            write_batch(rank(newest_rows(touched.drop(_DAY), [*keys, by])), ranks_path, batch_id)
+        finally:
+            changed.unpersist()
 
     return write
