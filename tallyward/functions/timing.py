@@ -16,6 +16,8 @@ _UNIT_MICROS = {
     "day": 86_400_000_000,
 }
 
+_FAR_PAST = "0001-01-02 00:00:00"
+
 Span = str | int | timedelta
 
 
@@ -64,6 +66,19 @@ def stamp_text(ts: str | Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.S")
 
 
+def filter_rows(df: DataFrame, where: Column | None, ts: str) -> DataFrame:
+    """Filter a table, or a stream after its watermark.
+
+    Spark pushes a plain filter below ``withWatermark``, where rows that fail it would no longer move time on. A
+    predicate that mentions the time column stays above.
+    """
+    if where is None:
+        return df
+    if df.isStreaming:
+        where = F.when(F.col(ts) > F.lit(_FAR_PAST).cast("timestamp"), where)
+    return df.filter(where)
+
+
 def as_wall_clock(df: DataFrame) -> DataFrame:
     """Every timestamp column as ``timestamp_ntz`` (session zone UTC: the same digits)."""
     return df.select(

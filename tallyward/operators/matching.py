@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.functions.timing import Span, floor_to, micros, span_micros, span_text
+from tallyward.functions.timing import Span, floor_to, micros, span_micros
 from tallyward.operators.slots import OWN, SLOT, US, with_slots
 
 # Bounds of the interval join, reconciliation tolerance, channel names.
@@ -22,6 +22,18 @@ def _packed(df: DataFrame, prefix: str) -> tuple[DataFrame, Column]:
     return renamed, F.struct(*[F.col(prefix + c).alias(c) for c in df.columns])
 
 
+def _both_sides(left, right, on, left_ts, right_ts, left_seq=None, right_seq=None) -> DataFrame:
+    """One row per row of either side: key, time, arrival number if asked for, side (0 or 1) and the row as a struct."""
+
+    def side(df: DataFrame, number: int, ts: str, seq: str | None) -> DataFrame:
+        arrival = [] if seq is None else [F.col(seq).alias("_seq")]
+        row = F.struct(*df.columns).alias(f"_row{number}")
+        return df.select(F.col(on).alias("_on"), F.col(ts).alias("_ts"), *arrival, F.lit(number).alias("_side"), row)
+
+    one, two = side(left, 0, left_ts, left_seq), side(right, 1, right_ts, right_seq)
+    return one.unionByName(two, allowMissingColumns=True)
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -81,13 +93,7 @@ def with_partner_flag(
     sorted pass per (key, slot) answers it without forming pairs.
     """
     span = span_micros(within)
-    one = left.select(
-        F.col(on).alias("_on"), F.col(left_ts).alias("_ts"), F.lit(0).alias("_side"), F.struct(*left.columns).alias("_row0")
-    )
-    two = right.select(
-        F.col(on).alias("_on"), F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.struct(*right.columns).alias("_row1")
-    )
-    both = one.unionByName(two, allowMissingColumns=True)
+    both = _both_sides(left, right, on, left_ts, right_ts)
     rows = with_slots(both, "_ts", back=span, ahead=span)
     group = Window.partitionBy("_on", SLOT)
     # Range frames: rows of the same instant are seen from both directions.
@@ -175,21 +181,8 @@ def reconcile(
     count so far, which comes from one small row per such slot.
     """
     span = span_micros(within)
-    one = left.select(
-        F.col(on).alias("_on"),
-        F.col(left_ts).alias("_ts"),
-        F.lit(0).alias("_side"),
-        F.col(left_seq).alias("_seq"),
-        F.struct(*left.columns).alias("_row0"),
-    )
-    two = right.select(
-        F.col(on).alias("_on"),
-        F.col(right_ts).alias("_ts"),
-        F.lit(1).alias("_side"),
-        F.col(right_seq).alias("_seq"),
-        F.struct(*right.columns).alias("_row1"),
-    )
-    rows = with_slots(one.unionByName(two, allowMissingColumns=True), "_ts", back=span, ahead=span)
+    both = _both_sides(left, right, on, left_ts, right_ts, left_seq, right_seq)
+    rows = with_slots(both, "_ts", back=span, ahead=span)
     line = Window.partitionBy("_on", SLOT).orderBy(US, "_side", "_seq")
 
     def linked(neighbour, earlier, later) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.hashing import BITMAP_BITS, POLY_BASE, poly_offset
-from tallyward.functions.timing import Span, last_window_end, micros, span_micros, span_text
+from tallyward.functions.timing import Span, filter_rows, last_window_end, micros, span_micros, span_text
 
 SKETCH_LG_K = 12
 
@@ -22,14 +22,12 @@ def unique_visitors(df: DataFrame, key: str, ts: str, size: Span, where: Column
     Two steps, (window, key) then window, so a hot window is spread over all its keys and the
     second step counts map-side. The same two steps run on a stream, where ``count_distinct`` is not allowed.
     """
+    df = filter_rows(df, where, ts)
     if df.isStreaming:
         text = span_text(size)
-        hits = F.count("*") if where is None else F.count_if(where)
-        seen = df.groupBy(F.window(ts, text).alias("window"), key).agg(hits.alias("_hits"))
-        total = seen.groupBy(F.window("window", text).alias("window")).agg(F.count_if(F.col("_hits") > 0).alias("cnt"))
-        return total.filter("cnt > 0").select(F.col("window.end").alias("window_end"), "cnt")
-    if where is not None:
-        df = df.filter(where)
+        seen = df.groupBy(F.window(ts, text).alias("window"), key).agg(F.count("*").alias("_hits"))
+        total = seen.groupBy(F.window("window", text).alias("window")).agg(F.count("*").alias("cnt"))
+        return total.select(F.col("window.end").alias("window_end"), "cnt")
     return _with_end(df, ts, size).groupBy("window_end").agg(F.count_distinct(F.col(key)).alias("cnt"))
 
 
@@ -38,8 +36,7 @@ def first_sightings(df: DataFrame, key: str, ts: str, size: Span, where: Column
 
     ``window_end`` carries the watermark of ``ts`` on a stream, so state is dropped with its window.
     """
-    if where is not None:
-        df = df.filter(where)
+    df = filter_rows(df, where, ts)
     window = F.window(ts, span_text(size))
     return df.select(window["end"].alias("window_end"), key).dropDuplicates(["window_end", key])
 

@@ -9,7 +9,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions.hashing import salt
-from tallyward.functions.timing import Span, first_window_end, floor_to, last_window_end, micros, span_micros, span_text
+from tallyward.functions.timing import (
+    Span,
+    filter_rows,
+    first_window_end,
+    floor_to,
+    last_window_end,
+    micros,
+    span_micros,
+    span_text,
+)
 
 # A slice of a sliding count covers this many window lengths of one key's timeline.
 _WINDOWS_PER_SLICE = 24
@@ -25,27 +34,17 @@ def windowed_counts(
     size: Span,
     slide: Span | None = None,
     where: Column | None = None,
+    early: bool = False,
 ) -> DataFrame:
     """Rows per (key, window), non-empty windows only: ``keys, window_start, window_end, cnt``.
 
-    On a stream the predicate is counted instead of filtered, so that rows failing it still move
-    the watermark (a plain filter is pushed below ``withWatermark``).
+    ``early`` is for streams in update mode, which report a window before it is final.
     """
     keys, size_us = list(keys), span_micros(size)
     slide_us = span_micros(slide) if slide is not None else size_us
+    df = filter_rows(df, where, ts)
     if df.isStreaming:
-        window = F.window(ts, span_text(size_us), span_text(slide_us))
-        if where is None:
-            counted = df.groupBy(*keys, window.alias("window")).agg(F.count("*").alias("cnt"))
-        else:
-            counted = (
-                df.groupBy(*keys, window.alias("window")).agg(F.count_if(where).alias("cnt")).filter("cnt > 0")
-            )
-        return counted.select(
-            *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "cnt"
-        )
-    if where is not None:
-        df = df.filter(where)
+        return _stream_counts(df, keys, ts, size_us, slide_us, early)
     if slide_us == size_us:
         end = last_window_end(micros(ts), size_us, size_us)
         counted = df.groupBy(*keys, end.alias("_end")).agg(F.count("*").alias("cnt"))
@@ -55,6 +54,20 @@ def windowed_counts(
     return with_bounds(counted, size_us)
 
 
+def _stream_counts(df, keys, ts, size_us, slide_us, early) -> DataFrame:
+    size, slide = span_text(size_us), span_text(slide_us)
+    if early or size_us <= _COPY_UP_TO * slide_us or size_us % slide_us:
+        counted = df.groupBy(*keys, F.window(ts, size, slide).alias("window")).agg(F.count("*").alias("cnt"))
+    else:
+        # Count panes of one slide first: a pane, not each of its rows, is copied to its size / slide windows.
+        panes = df.groupBy(*keys, F.window(ts, slide).alias("pane")).agg(F.count("*").alias("_n"))
+        windows = F.window(F.window_time("pane"), size, slide)
+        counted = panes.groupBy(*keys, windows.alias("window")).agg(F.sum("_n").alias("cnt"))
+    return counted.select(
+        *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "cnt"
+    )
+
+
 def windowed_aggregates(
     df: DataFrame, keys: Sequence[str], ts: str, size: Span, slide: Span | None = None, **aggregates: Column
 ) -> DataFrame:
@@ -141,7 +154,7 @@ def window_plateaus(
     level. Its size follows the rows, not the windows. Batch only.
     """
     size_us, slide_us = span_micros(size), span_micros(slide)
-    spans = _spans(df if where is None else df.filter(where), keys, ts, size_us, slide_us)
+    spans = _spans(filter_rows(df, where, ts), keys, ts, size_us, slide_us)
     plateaus = span_plateaus(spans, keys, "_first", "_last", size_us, slide_us)
     return plateaus.select(
         *keys,
@@ -173,10 +186,9 @@ def salted_window_counts(
     """
     salted = df.withColumn("_salt", salt(parts, *spread_by))
     if df.isStreaming:
-        stage = salted.groupBy(F.window(ts, span_text(size)).alias("window"), "_salt").agg(
-            (F.count("*") if where is None else F.count_if(where)).alias("_n")
-        )
+        rows = filter_rows(salted, where, ts)
+        stage = rows.groupBy(F.window(ts, span_text(size)).alias("window"), "_salt").agg(F.count("*").alias("_n"))
         total = stage.groupBy(F.window("window", span_text(size)).alias("window")).agg(F.sum("_n").alias("cnt"))
-        return total.filter("cnt > 0").select(F.col("window.end").alias("window_end"), "cnt")
+        return total.select(F.col("window.end").alias("window_end"), "cnt")
     part = windowed_counts(salted, ["_salt"], ts, size, where=where)
     return part.groupBy("window_end").agg(F.sum("cnt").alias("cnt"))

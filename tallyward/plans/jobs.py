@@ -105,9 +105,11 @@ def unique_visitors_sketch(behaviors: DataFrame, size: Span = HOUR, view: str =
 # --- web traffic ------------------------------------------------------------------------------------------
 
 
-def page_counts(log: DataFrame, size: Span = PAGE_SIZE, slide: Span = PAGE_SLIDE, method: str = GET) -> DataFrame:
-    """Requests per URL and sliding window; also on streams."""
-    counted = windows.windowed_counts(log, ["url"], "ts", size, slide, F.col("method") == method)
+def page_counts(
+    log: DataFrame, size: Span = PAGE_SIZE, slide: Span = PAGE_SLIDE, method: str = GET, early: bool = False
+) -> DataFrame:
+    """Requests per URL and sliding window; also on streams, with ``early`` for update mode."""
+    counted = windows.windowed_counts(log, ["url"], "ts", size, slide, F.col("method") == method, early)
     return counted.select("url", "cnt", "window_end")
 
 

@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.functions.timing import filter_rows, span_micros
 from tallyward.operators import visitors
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG, _flat_pairs, register
@@ -53,7 +54,8 @@ def event_stream(spark: SparkSession, sf_dir: str, folder: str, delay=streams.IN
 
 def replayed(spark: SparkSession, folder: str, result: DataFrame, mode: str = "append") -> DataFrame:
     with _replay_settings(spark):
-        streams.run(result, sinks.log_writer(f"{folder}/out"), f"{folder}/checkpoint", mode, once=True).awaitTermination()
+        writer = sinks.log_writer(f"{folder}/out")
+        streams.run(result, writer, f"{folder}/checkpoint", mode, once=True).awaitTermination()
     return sinks.read_log(spark, f"{folder}/out").drop(sinks.BATCH)
 
 
@@ -145,9 +147,9 @@ def pay_reconcile_once(events):
     # One stream with both sides, so that one watermark covers them.
     kind = F.when(F.col("event_type") == "click", rules.FIRST).when(F.col("event_type") == "purchase", rules.SECOND)
     sided = events.withColumn("tx_id", F.col("user_id").cast("string")).withColumn("side", kind)
-    sided = sided.filter(F.when(F.col("ts") > F.lit("1970-01-01"), F.col("side").isNotNull() | (F.col("user_id") < 0)))
+    sided = filter_rows(sided, F.col("side").isNotNull(), "ts")
     found = rules.apply_rule(
-        sided, ("tx_id",), "ts", "event_id", F.coalesce("side", F.lit(rules.OTHER)), rules.ReconcileRule(18_000_000_000)
+        sided, ("tx_id",), "ts", "event_id", F.col("side"), rules.ReconcileRule(span_micros("5 hours"))
     )
     return found.select("tx_id", F.col("left_seq").alias("pay_id"), F.col("right_seq").alias("receipt_id"), "channel")
 

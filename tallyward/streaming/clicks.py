@@ -6,7 +6,6 @@ import heapq
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyward.functions.timing import business_day, micros
@@ -71,6 +70,7 @@ def click_cap(
     columns = events.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema.fields)
     dated = events.withColumn("_day", business_day(ts, zone)).withColumn("_us", micros(ts))
+    processor = CapProcessor(max_clicks, columns, seq)
     return dated.groupBy(*keys, "_day").transformWithState(
-        CapProcessor(max_clicks, columns, seq), f"{fields}, channel string", "Append", "EventTime", eventTimeColumnName=ts
+        processor, f"{fields}, channel string", "Append", "EventTime", eventTimeColumnName=ts
     )

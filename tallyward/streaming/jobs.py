@@ -77,7 +77,7 @@ def top_pages(
     writer = sinks.ranked_update_writer(
         counts_path, ranks_path, lambda counts: topn.top_n(counts, n, ["url"]), ["url"]
     )
-    return run(jobs.page_counts(log, **settings), writer, checkpoint, "update", once)
+    return run(jobs.page_counts(log, early=True, **settings), writer, checkpoint, "update", once)
 
 
 # --- late rows --------------------------------------------------------------------------------------------

@@ -27,6 +27,9 @@ class Event:
     kind: int
 
 
+# Rows handed to the state store at a time.
+_CHUNK = 1000
+
 # Kinds of an event as seen by a rule.
 OTHER, FIRST, SECOND = 0, 1, 2
 
@@ -118,9 +121,9 @@ class FollowedByRule:
             return (waiting + [event.us],), []
         if event.kind != SECOND:
             return memory, []
-        return None, [
-            (us, event.us, orders.PAYED) if event.us - us < self.within else (us, None, orders.TIMEOUT) for us in waiting
-        ]
+        in_time = [us for us in waiting if event.us - us < self.within]
+        too_late = [us for us in waiting if event.us - us >= self.within]
+        return None, [(us, event.us, orders.PAYED) for us in in_time] + [(us, None, orders.TIMEOUT) for us in too_late]
 
     def deadline(self, memory):
         return memory[0][0] + self.within
@@ -209,15 +212,24 @@ class OrderedProcessor(StatefulProcessor):
         self.memory = handle.getValueState("memory", self.rule.memory_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        timers = set()
+        earliest = None
+        chunk = []
         for row in rows:
-            self.waiting.appendValue((row.us, row.seq, row.kind))
-            # The event is complete once the watermark is past it.
-            timers.add(row.us // 1000 + 1)
-        for at in timers:
-            self.handle.registerTimer(at)
+            chunk.append((row.us, row.seq, row.kind))
+            earliest = row.us if earliest is None else min(earliest, row.us)
+            if len(chunk) == _CHUNK:
+                self.waiting.appendList(chunk)
+                chunk = []
+        if chunk:
+            self.waiting.appendList(chunk)
+        if earliest is not None:
+            self._wake_after(earliest)
         return iter(())
 
+    def _wake_after(self, us: int) -> None:
+        """One timer for the next event is enough: when it fires, everything the watermark has passed is taken."""
+        self.handle.registerTimer(us // 1000 + 1)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
         events = sorted(tuple(e) for e in self.waiting.get())
@@ -236,13 +248,15 @@ class OrderedProcessor(StatefulProcessor):
                 self.waiting.put(events[len(ready) :])
             else:
                 self.waiting.clear()
+        if len(ready) < len(events):
+            self._wake_after(events[len(ready)][0])
         if memory != before:
             if memory is None:
                 self.memory.clear()
             else:
                 self.memory.update(memory)
         if memory is not None:
-            self.handle.registerTimer(self.rule.deadline(memory) // 1000 + 1)
+            self._wake_after(self.rule.deadline(memory))
         for values in out:
             yield self.out(*key, *values)
 

@@ -74,7 +74,11 @@ def newest_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def ranked_update_writer(
-    counts_path: str, ranks_path: str, rank: Callable[[DataFrame], DataFrame], keys: Sequence[str], by: str = "window_end"
+    counts_path: str,
+    ranks_path: str,
+    rank: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    by: str = "window_end",
 ) -> BatchWriter:
     """For counts in update mode: store the changed counts and rank every changed window again.
 
@@ -87,8 +91,11 @@ def ranked_update_writer(
         changed = batch.withColumn(_DAY, F.to_date(by)).withColumn(BATCH, F.lit(batch_id)).persist()
         try:
             # Only this batch's own folders are replaced if it runs again.
-            changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_DAY, BATCH).parquet(
-                counts_path
+            (
+                changed.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(_DAY, BATCH)
+                .parquet(counts_path)
             )
             days = [row[0] for row in changed.select(_DAY).distinct().collect()]
             if not days:

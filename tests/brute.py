@@ -27,7 +27,9 @@ def top_n(counts, n):
     ranked = defaultdict(list)
     for (key, end), cnt in counts.items():
         ranked[end].append((-cnt, key))
-    return {(end, place, key, -cnt) for end, rows in ranked.items() for place, (cnt, key) in enumerate(sorted(rows)[:n], 1)}
+    return {
+        (end, place, key, -cnt) for end, rows in ranked.items() for place, (cnt, key) in enumerate(sorted(rows)[:n], 1)
+    }
 
 
 def pairs(events, within):

@@ -9,7 +9,13 @@ from tallyward.operators.slots import OWN, SLOT, with_slots
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG
 
-BEHAVIORS = ["1,10,5,pv,1511658000", "2,10,5,pv,1511658001", "1,11,5,buy,1511658002", "bad line", "1,11,5,pv,1511661600"]
+BEHAVIORS = [
+    "1,10,5,pv,1511658000",
+    "2,10,5,pv,1511658001",
+    "1,11,5,buy,1511658002",
+    "bad line",
+    "1,11,5,pv,1511661600",
+]
 WEB_LOG = [
     f"10.0.0.1 u - 17/05/2015:10:{minute:02d}:00 +0000 GET /page/{minute % 3}" for minute in (5, 6, 7, 20, 1, 21)
 ]

@@ -210,7 +210,8 @@ def test_hourly_counts(replay, form):
 
 def test_final_ranking(replay, spark):
     events = arrivals(["pv", "buy"], 8, keys=12)
-    behaviors = replay.load(events).stream().select(F.col("key").alias("item_id"), F.col("kind").alias("behavior"), "ts")
+    stream = replay.load(events).stream()
+    behaviors = stream.select(F.col("key").alias("item_id"), F.col("kind").alias("behavior"), "ts")
     out = f"{replay.folder}/out"
     settings = {"n": 2, "size": "60 seconds", "slide": "20 seconds", "once": True}
     streams.hot_items(behaviors, out, f"{replay.folder}/checkpoint", **settings).awaitTermination()
@@ -234,7 +235,8 @@ def test_ranking_with_corrections(replay, spark):
     assert versions.agg(F.max("n")).head()[0] > 1
     # The upserted counts are the final ones.
     stored = sinks.newest_rows(sinks.read_log(spark, counts).drop("window_day"), ["url", "window_end"])
-    assert set(map(tuple, topn.top_n(stored, 2, ["url"]).select(F.unix_seconds("window_end"), "row_num", "url", "cnt").collect())) == expected
+    again = topn.top_n(stored, 2, ["url"]).select(F.unix_seconds("window_end"), "row_num", "url", "cnt")
+    assert set(map(tuple, again.collect())) == expected
 
 
 def test_click_cap(replay):
