@@ -199,11 +199,12 @@ def reconcile(
     placed = seen.withColumn("_index", F.row_number().over(line)).withColumn(
         "_chain", F.max(F.when(~F.col("_linked"), F.col("_index"))).over(running)
     )
-    # Slots a chain enters or leaves: rows, place of the last chain start, whether the first row is linked.
+    # Slots a chain enters or leaves: rows, place of the last chain start, whether the first row is linked. Counting
+    # the rows by side keeps this branch on the same columns as the main one, so that they share one shuffle.
     edges = (
         placed.groupBy("_on", SLOT)
         .agg(
-            F.count("*").alias("_rows"),
+            (F.count("_row0") + F.count("_row1")).alias("_rows"),
             F.max("_chain").alias("_last_chain"),
             F.max_by("_links_on", "_index").alias("_leaves"),
             F.min_by("_linked", "_index").alias("_enters"),
