@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyward.llm import packing
+from tallyward.llm import packing, suffixes
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,25 @@ def register(name: str, sql: str | None = None):
 def op5_packing(spark, sf_dir):
     """Pieces of whole documents packed into sequences of 4,096 ids."""
     return packing.pack(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY, 4096, 2, keep_ids=False)
+
+
+@register("op9_suffix_dedup")
+def op9_suffix_dedup(spark, sf_dir):
+    """What each document loses to strings of 200 bytes that are also elsewhere."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = suffixes.repeats(docs, 200).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    rows = docs.select(
+        "doc_id",
+        *suffixes.text_key("text"),
+        F.octet_length(body).cast("long").alias("n_bytes"),
+        F.sha2(body, 256).alias("whole_sha256"),
+    )
+    zero = F.lit(0).cast("long")
+    return rows.join(found, ["k1", "k2"], "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
+    )
