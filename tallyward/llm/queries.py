@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import packing, suffixes
+from tallyward.llm import minhash, packing, suffixes
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,9 @@ def op9_suffix_dedup(spark, sf_dir):
         F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
     )
+
+
+@register("op7_dart_minhash")
+def op7_dart_minhash(spark, sf_dir):
+    """The near-duplicate group of each document."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
