@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import minhash, packing, suffixes
+from tallyward.llm import decontaminate, minhash, packing, suffixes
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,29 @@ def op9_suffix_dedup(spark, sf_dir):
 def op7_dart_minhash(spark, sf_dir):
     """The near-duplicate group of each document."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+_WORDS = """list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w : w <> '')"""
+
+
+@register(
+    "op1_decontamination",
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    wins AS (SELECT DISTINCT item_id, w[i:i + 9] AS win FROM b, unnest(range(1, greatest(len(w) - 8, 2))) AS t(i)
+        WHERE len(w) > 0),
+    sizes AS (SELECT DISTINCT len(win) AS n FROM wins),
+    runs AS (SELECT doc_id, i, n, w[i:i + n - 1] AS run
+        FROM d, sizes, unnest(range(1, greatest(len(w) - n + 2, 1))) AS t(i)),
+    hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM runs JOIN wins ON run = win),
+    per_word AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(j) GROUP BY 1),
+    per_item AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::varchar, ','
+        ORDER BY item_id::varchar) AS ids FROM hits GROUP BY 1)
+    SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN per_word USING (doc_id) LEFT JOIN per_item USING (doc_id)""",
+)
+def op1_decontamination(spark, sf_dir):
+    """Which words of each document lie in benchmark items."""
+    documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.digests(decontaminate.contamination(documents, benchmark))
