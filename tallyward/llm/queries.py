@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import decontaminate, minhash, packing, suffixes
+from tallyward.llm import decontaminate, minhash, packing, pii, secrets, suffixes
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,15 @@ def op1_decontamination(spark, sf_dir):
     """Which words of each document lie in benchmark items."""
     documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return decontaminate.digests(decontaminate.contamination(documents, benchmark))
+
+
+@register("op3_pii")
+def op3_pii(spark, sf_dir):
+    """Personal data in each document."""
+    return pii.digests(pii.personal_spans(read_table(spark, sf_dir, "documents")))
+
+
+@register("op8_secrets")
+def op8_secrets(spark, sf_dir):
+    """Secrets in each document."""
+    return secrets.digests(secrets.secret_spans(read_table(spark, sf_dir, "documents")))
