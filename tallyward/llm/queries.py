@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import decontaminate, minhash, packing, pii, secrets, suffixes
+from tallyward.llm import decontaminate, minhash, packing, pii, secrets, suffixes, toxicity
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,11 @@ def op3_pii(spark, sf_dir):
 def op8_secrets(spark, sf_dir):
     """Secrets in each document."""
     return secrets.digests(secrets.secret_spans(read_table(spark, sf_dir, "documents")))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark, sf_dir):
+    """The toxicity score of each document."""
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    predicted = (F.col("score") >= 0.3).cast("int")
+    return toxicity.toxicity(documents, labels).select("doc_id", "held_out", "score", predicted.alias("predicted"), "flagged")

@@ -49,8 +49,8 @@ def text_parts(column: pa.Array, part_bytes: int = 1_000_000) -> Iterator[tuple[
         first = end
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and for each text the first word's place (one more at the end)."""
+def _located(data: np.ndarray, offsets: np.ndarray):
+    """Word starts and ends, running sums of the letters' hashes, and for each text the first word's place."""
     low = _LOWER[data]
     inside = np.zeros(len(data) + 1, bool)
     inside[:-1] = _INSIDE[low]
@@ -64,8 +64,30 @@ def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     _upto(len(data))
     sums = np.zeros(len(data) + 1, _U)
     np.cumsum(_LETTERS[low] * _powers["up"][: len(data)], out=sums[1:])
-    words = mixed((sums[ends] - sums[starts]) * _powers["down"][starts])
-    return words, np.searchsorted(starts, offsets)
+    return starts, ends, sums, np.searchsorted(starts, offsets)
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and for each text the first word's place (one more at the end)."""
+    starts, ends, sums, first = _located(data, offsets)
+    return mixed((sums[ends] - sums[starts]) * _powers["down"][starts]), first
+
+
+def hashed_prefixes(
+    data: np.ndarray, offsets: np.ndarray, lengths: tuple[int, ...], buckets: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per word the buckets (1 to ``buckets`` - 1) of the word and of its first bytes, and the texts' first places.
+
+    A prefix of a length that the word does not exceed has bucket 0. ``buckets`` is a power of two.
+    """
+    starts, ends, sums, first = _located(data, offsets)
+    down = _powers["down"][starts]
+    out = np.zeros((len(starts), 1 + len(lengths)), np.int32)
+    for i, length in enumerate((0, *lengths)):
+        to = ends if not length else np.minimum(starts + length, len(data))
+        hashed = mixed((sums[to] - sums[starts]) * down + _U(length)) & _U(buckets - 1)
+        out[:, i] = np.where(starts + length < ends, np.maximum(hashed, _U(1)).astype(np.int32), 0)
+    return out, first
 
 
 def shingles(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
