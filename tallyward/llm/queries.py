@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import decontaminate, minhash, packing, pii, secrets, suffixes, toxicity
+from tallyward.llm import decontaminate, licenses, minhash, packing, pii, secrets, suffixes, toxicity
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,10 @@ def op2_toxicity(spark, sf_dir):
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     predicted = (F.col("score") >= 0.3).cast("int")
     return toxicity.toxicity(documents, labels).select("doc_id", "held_out", "score", predicted.alias("predicted"), "flagged")
+
+
+@register("op4_licenses", licenses.oracle_sql())
+def op4_licenses(spark, sf_dir):
+    """Licences named or quoted in each document."""
+    found = licenses.licenses(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("licenses", F.array_join("licenses", ","))
