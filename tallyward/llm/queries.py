@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import decontaminate, licenses, minhash, packing, pii, secrets, suffixes, toxicity
+from tallyward.llm import (
+    decontaminate,
+    embeddings,
+    licenses,
+    minhash,
+    packing,
+    pii,
+    secrets,
+    suffixes,
+    token_counts,
+    toxicity,
+)
 from tallyward.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +28,7 @@ SQL: dict[str, str] = {}
 
 #: The vocabulary of the packing and counting queries; a parameter of the operators.
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def register(name: str, sql: str | None = None):
@@ -114,3 +126,16 @@ def op4_licenses(spark, sf_dir):
     """Licences named or quoted in each document."""
     found = licenses.licenses(read_table(spark, sf_dir, "documents"))
     return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
+@register("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    """Tokens of each line of each document, encoded as a whole."""
+    documents = read_table(spark, sf_dir, "documents")
+    return token_counts.section_tokens(documents, BYTE_VOCABULARY, public_tokenizers.PATTERN)
+
+
+@register("op10_embedding_dedup")
+def op10_embedding_dedup(spark, sf_dir):
+    """Links and components of the embeddings."""
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
