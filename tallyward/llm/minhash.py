@@ -6,10 +6,11 @@ hits a random coordinate. A document looks at its darts up to a rank that gives
 many elements it has, and keeps the earliest per coordinate (looking twice as far where a coordinate is empty). Two documents
 agree in a coordinate with a probability of their weighted Jaccard similarity.
 
-Coordinates are joined in bands. A bucket's members are paired with its smallest member only; pairs are verified on all
-shingles, linked ones grouped into components, and members of a bucket that are still in different components are then
-paired with each other. So a group of copies costs about one pair per member, and no link inside a bucket is lost
-but those between documents that are in one component anyway.
+Coordinates are joined in bands. A bucket's members are paired with its hub only: the member that meets most others over
+all its buckets, which among the copies of a text is the text itself or the copy nearest to it. Pairs are verified on all
+shingles and linked ones grouped into components. Members of a bucket that are then still in different components are
+compared with each other: those that belong to the same leading hub in tiles of a bounded size, which give a spanning
+forest and never their pairs, the few others as pairs. So no link inside a bucket is lost but those within one component.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tallyward.llm.textwords import hashed_words, mixed, shingles, text_parts
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
+#: Members, and visitors, of a tile.
+TILE = 128
 
 
 def weighted_units(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -170,45 +173,43 @@ def near_duplicates(
     nodes = signatures.filter(F.col("node").isNotNull())
     one_each = nodes.groupBy("node").agg(F.any_value("n_units").alias("n_units"), F.any_value("bands").alias("bands"))
     buckets = one_each.select("node", "n_units", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    members = stored(buckets.join(shared.select("bucket", "first"), "bucket"), "members")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = stored(buckets.join(shared, "bucket"), "buckets")
+    scores = met.groupBy("node").agg(F.sum("n").alias("score"))
+    members = stored(met.drop("n").join(scores, "node"), "members")
 
-    # Of two sizes the smaller must be at least the needed share of the larger.
-    sizes = members.select(F.col("node").alias("first"), F.col("n_units").alias("n_first")).distinct()
-    pairs = (
-        members.filter(F.col("node") != F.col("first"))
-        .select(F.col("first"), F.col("node"), "n_units")
-        .distinct()
-        .join(sizes, "first")
-        .filter(_near_sizes(F.col("n_first"), F.col("n_units"), percent))
-        .select(F.col("first").alias("a"), F.col("node").alias("b"))
-    )
     # One document for each node in a bucket; rows that repeat its id are harmless.
-    holders = members.select("node").distinct().join(nodes.groupBy("node").agg(F.min("doc_id").alias("id")), "node")
+    holders = scores.select("node").join(nodes.groupBy("node").agg(F.min("doc_id").alias("id")), "node")
     held = docs.join(holders.select("id").distinct(), docs[doc_id].eqNullSafe(F.col("id")), "left_semi")
     units = stored(unit_rows(held, n, text), "units")
-    links = stored(verified(pairs, units, percent), "links")
-    first_groups = components(links)
 
     label = F.coalesce("component", "node")
-    labelled = members.join(first_groups, "node", "left").select("bucket", "node", "n_units", "first", label.alias("component"))
-    mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    apart = stored(
-        labelled.join(mixed_buckets.filter("low <> high").select("bucket"), "bucket").select(
-            "bucket", "node", "n_units", "first", "component"
-        ),
-        "apart",
+    best = F.max(F.struct("score", "node", "n_units")).alias("best")
+    hubs = members.groupBy("bucket").agg(best).select("bucket", F.col("best.score").alias("hub_score"), F.col("best.node").alias("hub"), F.col("best.n_units").alias("hub_units"))
+    met = stored(members.join(hubs, "bucket"), "members")
+    pairs = (
+        met.filter((F.col("node") != F.col("hub")) & _near_sizes(F.col("n_units"), F.col("hub_units"), percent))
+        .select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        .distinct()
     )
+    links = stored(verified(pairs, units, percent), "links")
+    groups = components(links)
+
+    homes = met.groupBy("node").agg(F.max(F.struct("hub_score", "hub")).alias("home")).select("node", F.col("home.hub").alias("home"))
+    labelled = met.select("bucket", "node", "n_units").join(homes, "node").join(groups, "node", "left")
+    labelled = labelled.select("bucket", "node", "n_units", "home", label.alias("component"))
+    torn = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    apart = stored(labelled.join(torn.filter("low <> high").select("bucket"), "bucket"), "apart")
     x, y = apart.alias("x"), apart.alias("y")
     crossing = (
-        x.join(y, F.col("x.bucket") == F.col("y.bucket"))
-        .filter("x.component < y.component and x.node <> x.first and y.node <> y.first")
-        .filter(_near_sizes(F.col("x.n_units"), F.col("y.n_units"), percent))
+        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & (F.col("x.home") != F.col("y.home")) & _near_sizes(F.col("x.n_units"), F.col("y.n_units"), percent))
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
-    more = stored(verified(crossing, units, percent), "links")
-    groups = components(links.unionByName(more)) if more.limit(1).count() else first_groups
+    more = _tiled(apart.select("home", "node", "component").distinct(), units, percent)
+    more = stored(verified(crossing, units, percent).unionByName(more), "links")
+    if more.limit(1).count():
+        groups = components(links.unionByName(more))
 
     grouped = nodes.select("doc_id", "node").join(groups, "node", "left").withColumn("component", label)
     heads = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -219,5 +220,70 @@ def near_duplicates(
     )
 
 
+def _tiled(homes: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes (home, node, component) of one home, as a spanning forest of each tile.
+
+    Nodes outside their home's largest component visit all nodes of the home; both are dealt into blocks.
+    """
+    homes = stored(homes, "homes")
+    sizes = homes.groupBy("home", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("home").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("members"))
+    largest = largest.withColumn("visitors", F.col("members") - F.col("top.n")).filter("visitors > 0")
+    grid = largest.select(
+        "home",
+        F.col("top.component").alias("main"),
+        F.ceil(F.col("members") / TILE).cast("int").alias("m_blocks"),
+        F.ceil(F.col("visitors") / TILE).cast("int").alias("v_blocks"),
+    )
+    placed = homes.join(grid, "home")
+    spread = F.xxhash64("node")
+
+    def block(blocks: str):
+        return F.pmod(spread, F.col(blocks)).cast("int")
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    row = ["home", "m_block", "v_block", "visitor", "node"]
+    inside = placed.withColumns({"m_block": block("m_blocks"), "visitor": F.lit(False)}).withColumn("v_block", every("v_blocks"))
+    guests = placed.filter(F.col("component") != F.col("main"))
+    guests = guests.withColumns({"v_block": block("v_blocks"), "visitor": F.lit(True)}).withColumn("m_block", every("m_blocks"))
+    rows = inside.select(row).unionByName(guests.select(row)).join(units, "node")
+    return rows.groupBy("home", "m_block", "v_block").applyInArrow(lambda t: _linked_tile(t, percent), "a binary, b binary")
+
+
+def _linked_tile(table: pa.Table, percent: int) -> pa.Table:
+    nodes, visitor = table.column("node").to_pylist(), np.array(table.column("visitor").to_pylist(), bool)
+    sets = [np.frombuffer(x, _U) for x in table.column("units").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    # Units that only one node has can't be shared; the others make a small matrix.
+    shared = np.bincount(place, minlength=len(values)) > 1
+    column = np.cumsum(shared) - 1
+    kept = shared[place]
+    matrix = np.zeros((len(sets), int(shared.sum())), np.float32)
+    matrix[owner[kept], column[place[kept]]] = 1
+    query, member = np.flatnonzero(visitor), np.flatnonzero(~visitor)
+    both = np.rint(matrix[query] @ matrix[member].T).astype(np.int64)
+    together = sizes[query][:, None] + sizes[member][None, :] - both
+    head = {node: node for node in nodes}
+
+    def root(x):
+        while head[x] != x:
+            head[x] = head[head[x]]
+            x = head[x]
+        return x
+
+    edges = []
+    for i, j in zip(*np.nonzero(both * 100 >= percent * together)):
+        a, b = root(nodes[query[i]]), root(nodes[member[j]])
+        if a != b:
+            head[max(a, b)] = min(a, b)
+            edges.append((nodes[query[i]], nodes[member[j]]))
+    columns = list(zip(*edges)) or [[], []]
+    return pa.table([pa.array(c, pa.binary()) for c in columns], ["a", "b"])
+
+
 def _near_sizes(x, y, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
