@@ -122,7 +122,41 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     Defined results: a NULL or empty text has no spans; equal rows get equal results; an empty table gives no rows; other
     columns are ignored.
     """
-    df = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    return _spans(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")), ["doc_id"], least)
+
+
+def redacted(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", least: float = 10.0) -> DataFrame:
+    """``docs`` with the union of its secret spans replaced by ``mark`` in the text; other texts and columns as they are.
+
+    A column ``n_chars``, if there is one, is counted anew where the text has changed. NULL texts stay NULL.
+    """
+    whole = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    df = _spans(docs.select(whole, F.coalesce(F.col(text), F.lit("")).alias("_text")), ["_row", "_text"], least)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(got, s):
+        fresh = s["start"] >= got["at"]  # else it overlaps the span before
+        piece = F.concat(got["out"], F.substring("_text", got["at"] + 1, F.greatest(s["start"] - got["at"], F.lit(0))), F.lit(mark))
+        return F.struct(F.greatest(got["at"], s["end"]).alias("at"), F.when(fresh, piece).otherwise(got["out"]).alias("out"))
+
+    def finish(got):
+        return F.concat(got["out"], F.substring("_text", got["at"] + 1, F.char_length("_text")))
+
+    hit = F.size("spans") > 0
+    df = df.withColumn("_new", F.when(hit, F.aggregate("spans", start, step, finish)))
+    columns = []
+    for c in docs.columns:
+        old = F.col("_row").getField(c)
+        if c == text:
+            old = F.when(hit, F.col("_new")).otherwise(old)
+        elif c == "n_chars":
+            old = F.when(hit, F.char_length("_new").cast(docs.schema[c].dataType)).otherwise(old)
+        columns.append(old.alias(c))
+    return df.select(*columns)
+
+
+def _spans(df: DataFrame, keep: list[str], least: float) -> DataFrame:
+    """The columns ``keep`` with base and spans of ``_text``."""
     sign = F.col("_text").contains(":") | F.col("_text").contains("=")
     df = with_located(df, "_text", ASSIGN, "_assign", sign)
     df = with_located(df, "_text", ACCESS, "_access", F.col("_text").contains("AKIA"))
@@ -142,11 +176,11 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     apart = F.filter(
         "_values", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     )
-    df = df.select("doc_id", "base", F.when(F.size("_values") > 0, apart).otherwise(F.col("_values")).alias("values"))
+    df = df.select(*keep, "base", F.when(F.size("_values") > 0, apart).otherwise(F.col("_values")).alias("values"))
     df = df.withColumn("values", F.filter("values", lambda s: F.char_length(s["value"]) >= 6))
     costly = _costly(df, least)
     return costly.select(
-        "doc_id",
+        *keep,
         F.array_sort("base", _by_start).alias("base"),
         F.array_sort(F.concat("base", labelled(F.col("values"), "value", 3)), _by_start).alias("spans"),
     )
