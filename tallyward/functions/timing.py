@@ -67,16 +67,17 @@ def stamp_text(ts: str | Column) -> Column:
 
 
 def filter_rows(df: DataFrame, where: Column | None, ts: str) -> DataFrame:
-    """Filter a table, or a stream after its watermark.
+    """Filter a table, or a stream after its watermark. Rows without an event time are in no window and go as well.
 
     Spark pushes a plain filter below ``withWatermark``, where rows that fail it would no longer move time on. A
     predicate that mentions the time column stays above.
     """
+    timed = F.col(ts).isNotNull()
     if where is None:
-        return df
+        return df.filter(timed)
     if df.isStreaming:
         where = F.when(F.col(ts) > F.lit(_FAR_PAST).cast("timestamp"), where)
-    return df.filter(where)
+    return df.filter(timed & where)
 
 
 def as_wall_clock(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions.timing import Span, floor_to, micros, span_micros
-from tallyward.operators.slots import OWN, SLOT, US, with_slots
+from tallyward.operators.slots import OWN, SLOT, SLOT_FACTOR, US, with_slots
 
 # Bounds of the interval join, reconciliation tolerance, channel names.
 JOIN_LOWER, JOIN_UPPER = "-3 seconds", "5 seconds"
@@ -34,6 +34,30 @@ def _both_sides(left, right, on, left_ts, right_ts, left_seq=None, right_seq=Non
     return one.unionByName(two, allowMissingColumns=True)
 
 
+def _matchable(on: str, ts: str) -> Column:
+    """A row without a key or a time matches nothing: it is a single on its own."""
+    return F.col(on).isNotNull() & F.col(ts).isNotNull()
+
+
+def _split_off(left, right, on, left_ts, right_ts, names):
+    """The matchable rows of both sides, and the others as single rows ``names[0], names[1], channel``."""
+    singles = []
+    for df, ts, side in ((left, left_ts, 0), (right, right_ts, 1)):
+        row, none = F.struct(*df.columns), F.lit(None)
+        other = F.struct(*(right if side == 0 else left).columns)
+        kind = (right if side == 0 else left).select(other.alias("o")).schema["o"].dataType
+        columns = [row, none.cast(kind)] if side == 0 else [none.cast(kind), row]
+        singles.append(
+            df.filter(~_matchable(on, ts)).select(
+                columns[0].alias(names[0]),
+                columns[1].alias(names[1]),
+                F.lit(SINGLE_LEFT if side == 0 else SINGLE_RIGHT).alias("channel"),
+            )
+        )
+    kept = left.filter(_matchable(on, left_ts)), right.filter(_matchable(on, right_ts))
+    return *kept, singles[0].unionByName(singles[1])
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -46,8 +70,8 @@ def interval_join(
 ) -> DataFrame:
     """All pairs of equal ``on`` with ``right.ts`` in ``[left.ts + lower, left.ts + upper]``, as two structs.
 
-    In batch both sides are keyed by (``on``, time slot) with slots as long as the interval: a left row
-    meets at most two slots, a right row lies in exactly one, so no pair is found twice, rows that
+    In batch both sides are keyed by (``on``, time slot) with slots four times as long as the interval: one left row in
+    four meets a second slot, a right row lies in exactly one, so no pair is found twice, rows that
     are far apart in time are never compared, and a much used key is spread over its slots. On streams
     (both sides watermarked) the plain range condition is used, from which Spark derives when to drop state.
     """
@@ -64,7 +88,7 @@ def interval_join(
         )
         joined = left.join(right, same_key & near, "inner")
         return joined.select(left_struct.alias(names[0]), right_struct.alias(names[1]))
-    width = max(high - low, 1)
+    width = max(SLOT_FACTOR * (high - low), 1)
     lus, rus = F.col("_l_us"), F.col("_r_us")
     probe = left.withColumn("_l_us", micros("_l_" + left_ts)).withColumn(
         "_l_slot",
@@ -89,12 +113,15 @@ def with_partner_flag(
 ) -> DataFrame:
     """Every row of both sides once: ``_side`` (0 left, 1 right), ``_row0`` / ``_row1`` structs, ``has_partner``.
 
+    Rows without a key or a time have none.
+
     A row has a partner iff the nearest row of the other side before or after it is close enough, so one
     sorted pass per (key, slot) answers it without forming pairs.
     """
     span = span_micros(within)
     both = _both_sides(left, right, on, left_ts, right_ts)
-    rows = with_slots(both, "_ts", back=span, ahead=span)
+    matchable = F.col("_on").isNotNull() & F.col("_ts").isNotNull()
+    rows = with_slots(both.filter(matchable), "_ts", back=span, ahead=span)
     group = Window.partitionBy("_on", SLOT)
     # Range frames: rows of the same instant are seen from both directions.
     before = group.orderBy(F.asc(US)).rangeBetween(Window.unboundedPreceding, 0)
@@ -115,7 +142,7 @@ def with_partner_flag(
         "_row0",
         "_row1",
         (near(F.col(US) - F.col("_before")) | near(F.col("_after") - F.col(US))).alias("has_partner"),
-    )
+    ).unionByName(both.filter(~matchable).select("_side", "_row0", "_row1", F.lit(False).alias("has_partner")))
 
 
 def reconcile_pairs(
@@ -134,6 +161,7 @@ def reconcile_pairs(
     """
     span = span_micros(within)
     if left.isStreaming or right.isStreaming:
+        left, right, unmatched = _split_off(left, right, on, left_ts, right_ts, names)
         one, left_struct = _packed(left, "_l_")
         two, right_struct = _packed(right, "_r_")
         lts, rts = F.col("_l_" + left_ts), F.col("_r_" + right_ts)
@@ -147,7 +175,7 @@ def reconcile_pairs(
             F.when(~no_left, left_struct).alias(names[0]),
             F.when(~no_right, right_struct).alias(names[1]),
             F.when(no_right, SINGLE_LEFT).when(no_left, SINGLE_RIGHT).otherwise(MATCHED).alias("channel"),
-        )
+        ).unionByName(unmatched)
     pairs = interval_join(left, right, on, left_ts, right_ts, -span, span, names).withColumn("channel", F.lit(MATCHED))
     singles = with_partner_flag(left, right, on, left_ts, right_ts, within).filter(~F.col("has_partner"))
     return pairs.unionByName(
@@ -181,6 +209,7 @@ def reconcile(
     count so far, which comes from one small row per such slot.
     """
     span = span_micros(within)
+    left, right, unmatched = _split_off(left, right, on, left_ts, right_ts, names)
     both = _both_sides(left, right, on, left_ts, right_ts, left_seq, right_seq)
     rows = with_slots(both, "_ts", back=span, ahead=span)
     line = Window.partitionBy("_on", SLOT).orderBy(US, "_side", "_seq")
@@ -224,7 +253,7 @@ def reconcile(
         F.when(is_left, F.col("_row0")).when(F.col("_pairs"), F.col("_before0")).alias(names[0]),
         F.when(~is_left, F.col("_row1")).when(F.col("_pairs"), F.col("_before1")).alias(names[1]),
         F.when(F.col("_pairs"), MATCHED).when(is_left, SINGLE_LEFT).otherwise(SINGLE_RIGHT).alias("channel"),
-    )
+    ).unionByName(unmatched)
 
 
 def _one_side(flagged: DataFrame, side: int, partnered: bool) -> DataFrame:

@@ -16,13 +16,18 @@ def _with_end(df: DataFrame, ts: str, size: Span) -> DataFrame:
     return df.withColumn("window_end", F.timestamp_micros(last_window_end(micros(ts), size_us, size_us)))
 
 
+def _known(key: str, where: Column | None = None) -> Column:
+    known = F.col(key).isNotNull()
+    return known if where is None else known & where
+
+
 def unique_visitors(df: DataFrame, key: str, ts: str, size: Span, where: Column | None = None) -> DataFrame:
-    """Exact distinct keys per window: ``window_end, cnt``.
+    """Exact distinct keys per window: ``window_end, cnt``. A NULL key is no visitor.
 
     Two steps, (window, key) then window, so a hot window is spread over all its keys and the
     second step counts map-side. The same two steps run on a stream, where ``count_distinct`` is not allowed.
     """
-    df = filter_rows(df, where, ts)
+    df = filter_rows(df, _known(key, where), ts)
     if df.isStreaming:
         text = span_text(size)
         seen = df.groupBy(F.window(ts, text).alias("window"), key).agg(F.count("*").alias("_hits"))
@@ -32,11 +37,11 @@ def unique_visitors(df: DataFrame, key: str, ts: str, size: Span, where: Column
 
 
 def first_sightings(df: DataFrame, key: str, ts: str, size: Span, where: Column | None = None) -> DataFrame:
-    """Each key once per window, on first sight: ``window_end, <key>``. Runs on batches and streams.
+    """Each key that is not NULL once per window, on first sight: ``window_end, <key>``. Runs on batches and streams.
 
     ``window_end`` carries the watermark of ``ts`` on a stream, so state is dropped with its window.
     """
-    df = filter_rows(df, where, ts)
+    df = filter_rows(df, _known(key, where), ts)
     window = F.window(ts, span_text(size))
     return df.select(window["end"].alias("window_end"), key).dropDuplicates(["window_end", key])
 
@@ -51,7 +56,7 @@ def visitor_bitmaps(
     are then brought together by bucket: positions are shuffled, never half-empty bitmaps.
     """
     offset = poly_offset(key, base, bits)
-    bits_set = _with_end(df, ts, size).select("window_end", offset.alias("_offset")).distinct()
+    bits_set = _with_end(filter_rows(df, _known(key), ts), ts, size).select("window_end", offset.alias("_offset")).distinct()
     return (
         bits_set.select(
             "window_end",
@@ -71,7 +76,7 @@ def bitmap_totals(bitmaps: DataFrame) -> DataFrame:
 
 def visitor_sketches(df: DataFrame, key: str, ts: str, size: Span, lg_k: int = SKETCH_LG_K) -> DataFrame:
     """A mergeable distinct-count sketch per window: ``window_end, sketch`` (a few KiB, any row count)."""
-    return _with_end(df, ts, size).groupBy("window_end").agg(F.hll_sketch_agg(key, F.lit(lg_k)).alias("sketch"))
+    return _with_end(filter_rows(df, None, ts), ts, size).groupBy("window_end").agg(F.hll_sketch_agg(key, F.lit(lg_k)).alias("sketch"))
 
 
 def sketch_totals(sketches: DataFrame) -> DataFrame:

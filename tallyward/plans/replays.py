@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.functions.timing import filter_rows, span_micros
+from tallyward.functions.timing import filter_rows
 from tallyward.operators import visitors
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG, _flat_pairs, register
@@ -40,13 +40,21 @@ def _replay_settings(spark: SparkSession):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def _table_stream(spark: SparkSession, sf_dir: str, schema, name: str = "events") -> DataFrame:
+    """A table as a file stream, be it one file or a folder of part files (a plain path would not take a file)."""
+    path = f"{sf_dir}/{name}.parque[t]"
+    if not spark.read.schema(schema).parquet(path).inputFiles():
+        raise FileNotFoundError(path)
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def event_stream(spark: SparkSession, sf_dir: str, folder: str, delay=streams.IN_ORDER, **flush) -> DataFrame:
     """The events table as a watermarked stream that ends with a flush row."""
     events = tables.events(spark, sf_dir)
     stored = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     values = {"event_id": (1 << 62), "user_id": -1, "event_type": "flush", "props": "{}", **flush}
     streams.flush_row(events, _END, **values).write.mode("overwrite").parquet(f"{folder}/flush")
-    rows = spark.readStream.schema(stored).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = _table_stream(spark, sf_dir, stored)
     last = spark.readStream.schema(events.schema).parquet(f"{folder}/flush")
     rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
     return streams.watermarked(rows.unionByName(last), delay)
@@ -56,7 +64,7 @@ def replayed(spark: SparkSession, folder: str, result: DataFrame, mode: str = "a
     with _replay_settings(spark):
         writer = sinks.log_writer(f"{folder}/out")
         streams.run(result, writer, f"{folder}/checkpoint", mode, once=True).awaitTermination()
-    return sinks.read_log(spark, f"{folder}/out").drop(sinks.BATCH)
+    return sinks.read_log(spark, f"{folder}/out", result.schema).drop(sinks.BATCH)
 
 
 def _replay(name: str, same_as: str):
@@ -134,12 +142,48 @@ def order_followed_by(events):
     return rules.followed_by(tables.order_events(events), "order_id", "ts", "event_id", create, pay, "24 hours")
 
 
-@_replay("order_lifecycle", "order_lifecycle")
-def order_lifecycle(events):
-    """Per order and day; holding for a day makes every order of the day final."""
+@register("stream_order_lifecycle", CATALOG["order_lifecycle"].sql)
+def order_lifecycle(spark, sf_dir):
+    """Per order and day, with the default hold: the newest version of each order."""
+    folder, keys = sinks.shared_folder(spark, "order_lifecycle"), ["order_id", "day"]
     create, pay = F.col("event_type") == "signup", F.col("event_type") == "purchase"
-    orders = tables.order_events(events).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    return rules.life_cycle(orders, ("order_id", "day"), "ts", "event_id", create, pay, "4 hours", "1 day")
+    orders = tables.order_events(event_stream(spark, sf_dir, folder)).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    states = replayed(spark, folder, rules.life_cycle(orders, keys, "ts", "event_id", create, pay, "4 hours"))
+    return sinks.newest_rows(states, keys, "version")
+
+
+@register("stream_shipment_lifecycle", CATALOG["shipment_lifecycle"].sql)
+def shipment_lifecycle(spark, sf_dir):
+    """Orders and their shipments as one stream; shipments come up to months after the limit."""
+    folder = sinks.shared_folder(spark, "shipment_lifecycle")
+    batch = tables.order_and_shipments(spark, sf_dir)
+    creates, ships = (
+        _table_stream(spark, sf_dir, spark.read.parquet(f"{sf_dir}/{name}.parquet").schema, name)
+        for name in ("orders", "lineitem")
+    )
+    streams.flush_row(batch, _END, order_id=-1, event_type="flush", event_id=0).write.mode("overwrite").parquet(
+        f"{folder}/flush"
+    )
+    rows = creates.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.lit("create").alias("event_type"),
+        F.lit(0).alias("event_id"),
+        F.col("o_orderdate").cast("timestamp").alias("ts"),
+    ).unionByName(
+        ships.select(
+            F.col("l_orderkey").alias("order_id"),
+            F.lit("pay").alias("event_type"),
+            F.lit(1).alias("event_id"),
+            F.col("l_shipdate").cast("timestamp").alias("ts"),
+        )
+    )
+    rows = rows.unionByName(spark.readStream.schema(batch.schema).parquet(f"{folder}/flush"))
+    create, pay = F.col("event_type") == "create", F.col("event_type") == "pay"
+    # The tables are in order of keys, not of time: the watermark trails by more than their whole span.
+    states = rules.life_cycle(
+        streams.watermarked(rows, "4000 days"), ("order_id",), "ts", "event_id", create, pay, "60 days"
+    )
+    return sinks.newest_rows(replayed(spark, folder, states), ["order_id"], "version")
 
 
 @_replay("pay_reconcile_once", "pay_reconcile_once")
@@ -148,9 +192,7 @@ def pay_reconcile_once(events):
     kind = F.when(F.col("event_type") == "click", rules.FIRST).when(F.col("event_type") == "purchase", rules.SECOND)
     sided = events.withColumn("tx_id", F.col("user_id").cast("string")).withColumn("side", kind)
     sided = filter_rows(sided, F.col("side").isNotNull(), "ts")
-    found = rules.apply_rule(
-        sided, ("tx_id",), "ts", "event_id", F.col("side"), rules.ReconcileRule(span_micros("5 hours"))
-    )
+    found = rules.reconcile_sided(sided, "tx_id", "ts", "event_id", "side", "5 hours")
     return found.select("tx_id", F.col("left_seq").alias("pay_id"), F.col("right_seq").alias("receipt_id"), "channel")
 
 
@@ -181,7 +223,8 @@ def hot_items(spark, sf_dir):
     behaviors = tables.behaviors(event_stream(spark, sf_dir, folder))
     with _replay_settings(spark):
         streams.hot_items(behaviors, f"{folder}/out", f"{folder}/checkpoint", once=True, view="view").awaitTermination()
-    return sinks.read_log(spark, f"{folder}/out").drop(sinks.BATCH)
+    ranked = CATALOG["hot_items_topn"].run(spark, sf_dir).schema
+    return sinks.read_log(spark, f"{folder}/out", ranked).drop(sinks.BATCH)
 
 
 @register("stream_top_pages", CATALOG["top_pages"].sql)
@@ -200,8 +243,7 @@ def top_pages(spark, sf_dir):
 @register("stream_late_split", CATALOG["late_split"].sql)
 def late_split(spark, sf_dir):
     folder = sinks.shared_folder(spark, "late_split")
-    events = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
-    rows = events.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    rows = _table_stream(spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema)
     log = tables.disordered_web_log(rows.withColumn("ts", F.col("ts").cast("timestamp")))
     streams.late_split(
         log,

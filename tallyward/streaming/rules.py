@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tallyward.functions.timing import Span, micros, span_micros
+from tallyward.functions.timing import Span, filter_rows, micros, span_micros
 from tallyward.operators import anchored, failures, matching, orders
 
 _WARNING = "first_us bigint, last_us bigint"
@@ -33,6 +33,9 @@ _CHUNK = 1000
 # Kinds of an event as seen by a rule.
 OTHER, FIRST, SECOND = 0, 1, 2
 
+# States of an order: nothing reported, reported once without its other half, complete.
+WAITING, ANSWERED, DONE = 0, 1, 2
+
 
 @dataclass(frozen=True)
 class PairRule:
@@ -136,35 +139,43 @@ class FollowedByRule:
 
 @dataclass(frozen=True)
 class LifeCycleRule:
-    """First create and first pay of an order, in any order; waits ``hold`` beyond the limit for the other one."""
+    """First create and first pay of an order, in any order; waits ``hold`` beyond the limit for the other one.
+
+    A small marker of the order stays, so that the other one, when it comes after that, corrects the answer (version 1)
+    instead of starting a second order. ``remember`` limits how long; without it the marker stays for good.
+    """
 
     within: int
     hold: int
-    memory_schema = "create_us bigint, pay_us bigint, done boolean"
-    output_schema = "create_us bigint, pay_us bigint, channel string"
+    remember: int | None = None
+    memory_schema = "create_us bigint, pay_us bigint, state int"
+    output_schema = "create_us bigint, pay_us bigint, channel string, version int"
 
     def step(self, memory, event):
-        create, pay, done = memory or (None, None, False)
-        if done or event.kind not in (FIRST, SECOND):
+        create, pay, state = memory or (None, None, WAITING)
+        if state == DONE or event.kind not in (FIRST, SECOND):
             return memory, []
         if event.kind == FIRST and create is None:
             create = event.us
         if event.kind == SECOND and pay is None:
             pay = event.us
         if create is None or pay is None:
-            return (create, pay, False), []
+            return (create, pay, state), []
         channel = orders.PAYED if pay - create < self.within else orders.LATE_PAY
-        return (create, pay, True), [(create, pay, channel)]
+        return (create, pay, DONE), [(create, pay, channel, int(state == ANSWERED))]
 
     def deadline(self, memory):
-        create, pay, _ = memory
-        return max(us for us in (create, pay) if us is not None) + self.within + self.hold
+        create, pay, state = memory
+        since = max(us for us in (create, pay) if us is not None) + self.within + self.hold
+        if state == WAITING:
+            return since
+        return None if self.remember is None else since + self.remember
 
     def expire(self, memory):
-        create, pay, done = memory
-        if done:
+        create, pay, state = memory
+        if state != WAITING:
             return None, []
-        return None, [(create, pay, orders.TIMEOUT if pay is None else orders.NO_CREATE)]
+        return (create, pay, ANSWERED), [(create, pay, orders.TIMEOUT if pay is None else orders.NO_CREATE, 0)]
 
 
 @dataclass(frozen=True)
@@ -172,6 +183,8 @@ class ReconcileRule:
     """One-to-one matching of left (FIRST) and right (SECOND) rows at most ``within`` apart."""
 
     within: int
+    # The two sides' numbers have nothing to do with each other: at one instant left rows come first, as in batch.
+    side_first = True
     memory_schema = "us bigint, seq bigint, kind int"
     output_schema = "left_seq bigint, left_us bigint, right_seq bigint, right_us bigint, channel string"
 
@@ -232,7 +245,8 @@ class OrderedProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
-        events = sorted(tuple(e) for e in self.waiting.get())
+        by_side = getattr(self.rule, "side_first", False)
+        events = sorted((tuple(e) for e in self.waiting.get()), key=lambda e: (e[0], e[2], e[1]) if by_side else e)
         ready = [e for e in events if e[0] < passed]
         memory = tuple(self.memory.get()) if self.memory.exists() else None
         before, out = memory, []
@@ -255,14 +269,17 @@ class OrderedProcessor(StatefulProcessor):
                 self.memory.clear()
             else:
                 self.memory.update(memory)
-        if memory is not None:
+        if memory is not None and self.rule.deadline(memory) is not None:
             self._wake_after(self.rule.deadline(memory))
         for values in out:
             yield self.out(*key, *values)
 
     def _expired(self, memory, now: int):
         out = []
-        while memory is not None and self.rule.deadline(memory) < now:
+        while memory is not None:
+            deadline = self.rule.deadline(memory)
+            if deadline is None or deadline >= now:
+                break
             memory, made = self.rule.expire(memory)
             out += made
         return memory, out
@@ -272,7 +289,11 @@ class OrderedProcessor(StatefulProcessor):
 
 
 def apply_rule(events: DataFrame, keys: tuple[str, ...], ts: str, seq: str, kind, rule) -> DataFrame:
-    """Run a rule per key over a watermarked stream; time columns of the result are timestamps."""
+    """Run a rule per key over a watermarked stream; time columns of the result are timestamps.
+
+    Events without a time have no place in the order and are left out.
+    """
+    events = filter_rows(events, None, ts)
     types = {f.name: f.dataType.simpleString() for f in events.schema.fields}
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [rule.output_schema])
     slim = events.select(
@@ -335,16 +356,51 @@ def followed_by(events, key, ts, seq, create, pay, within: Span = orders.PAY_WIT
 
 
 def life_cycle(
-    events, keys, ts, seq, create, pay, within: Span = orders.PAY_WITHIN, hold: Span = orders.PAY_WITHIN
+    events,
+    keys,
+    ts,
+    seq,
+    create,
+    pay,
+    within: Span = orders.PAY_WITHIN,
+    hold: Span = orders.PAY_WITHIN,
+    remember: Span | None = None,
 ) -> DataFrame:
-    rule = LifeCycleRule(span_micros(within), span_micros(hold))
+    """One row per order, and a second one (``version`` 1) if its other half comes after the answer.
+
+    The row with the highest version is the order's state: ``sinks.newest_rows(log, keys, "version")``.
+    """
+    kept = None if remember is None else span_micros(remember)
+    rule = LifeCycleRule(span_micros(within), span_micros(hold), kept)
     found = apply_rule(events, tuple(keys), ts, seq, _order_kind(create, pay), rule)
     return found.withColumn("result_msg", orders.lifecycle_text("channel"))
 
 
 def reconcile(left, right, on, ts, seq, within: Span = matching.RECONCILE_WITHIN) -> DataFrame:
-    """Both sides as one stream of (FIRST, SECOND) events; one watermark covers the two."""
+    """Both sides as one stream of (FIRST, SECOND) events; one watermark covers the two.
+
+    Rows without a key or a time match nothing and are singles at once.
+    """
     both = left.select(on, ts, seq, F.lit(FIRST).alias("side")).unionByName(
         right.select(on, ts, seq, F.lit(SECOND).alias("side"))
     )
-    return apply_rule(both, (on,), ts, seq, F.col("side"), ReconcileRule(span_micros(within)))
+    return reconcile_sided(both, on, ts, seq, "side", within)
+
+
+def reconcile_sided(both, on, ts, seq, side: str, within: Span = matching.RECONCILE_WITHIN) -> DataFrame:
+    """``reconcile`` for a stream that has both sides already, told apart by the column ``side``."""
+    matchable = F.col(on).isNotNull() & F.col(ts).isNotNull()
+    found = apply_rule(
+        filter_rows(both, F.col(on).isNotNull(), ts), (on,), ts, seq, F.col(side), ReconcileRule(span_micros(within))
+    )
+    is_left = F.col(side) == FIRST
+    number, time = F.col(seq).cast("bigint"), F.col(ts)
+    alone = both.filter(~matchable).select(
+        on,
+        F.when(is_left, number).alias("left_seq"),
+        F.when(is_left, time).alias("left_ts"),
+        F.when(~is_left, number).alias("right_seq"),
+        F.when(~is_left, time).alias("right_ts"),
+        F.when(is_left, matching.SINGLE_LEFT).otherwise(matching.SINGLE_RIGHT).alias("channel"),
+    )
+    return found.unionByName(alone)

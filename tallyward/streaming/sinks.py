@@ -6,12 +6,13 @@ failure replaces its own output and nothing else. Readers pick the newest rows.
 
 from __future__ import annotations
 
-import tempfile
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 BATCH = "batch_id"
 _DAY = "window_day"
@@ -20,10 +21,16 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is not set."""
+    """A fresh folder under the session's ``spark.checkpoint.dir``, or under its warehouse where that is not set.
+
+    On a cluster the warehouse must then be a place that all machines see.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        return tempfile.mkdtemp(prefix=f"{name}-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/_streams"
+        master = spark.conf.get("spark.master", "local")
+        if not re.match(r"local($|\[)", master) and re.match(r"file:|/|[^:]*$", root):
+            raise RuntimeError(f"set spark.checkpoint.dir: {root} is local to the driver")
     return f"{root.rstrip('/')}/{name}-{spark.sql('SELECT uuid()').head()[0]}"
 
 
@@ -49,15 +56,17 @@ def channel_writer(path: str, channel: str = "channel") -> BatchWriter:
     return write
 
 
-def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """All batches of a log with their ``batch_id``; None if nothing was written yet."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+def read_log(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """All batches of a log with their ``batch_id``.
+
+    If nothing was written yet: an empty frame where ``schema`` (without ``batch_id``) tells the columns, else an error.
+    """
     try:
-        return reader.parquet(path)
+        return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+        if schema is None or error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], StructType([*schema.fields, StructField(BATCH, IntegerType())]))
 
 
 def newest_groups(log: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -66,10 +75,10 @@ def newest_groups(log: DataFrame, by: Sequence[str]) -> DataFrame:
     return log.join(last, [*by, BATCH], "left_semi").drop(BATCH)
 
 
-def newest_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+def newest_rows(log: DataFrame, keys: Sequence[str], version: str = BATCH) -> DataFrame:
     """The last version of each keyed row (a keyed store filled by upserts)."""
-    rest = [c for c in log.columns if c not in (*keys, BATCH)]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("_row"))
+    rest = [c for c in log.columns if c not in (*keys, BATCH, version)]
+    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("_row"))
     return newest.select(*keys, "_row.*")
 
 

@@ -27,8 +27,8 @@ INPUTS = {
     "top": [WEB_LOG],
     "late": [WEB_LOG],
     "channel": [MARKETING],
-    "ad": [samples.ad_click_lines()],
-    "province": [samples.ad_click_lines()],
+    "ad": [samples.AD_CLICKS.splitlines()],
+    "province": [samples.AD_CLICKS.splitlines()],
     "login": [samples.LOGINS.splitlines()],
     "order": [samples.ORDERS.splitlines()],
     "pay": [samples.ORDERS.splitlines(), samples.RECEIPTS.splitlines()],

@@ -26,7 +26,7 @@ def receipts(lines_of):
 
 @pytest.fixture
 def clicks(lines_of):
-    return parsed(lines_of, samples.ad_click_lines(), schemas.AD_CLICK)
+    return parsed(lines_of, samples.AD_CLICKS.splitlines(), schemas.AD_CLICK)
 
 
 def parsed(lines_of, text_lines, schema):

@@ -118,6 +118,7 @@ def test_life_cycle(replay):
     events = [(key, t + 1000, seq, kind) for key, t, seq, kind in events]
     create, pay = F.col("kind") == "create", F.col("kind") == "pay"
     found = replay.run(rules.life_cycle(replay.load(events).stream(), ["key"], "ts", "seq", create, pay))
+    found = sinks.newest_rows(found, ["key"], "version")
     assert {r.key: r.channel for r in found.collect()} == {
         1: "payed-but-timeout",
         2: "payed",
@@ -282,7 +283,8 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         (1, "main", 7),
         (2, "side", 7),
     ]
-    assert sinks.read_log(spark, str(tmp_path / "nothing")) is None
+    empty = sinks.read_log(spark, str(tmp_path / "nothing"), batch.schema)
+    assert empty.columns == ["id", "channel", "batch_id"] and empty.count() == 0
 
 
 class Settings:
@@ -297,7 +299,10 @@ class Settings:
 
 
 def test_shared_folder_follows_the_session(spark, tmp_path):
-    assert "/tally-" in sinks.shared_folder(spark, "tally")
+    local = Settings(spark, **{"spark.sql.warehouse.dir": f"{tmp_path}/house"})
+    assert sinks.shared_folder(local, "tally").startswith(f"{tmp_path}/house/_streams/tally-")
+    with pytest.raises(RuntimeError):
+        sinks.shared_folder(Settings(spark, **{"spark.master": "yarn"}), "tally")
     cluster = Settings(spark, **{"spark.checkpoint.dir": f"{tmp_path}/shared/"})
     folders = {sinks.shared_folder(cluster, "tally") for _ in range(2)}
     assert len(folders) == 2 and all(f.startswith(f"{tmp_path}/shared/tally-") for f in folders)
@@ -308,3 +313,86 @@ def test_equal_times_in_the_next_batch_are_kept(replay):
     stream = replay.stream(streams.IN_ORDER)
     found = rules.consecutive_pairs(stream, "key", "ts", "seq", failed(), "2 seconds")
     assert warned(replay.run(found)) == [(0, 100, 100)]
+
+
+# NULL keys, NULL times and ties: every row of either side is in the result.
+_LEFT = [(1, 10, 0), (None, 10, 1), (1, None, 2), (2, 30, 3), (3, 40, 5), (3, 40, 6)]
+_RIGHT = [(1, 11, 0), (None, 10, 1), (2, None, 2), (4, 30, 3), (3, 40, 4)]
+
+
+def _sides(spark, streaming=None):
+    frames = []
+    for i, rows in enumerate((_LEFT, _RIGHT)):
+        df = spark.createDataFrame([(k, t, n, "a") for k, t, n in rows], COLUMNS)
+        df = df.withColumn("ts", F.timestamp_seconds("t"))
+        if streaming:
+            path = f"{streaming}/{i}"
+            df.write.parquet(path)
+            flush = spark.createDataFrame([(-1 - i, 10**9, 99, "a")], COLUMNS).withColumn("ts", F.timestamp_seconds("t"))
+            flush.write.mode("append").parquet(path)
+            df = streams.watermarked(spark.readStream.schema(df.schema).parquet(path))
+        frames.append(df)
+    return frames
+
+
+def _matched(found):
+    rows = found.select("pay.seq", F.col("receipt.seq").alias("other"), "channel").collect()
+    return sorted(((r.seq, r.other, r.channel) for r in rows if 99 not in (r.seq, r.other)), key=str)
+
+
+_SINGLES = [(1, None, "single-pay"), (2, None, "single-pay"), (3, None, "single-pay")]
+_SINGLES += [(None, n, "single-receipt") for n in (1, 2, 3)]
+
+
+def test_pairs_account_for_every_row(spark, tmp_path):
+    expected = sorted([(0, 0, "matched"), (5, 4, "matched"), (6, 4, "matched"), *_SINGLES], key=str)
+    assert _matched(matching.reconcile_pairs(*_sides(spark), "key", "ts", "ts", "5 seconds")) == expected
+    stream = matching.reconcile_pairs(*_sides(spark, str(tmp_path / "in")), "key", "ts", "ts", "5 seconds")
+    assert _matched(Replay(spark, str(tmp_path)).run(stream)) == expected
+    flagged = matching.with_partner_flag(*_sides(spark), "key", "ts", "ts", "5 seconds")
+    assert flagged.count() == len(_LEFT) + len(_RIGHT)
+    assert flagged.filter("has_partner").count() == 5
+
+
+def test_reconcile_accounts_for_every_row_and_breaks_ties_alike(spark, tmp_path):
+    # At one instant left rows come first: the second of two lefts meets the right row.
+    expected = sorted([(0, 0, "matched"), (6, 4, "matched"), (5, None, "single-pay"), *_SINGLES], key=str)
+    batch = matching.reconcile(*_sides(spark), "key", "ts", "ts", "seq", "seq", "5 seconds")
+    assert _matched(batch) == expected
+    found = rules.reconcile(*_sides(spark, str(tmp_path / "in")), "key", "ts", "seq", "5 seconds")
+    rows = Replay(spark, str(tmp_path)).run(found).collect()
+    got = [(r.left_seq, r.right_seq, r.channel) for r in rows if 99 not in (r.left_seq, r.right_seq)]
+    assert sorted(got, key=str) == expected
+
+
+def test_life_cycle_corrects_its_answer(replay, spark):
+    """With the default hold; a pay 40 minutes after the create, a create after a lone pay."""
+    events = [(1, 0, 0, "create"), (2, 10, 1, "pay"), (1, 2400, 2, "pay"), (3, 2500, 3, "other"), (2, 9000, 4, "create")]
+    events += [(1, 20000, 5, "pay"), (4, 20001, 6, "create")]
+    events = [(key, t + 1000, seq, kind) for key, t, seq, kind in events]
+    create, pay = F.col("kind") == "create", F.col("kind") == "pay"
+    stream = replay.load(events, parts=6).stream("1 second")
+    rows = replay.run(rules.life_cycle(stream, ["key"], "ts", "seq", create, pay))
+    newest = {r.key: r.channel for r in sinks.newest_rows(rows, ["key"], "version").collect()}
+    assert newest == {1: "payed-but-timeout", 2: "payed", 4: "timeout"}
+    assert rows.groupBy("key").count().filter("count > 2").count() == 0
+
+
+def test_rows_without_time_or_visitor(replay, spark):
+    events = arrivals(["a"], 12, keys=5, share=1)
+    stream = replay.load(events).stream()
+    batch = spark.createDataFrame(events, COLUMNS).withColumn("ts", F.timestamp_seconds("t"))
+
+    def holed(df):
+        visitor = F.when(F.col("seq") % 5 == 0, None).otherwise(F.col("key")).alias("visitor")
+        return df.select(visitor, "seq", F.when(F.col("seq") % 7 != 0, F.col("ts")).alias("ts"))
+
+    late = visitors.unique_visitors(holed(batch), "visitor", "ts", "60 seconds")
+    assert late.filter("window_end is null").count() == 0
+    counted = windows.windowed_counts(holed(batch), [], "ts", "60 seconds")
+    assert counted.filter("window_end is null").count() == 0
+    known = stream.filter("seq is not null").withColumn("visitor", F.when(F.col("seq") % 5 == 0, None).otherwise(F.col("key")))
+    on_stream = replay.run(visitors.unique_visitors(known, "visitor", "ts", "60 seconds"))
+    alike = batch.withColumn("visitor", F.when(F.col("seq") % 5 == 0, None).otherwise(F.col("key")))
+    expected = visitors.unique_visitors(alike, "visitor", "ts", "60 seconds")
+    assert sorted(map(tuple, on_stream.select("window_end", "cnt").collect())) == sorted(map(tuple, expected.collect()))
