@@ -20,7 +20,7 @@ _SEQ = "seq"
 
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    return lines.read_lines(spark, path).withColumn(_SEQ, F.monotonically_increasing_id())
+    return lines.numbered_lines(spark, path, _SEQ)
 
 
 def _records(spark: SparkSession, path: str, schema, unit: str = lines.SECONDS) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyward import schemas
 from tallyward.functions.hashing import BITMAP_BITS, POLY_BASE
 from tallyward.functions.timing import as_wall_clock
-from tallyward.operators import visitors
+from tallyward.operators import visitors, windows
 from tallyward.plans import jobs, tables
 from tallyward.sources import lines
 
@@ -582,6 +582,122 @@ def _cut_values(spark, sf_dir) -> DataFrame:
     )
 
 
+def _round_trip(rows: DataFrame, schema) -> DataFrame:
+    """Through message values and back."""
+    return lines.parsed_only(lines.parse_records(lines.encode_records(rows, schema), schema))
+
+
+_SECOND = "date_trunc('second', ts) AS ts"
+
+
+@register(
+    "parse_ad",
+    f"""SELECT user_id, event_id AS ad_id, 'province' || {_TOPIC} AS province, event_type AS city, {_SECOND} FROM events""",
+)
+def parse_ad(spark, sf_dir):
+    events = tables.events(spark, sf_dir)
+    province = F.concat(F.lit("province"), tables.topic(events)).alias("province")
+    rows = events.select("user_id", F.col("event_id").alias("ad_id"), province, F.col("event_type").alias("city"), "ts")
+    return _round_trip(rows, schemas.AD_CLICK)
+
+
+@register(
+    "parse_login", f"SELECT user_id, '10.0.0.' || {_TOPIC} AS ip, event_type, {_SECOND} FROM events"
+)
+def parse_login(spark, sf_dir):
+    events = tables.events(spark, sf_dir)
+    ip = F.concat(F.lit("10.0.0."), tables.topic(events)).alias("ip")
+    return _round_trip(events.select("user_id", ip, "event_type", "ts"), schemas.LOGIN)
+
+
+_ORDER_TX = "CASE WHEN event_type = 'purchase' THEN 'tx' || event_id ELSE '' END"
+
+
+def _order_rows(events: DataFrame) -> DataFrame:
+    tx = F.when(F.col("event_type") == "purchase", F.concat(F.lit("tx"), F.col("event_id").cast("string"))).otherwise("")
+    return events.select(F.col("user_id").alias("order_id"), "event_type", tx.alias("tx_id"), "ts")
+
+
+@register("parse_order", f"SELECT user_id AS order_id, event_type, {_ORDER_TX} AS tx_id, {_SECOND} FROM events")
+def parse_order(spark, sf_dir):
+    """Orders without a transaction keep their empty one."""
+    return _round_trip(_order_rows(tables.events(spark, sf_dir)), schemas.ORDER)
+
+
+@register(
+    "payments",
+    f"SELECT user_id AS order_id, event_type, {_ORDER_TX} AS tx_id, ts FROM events WHERE event_type = 'purchase'",
+)
+def payments(spark, sf_dir):
+    return jobs.payments(_order_rows(tables.events(spark, sf_dir)))
+
+
+@register("parse_receipt", f"SELECT 'tx' || event_id AS tx_id, event_type AS pay_channel, {_SECOND} FROM events")
+def parse_receipt(spark, sf_dir):
+    events = tables.events(spark, sf_dir)
+    tx = F.concat(F.lit("tx"), F.col("event_id").cast("string")).alias("tx_id")
+    return _round_trip(events.select(tx, F.col("event_type").alias("pay_channel"), "ts"), schemas.RECEIPT)
+
+
+@register(
+    "values_per_window",
+    f"""SELECT event_type, time_bucket(interval 1 hour, ts) AS window_start, {_HOUR_END} AS window_end,
+               max(event_id) AS last_id, count(DISTINCT user_id) AS users, min({_TOPIC}::bigint) AS lowest
+        FROM events GROUP BY ALL""",
+)
+def values_per_window(spark, sf_dir):
+    """Aggregates of one's own per key and window."""
+    events = tables.events(spark, sf_dir)
+    return windows.windowed_aggregates(
+        events,
+        ["event_type"],
+        "ts",
+        "1 hour",
+        last_id=F.max("event_id"),
+        users=F.count_distinct("user_id"),
+        lowest=F.min(tables.topic(events).cast("bigint")),
+    )
+
+
+_HOLED = """(SELECT event_type, CASE WHEN event_id % 5 <> 0 THEN user_id END AS user_id,
+    CASE WHEN event_id % 7 <> 0 THEN ts END AS ts FROM events)"""
+
+
+def _holed(events: DataFrame) -> DataFrame:
+    """Events of which some have no visitor and some no time."""
+    return events.select(
+        "event_type",
+        F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user_id"),
+        F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ts"),
+    )
+
+
+@register(
+    "pv_without_time",
+    f"""SELECT {_HOUR_END} AS window_end, count(*) AS cnt FROM {_HOLED} WHERE event_type = 'view' AND ts IS NOT NULL
+        GROUP BY ALL""",
+)
+def pv_without_time(spark, sf_dir):
+    rows = _holed(tables.events(spark, sf_dir)).withColumnRenamed("event_type", "behavior")
+    return jobs.page_views(rows, view="view")
+
+
+@register(
+    "uv_without_visitor",
+    f"""SELECT {_HOUR_END} AS window_end, count(DISTINCT user_id) AS cnt FROM {_HOLED}
+        WHERE event_type = 'view' AND ts IS NOT NULL AND user_id IS NOT NULL GROUP BY ALL""",
+)
+def uv_without_visitor(spark, sf_dir):
+    rows = _holed(tables.events(spark, sf_dir)).withColumnRenamed("event_type", "behavior")
+    return jobs.unique_visitors(rows, view="view")
+
+
+@register("top_pages_fine", _ranked(_sliding(_LOG, "url", "10 minute", "5 second", "event_type = 'view'"), "url", 3))
+def top_pages_fine(spark, sf_dir):
+    """Pages at the job's own slide of five seconds."""
+    return jobs.top_pages(tables.web_log(tables.events(spark, sf_dir)))
+
+
 @register(
     "parse_log",
     f"""SELECT '10.0.0.' || {_TOPIC} AS ip, user_id::varchar AS user_id, date_trunc('second', ts) AS ts,

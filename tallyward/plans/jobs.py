@@ -53,22 +53,25 @@ def hot_items_sql(
     size: Span = HOUR,
     slide: Span = ITEM_SLIDE,
     view: str = VIEW,
-    name: str = "item_window_counts",
 ) -> DataFrame:
-    """The same ranking with a registered view and SQL text."""
-    behaviors.select("item_id", "behavior", "ts").createOrReplaceTempView(f"{name}_input")
+    """The same ranking in SQL text; tables and values are arguments, so no view of that name is left behind."""
     spark = behaviors.sparkSession
-    spark.sql(
+    # The spans are made from numbers: a window's size must be a literal.
+    spans = f"'{span_text(size)}', '{span_text(slide)}'"
+    counts = spark.sql(
         f"""SELECT item_id, count(item_id) AS cnt, w.end AS window_end
-            FROM (SELECT item_id, window(ts, '{span_text(size)}', '{span_text(slide)}') AS w
-                  FROM {name}_input WHERE behavior = '{view}')
-            GROUP BY item_id, w"""
-    ).createOrReplaceTempView(name)
+            FROM (SELECT item_id, window(ts, {spans}) AS w FROM {{behaviors}} WHERE behavior = :view)
+            GROUP BY item_id, w""",
+        args={"view": view},
+        behaviors=behaviors.select("item_id", "behavior", "ts"),
+    )
     return spark.sql(
-        f"""SELECT * FROM (
+        """SELECT * FROM (
                 SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
-                FROM {name})
-            WHERE row_num <= {int(n)}"""
+                FROM {counts})
+            WHERE row_num <= :n""",
+        args={"n": int(n)},
+        counts=counts,
     )
 
 

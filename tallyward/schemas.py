@@ -25,12 +25,3 @@ MARKETING = _struct(user_id=_TEXT, behavior=_TEXT, channel=_TEXT, ts=_TIME)
 LOGIN = _struct(user_id=_LONG, ip=_TEXT, event_type=_TEXT, ts=_TIME)
 ORDER = _struct(order_id=_LONG, event_type=_TEXT, tx_id=_TEXT, ts=_TIME)
 RECEIPT = _struct(tx_id=_TEXT, pay_channel=_TEXT, ts=_TIME)
-
-ITEM_COUNT = _struct(item_id=_LONG, cnt=_LONG, window_end=_TIME)
-PAGE_COUNT = _struct(url=_TEXT, cnt=_LONG, window_end=_TIME)
-WINDOW_COUNT = _struct(window_end=_TIME, cnt=_LONG)
-CHANNEL_COUNT = _struct(window_start=_TIME, window_end=_TIME, channel=_TEXT, behavior=_TEXT, cnt=_LONG)
-PROVINCE_COUNT = _struct(window_end=_TIME, province=_TEXT, cnt=_LONG)
-AD_WARNING = _struct(user_id=_LONG, ad_id=_LONG, msg=_TEXT)
-LOGIN_WARNING = _struct(user_id=_LONG, first_fail_ts=_TIME, last_fail_ts=_TIME, msg=_TEXT)
-ORDER_RESULT = _struct(order_id=_LONG, result_msg=_TEXT, channel=_TEXT)

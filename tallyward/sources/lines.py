@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampType
 
@@ -25,6 +25,26 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False, **option
     return reader.options(**options).text(path)
 
 
+def numbered_lines(spark: SparkSession, path: str, number: str = "seq") -> DataFrame:
+    """Text lines with their number, counted from 0 through all files in order of their paths.
+
+    How Spark packs files into tasks has no part in it: lines are numbered within their piece of a file, and pieces,
+    of which there are few, by (path, start).
+    """
+    rows = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    pieces = rows.groupBy("_path", "_start").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("_path", "_start", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return rows.join(pieces, ["_path", "_start"]).select(
+        "value", (F.col("_before") + F.col("_at") - F.col("_first")).alias(number)
+    )
+
+
 def read_records(
     spark: SparkSession, path: str, schema: StructType, streaming: bool = False, unit: str = SECONDS, **options
 ) -> DataFrame:

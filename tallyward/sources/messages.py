@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyward.sources.lines import SECONDS, encode_records, parse_records
+from tallyward.sources.lines import SECONDS, encode_records
 
 # Default topic of the item job and the start position.
 ITEM_TOPIC = "hotitems"
@@ -34,27 +34,21 @@ def read_topic(
     )
     try:
         return message_values(reader.load())
-    except AnalysisException as missing:
-        raise RuntimeError(_HINT) from missing
+    except AnalysisException as error:
+        raise _explained(error) from error
 
 
-def read_topic_records(
-    spark: SparkSession, servers: str, schema: StructType, topic: str = ITEM_TOPIC, unit: str = SECONDS, **options
-) -> DataFrame:
-    return parse_records(read_topic(spark, servers, topic, **options), schema, unit)
+def _explained(error: AnalysisException) -> Exception:
+    """A plain hint if Spark has no such source; any other error as it is."""
+    return RuntimeError(_HINT) if "failed to find data source" in str(error).lower() else error
 
 
 def write_topic(
     rows: DataFrame, servers: str, schema: StructType, topic: str = ITEM_TOPIC, unit: str = SECONDS
 ) -> None:
     """Write rows as one unkeyed text message each. Every task writes its own partition."""
+    writer = encode_records(rows, schema, unit).write.format("kafka")
     try:
-        (
-            encode_records(rows, schema, unit)
-            .write.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("topic", topic)
-            .save()
-        )
-    except AnalysisException as missing:
-        raise RuntimeError(_HINT) from missing
+        writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    except AnalysisException as error:
+        raise _explained(error) from error

@@ -80,3 +80,19 @@ def test_missing_connector_is_named(spark):
     row = spark.createDataFrame([("a", "b", None)], schemas.RECEIPT)
     with pytest.raises(RuntimeError, match="Kafka connector"):
         messages.write_topic(row, "localhost:9092", schemas.RECEIPT)
+
+
+def test_line_numbers_follow_the_files(spark, tmp_path):
+    """Larger files are read first, numbered last if they come last."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    texts = {"a": ["a0", "a1"], "b": [f"b{i}" for i in range(5000)], "c": ["c0"]}
+    for name, rows in texts.items():
+        (folder / f"{name}.txt").write_text("\n".join(rows) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        rows = lines.numbered_lines(spark, str(folder)).orderBy("seq").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.value for r in rows] == [line for name in "abc" for line in texts[name]]
+    assert [r.seq for r in rows] == list(range(len(rows)))
