@@ -180,8 +180,9 @@ def near_duplicates(
 
     # One document for each node in a bucket; rows that repeat its id are harmless.
     holders = scores.select("node").join(nodes.groupBy("node").agg(F.min("doc_id").alias("id")), "node")
-    held = docs.join(holders.select("id").distinct(), docs[doc_id].eqNullSafe(F.col("id")), "left_semi")
-    units = stored(unit_rows(held, n, text), "units")
+    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    held = plain.join(holders.select("id").distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    units = stored(unit_rows(held, n), "units")
 
     label = F.coalesce("component", "node")
     best = F.max(F.struct("score", "node", "n_units")).alias("best")

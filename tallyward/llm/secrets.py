@@ -42,8 +42,8 @@ WORDS = (
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 _RANK = {word: i + 1 for i, word in reversed(list(enumerate(WORDS)))}
 _PLAIN = str.maketrans("@401!3$57", "aaoliesst")
-_BESIDE = {a + b for row in ROWS for a, b in zip(row, row[1:])}
-_BESIDE |= {pair[::-1] for pair in _BESIDE}
+_ALONG = {a + b for row in ROWS for a, b in zip(row, row[1:])}
+_BESIDE = _ALONG | {pair[::-1] for pair in _ALONG}
 _DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:19|20)\d\d")
 
 
@@ -100,17 +100,23 @@ def guess_cost(value: str) -> float:
 def _runs(lower: str) -> list[tuple[int, int]]:
     """For each place, how far a walk over neighbouring keys or letters goes from there, and its changes of kind."""
     n = len(lower)
+    ways = [_way(lower[i : i + 2]) for i in range(n - 1)]
     out = [(i + 1, 0) for i in range(n)]
     for i in range(n - 2, -1, -1):
-        pair = lower[i : i + 2]
-        step = ord(pair[1]) - ord(pair[0])
-        if pair in _BESIDE or (abs(step) == 1 and pair.isascii() and pair.isalnum()):
+        if ways[i]:
             end, turns = out[i + 1]
-            turn = end > i + 2 and (ord(lower[i + 2]) - ord(pair[1])) != step
-            out[i] = (end, turns + turn)
+            out[i] = (end, turns + (end > i + 2 and ways[i + 1] != ways[i]))
     return out
 
 
+def _way(pair: str) -> str:
+    """Along a row of keys, through the alphabet or the digits, either way; empty if neither."""
+    if pair in _BESIDE:
+        return "keys" if pair in _ALONG else "keys back"
+    step = ord(pair[1]) - ord(pair[0])
+    return f"letters {step}" if abs(step) == 1 and pair.isascii() and pair.isalnum() else ""
+
+
 def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 10.0) -> DataFrame:
     """Per document: doc_id, base and spans, arrays of (kind, start, end, label).
 

@@ -37,6 +37,8 @@ def _upto(n: int) -> None:
 
 def text_parts(column: pa.Array, part_bytes: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cuts a string column into runs of rows of about ``part_bytes``: first row, end row, bytes, offsets."""
+    if not len(column):
+        return
     filled = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset : filled.offset + len(filled) + 1]
     data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)
