@@ -122,7 +122,7 @@ def signed(docs: DataFrame, n: int, k: int, rows: int, doc_id: str = "doc_id", t
 
 
 def unit_rows(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """node and its sorted units as bytes."""
+    """node and its units as bytes (see ``_packed``)."""
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,7 +130,7 @@ def unit_rows(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
                 words, first = hashed_words(data, offsets)
                 hashes, places = shingles(words, first, n)
                 units = weighted_units(hashes, places)
-                blobs = [units[i:j].tobytes() for i, j in zip(places[:-1], places[1:])]
+                blobs = [_packed(units[i:j]) for i, j in zip(places[:-1], places[1:])]
                 nodes = [x.tobytes() for x in _sequence_keys(words, first)]
                 columns = [pa.array(nodes, pa.binary()), pa.array(blobs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["node", "units"])
@@ -138,6 +138,17 @@ def unit_rows(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(unit, "node binary, units binary")
 
 
+def _packed(units: np.ndarray) -> bytes:
+    """The upper 40 bits of each unit: of two texts of n units, about n * n / 2**40 units agree by chance."""
+    high = units >> _U(24)
+    return high.astype("<u4").tobytes() + (high >> _U(32)).astype(np.uint8).tobytes()
+
+
+def _unpacked(blob) -> np.ndarray:
+    n = len(blob) // 5
+    return np.frombuffer(blob, "<u4", n).astype(_U) | (np.frombuffer(blob, np.uint8, n, 4 * n).astype(_U) << _U(32))
+
+
 def verified(pairs: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose weighted Jaccard similarity is at least ``percent`` hundredths, counted on all units."""
 
@@ -146,7 +157,7 @@ def verified(pairs: DataFrame, units: DataFrame, percent: int) -> DataFrame:
             left, right = batch.column(2), batch.column(3)
             hits = []
             for i in range(batch.num_rows):
-                x, y = np.frombuffer(left[i].as_buffer(), _U), np.frombuffer(right[i].as_buffer(), _U)
+                x, y = _unpacked(left[i].as_buffer()), _unpacked(right[i].as_buffer())
                 together = len(np.unique(np.concatenate([x, y])))
                 hits.append((len(x) + len(y) - together) * 100 >= percent * together)
             yield batch.select([0, 1]).filter(pa.array(hits, pa.bool_()))
@@ -171,10 +182,13 @@ def near_duplicates(
     """
     signatures = stored(signed(docs, n, k, rows, doc_id, text), "signatures")
     nodes = signatures.filter(F.col("node").isNotNull())
-    one_each = nodes.groupBy("node").agg(F.any_value("n_units").alias("n_units"), F.any_value("bands").alias("bands"))
-    buckets = one_each.select("node", "n_units", F.explode("bands").alias("bucket"))
+    one_each = nodes.groupBy("node").agg(F.any_value("bands").alias("bands"))
+    # A short hash stands for the node until the buckets of one are gone; if two nodes share it, both come back.
+    short = F.xxhash64("node").alias("short")
+    buckets = one_each.select(short, F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    met = stored(buckets.join(shared, "bucket"), "buckets")
+    sizes = nodes.select(short, "node", "n_units").distinct()
+    met = stored(buckets.join(shared, "bucket").join(sizes, "short").drop("short"), "buckets")
     scores = met.groupBy("node").agg(F.sum("n").alias("score"))
     members = stored(met.drop("n").join(scores, "node"), "members")
 
@@ -255,7 +269,7 @@ def _tiled(homes: DataFrame, units: DataFrame, percent: int) -> DataFrame:
 
 def _linked_tile(table: pa.Table, percent: int) -> pa.Table:
     nodes, visitor = table.column("node").to_pylist(), np.array(table.column("visitor").to_pylist(), bool)
-    sets = [np.frombuffer(x, _U) for x in table.column("units").to_pylist()]
+    sets = [_unpacked(x) for x in table.column("units").to_pylist()]
     sizes = np.array([len(x) for x in sets])
     values, place = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
