@@ -41,7 +41,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, WORD_VOCABULARY, 4096, 2, keep_ids=False)
+    # Workers live on through the stages, so this one leaves less behind in them.
+    return packing.pack(docs, WORD_VOCABULARY, 4096, 2, keep_ids=False, remembered=200_000)
 
 
 STAGES = [

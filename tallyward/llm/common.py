@@ -37,6 +37,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hands Python at most ``rows`` rows at a time in this session: texts are long, and a batch is held several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def row_key(*columns: str) -> Column:
     """A 128-bit key of a row's id and text, as text; equal rows have equal keys, NULL included."""
     return F.concat_ws(

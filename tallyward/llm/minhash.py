@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import stored
+from tallyward.llm.common import small_batches, stored
 from tallyward.llm.graph import components
 from tallyward.llm.textwords import hashed_words, mixed, shingles, text_parts
 
@@ -102,6 +102,7 @@ def _sequence_keys(words: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def signed(docs: DataFrame, n: int, k: int, rows: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, node (16 bytes: documents of the same words share it; NULL without words), n_units, bands."""
+    small_batches(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

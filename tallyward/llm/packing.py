@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import bounded_broadcast, stored
+from tallyward.llm.common import bounded_broadcast, small_batches, stored
 
 #: Chunks whose ids a Python worker remembers at most; beyond it the memory is emptied and filled anew.
 REMEMBERED = 700_000
@@ -50,6 +50,7 @@ class ChunkEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._letters = _byte_letters()
         self._known: dict[bytes, bytes] = {}
+        self.remembered = REMEMBERED
 
     def _slow(self, text: str) -> bytes:
         return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
@@ -75,7 +76,7 @@ class ChunkEncoder:
         """Little-endian 32-bit ids of a text in UTF-8."""
         if b"<|" in text:  # may hold the tokenizer's own special strings
             return self._slow(text.decode("utf-8", "replace"))
-        if len(self._known) > REMEMBERED:
+        if len(self._known) > self.remembered:
             self._known.clear()
         chunks = text.split()
         known = self._known
@@ -92,16 +93,25 @@ def _packed(ids: list[int]) -> bytes:
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
-def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_rows(
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit, ``end_id`` last) of each document.
 
     ``tokenizer_path`` names a file that exists on every executor; its vocabulary must drop white space.
     """
     end = end_id.to_bytes(4, "little")
+    small_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.setdefault(tokenizer_path, None) or ChunkEncoder(tokenizer_path)
         _ENCODERS[tokenizer_path] = encoder
+        encoder.remembered = remembered
         for batch in batches:
             for part in _slices(batch):
                 texts = part.column(1).cast(pa.binary()).to_pylist()
@@ -221,13 +231,19 @@ def place(cut: DataFrame, capacity: int) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, keep_ids: bool = True
+    docs: DataFrame,
+    tokenizer_path: str,
+    capacity: int = 4096,
+    end_id: int = 2,
+    keep_ids: bool = True,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Pieces of all documents with their place in sequences of at most ``capacity`` ids.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ``ids`` with ``keep_ids``.
+    ``remembered`` trades a Python worker's memory (some 200 bytes for each chunk) for time.
     """
-    cut = pieces(token_rows(docs, tokenizer_path, end_id), capacity).withColumn("ids_crc32", F.crc32("ids"))
+    cut = pieces(token_rows(docs, tokenizer_path, end_id, remembered=remembered), capacity).withColumn("ids_crc32", F.crc32("ids"))
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if keep_ids else [])]
     return place(stored(cut.select(*columns), "pieces"), capacity)
 

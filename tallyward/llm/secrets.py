@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.common import small_batches
 from tallyward.llm.spans import joined, labelled, with_located
 
 KINDS = ("assign", "access", "hex", "value")
@@ -199,7 +200,8 @@ def _by_start(a, b):
 
 
 def _costly(df: DataFrame, least: float) -> DataFrame:
-    """Keeps of ``values`` those that take enough guesses; the text itself does not come here."""
+    """Keeps of ``values`` those that take enough guesses."""
+    small_batches(df.sparkSession)
 
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -30,12 +30,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def _upto(n: int) -> None:
     if len(_powers["up"]) <= n:
-        size = max(n + 1, 1 << 20)
+        size = max(n + 1, 1 << 19)
         _powers["up"] = np.cumprod(np.r_[_U(1), np.full(size, _BASE, _U)])
         _powers["down"] = np.cumprod(np.r_[_U(1), np.full(size, pow(_BASE, -1, 2**64), _U)])
 
 
-def text_parts(column: pa.Array, part_bytes: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_parts(column: pa.Array, part_bytes: int = 400_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cuts a string column into runs of rows of about ``part_bytes``: first row, end row, bytes, offsets."""
     if not len(column):
         return

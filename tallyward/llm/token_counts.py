@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.common import small_batches
+
 #: What may be done with a token that lies in several sections: it goes to the one that has most of its bytes (the first of
 #: several such), or to the one in which it starts.
 RULES = ("most", "start")
@@ -90,6 +92,7 @@ def section_tokens(
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     names = list(fields)
+    small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, sizes = encoder(vocabulary, pattern)
