@@ -122,7 +122,7 @@ def _linked_tile(table: pa.Table, kind: str, dim: int, least: float) -> pa.Table
 def near_vectors(
     vectors: DataFrame,
     least: float = 0.93,
-    recall: float = 0.995,
+    recall: float = 0.999,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
     label: str = "label",
@@ -261,7 +261,10 @@ def _linked(once: DataFrame, dim: int, n: int, least: float, recall: float, kind
 
 
 def _calibrated(once: DataFrame, dim: int, n: int, index: Index, least: float, recall: float) -> int:
-    """The number of visits that finds ``recall`` of a sample's true links; at most ``MOST_VISITS``."""
+    """The number of visits that finds ``recall`` of a sampled vector's true links, on average over the sample.
+
+    Each vector counts alike, so that a large group does not speak for all. At most ``MOST_VISITS``.
+    """
     rows = _chosen(once, n, CALIBRATION_SAMPLE, 2).select("node", "place", "embedding").collect()
     if not rows:
         return MOST_VISITS
@@ -272,7 +275,7 @@ def _calibrated(once: DataFrame, dim: int, n: int, index: Index, least: float, r
 
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = np.zeros(MOST_VISITS + 1, np.int64)
+            counts = np.zeros((len(queries), MOST_VISITS + 1), np.int64)
             for low in range(0, batch.num_rows, 2000):
                 part = batch.slice(low, 2000)
                 flat = np.asarray(part.column(2).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
@@ -284,14 +287,18 @@ def _calibrated(once: DataFrame, dim: int, n: int, index: Index, least: float, r
                 i, j = np.nonzero(alike)
                 hit = seen[j] == own[i][:, None]
                 rank = np.where(hit.any(axis=1), hit.argmax(axis=1), MOST_VISITS)
-                counts += np.bincount(rank, minlength=MOST_VISITS + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(MOST_VISITS + 1)), pa.array(counts)], ["rank", "n"])
-
-    met = once.select("node", "place", "embedding").mapInArrow(ranks, "rank long, n long")
-    counts = {r["rank"]: r["n"] for r in met.groupBy("rank").agg(F.sum("n").alias("n")).collect()}
-    total, got = sum(counts.values()), 0
-    for visits in range(1, MOST_VISITS + 1):
-        got += counts.get(visits - 1, 0)
-        if got >= recall * total:
-            return visits
-    return MOST_VISITS
+                np.add.at(counts, (j, rank), 1)
+            query, rank = np.nonzero(counts)
+            columns = [pa.array(query), pa.array(rank), pa.array(counts[query, rank])]
+            yield pa.RecordBatch.from_arrays(columns, ["query", "rank", "n"])
+
+    met = once.select("node", "place", "embedding").mapInArrow(ranks, "query long, rank long, n long")
+    counts = np.zeros((len(queries), MOST_VISITS + 1))
+    for r in met.groupBy("query", "rank").agg(F.sum("n").alias("n")).collect():  # at most sample x (visits + 1) rows
+        counts[r["query"], r["rank"]] = r["n"]
+    linked = counts[counts.sum(axis=1) > 0]
+    if not len(linked):
+        return MOST_VISITS
+    found = (np.cumsum(linked, axis=1) / linked.sum(axis=1, keepdims=True)).mean(axis=0)
+    enough = np.flatnonzero(found[:MOST_VISITS] >= recall)
+    return int(enough[0]) + 1 if len(enough) else MOST_VISITS
