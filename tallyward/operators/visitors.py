@@ -56,6 +56,13 @@ def visitor_bitmaps(
     are then brought together by bucket: positions are shuffled, never half-empty bitmaps.
     """
     offset = poly_offset(key, base, bits)
+    if df.isStreaming:
+        timed = filter_rows(df, _known(key), ts).withColumn("_offset", offset)
+        bucket = F.bitmap_bucket_number("_offset").alias("bucket")
+        found = timed.groupBy(F.window(ts, span_text(size)).alias("window"), bucket).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_offset")).alias("bitmap")
+        )
+        return found.select("window", F.col("window.end").alias("window_end"), "bucket", "bitmap")
     bits_set = _with_end(filter_rows(df, _known(key), ts), ts, size).select("window_end", offset.alias("_offset")).distinct()
     return (
         bits_set.select(
@@ -69,13 +76,22 @@ def visitor_bitmaps(
     )
 
 
-def bitmap_totals(bitmaps: DataFrame) -> DataFrame:
-    """Set bits per window: ``window_end, cnt``. Never more than the exact count."""
+def bitmap_totals(bitmaps: DataFrame, size: Span = "1 hour") -> DataFrame:
+    """Set bits per window: ``window_end, cnt``. Never more than the exact count. ``size`` is needed on streams."""
+    if bitmaps.isStreaming:
+        # The window column carries the watermark.
+        again = F.window("window", span_text(size)).alias("w")
+        total = bitmaps.groupBy(again).agg(F.sum(F.bitmap_count("bitmap")).alias("cnt"))
+        return total.select(F.col("w.end").alias("window_end"), "cnt")
     return bitmaps.groupBy("window_end").agg(F.sum(F.bitmap_count("bitmap")).alias("cnt"))
 
 
 def visitor_sketches(df: DataFrame, key: str, ts: str, size: Span, lg_k: int = SKETCH_LG_K) -> DataFrame:
     """A mergeable distinct-count sketch per window: ``window_end, sketch`` (a few KiB, any row count)."""
+    if df.isStreaming:
+        window = F.window(ts, span_text(size)).alias("window")
+        found = filter_rows(df, None, ts).groupBy(window).agg(F.hll_sketch_agg(key, F.lit(lg_k)).alias("sketch"))
+        return found.select(F.col("window.end").alias("window_end"), "sketch")
     return _with_end(filter_rows(df, None, ts), ts, size).groupBy("window_end").agg(F.hll_sketch_agg(key, F.lit(lg_k)).alias("sketch"))
 
 

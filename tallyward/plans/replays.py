@@ -12,8 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.functions.timing import filter_rows
-from tallyward.operators import visitors
+from tallyward.functions.timing import business_day, filter_rows, stamp_text
+from tallyward.operators import click_cap, matching, visitors, windows
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG, _flat_pairs, register
 from tallyward.session import ROCKSDB_STORE
@@ -60,11 +60,15 @@ def event_stream(spark: SparkSession, sf_dir: str, folder: str, delay=streams.IN
     return streams.watermarked(rows.unionByName(last), delay)
 
 
-def replayed(spark: SparkSession, folder: str, result: DataFrame, mode: str = "append") -> DataFrame:
+def replayed(spark: SparkSession, folder: str, result: DataFrame) -> DataFrame:
+    return _replayed_log(spark, folder, result).drop(sinks.BATCH)
+
+
+def _replayed_log(spark: SparkSession, folder: str, result: DataFrame, mode: str = "append") -> DataFrame:
     with _replay_settings(spark):
         writer = sinks.log_writer(f"{folder}/out")
         streams.run(result, writer, f"{folder}/checkpoint", mode, once=True).awaitTermination()
-    return sinks.read_log(spark, f"{folder}/out", result.schema).drop(sinks.BATCH)
+    return sinks.read_log(spark, f"{folder}/out", result.schema)
 
 
 def _replay(name: str, same_as: str):
@@ -112,6 +116,39 @@ def ad_capped(events):
     return capped.filter("channel = 'passed' AND user_id >= 0").drop("channel")
 
 
+def _capped(events):
+    capped = clicks.click_cap(tables.ad_clicks(events), ["user_id", "ad_id"], "ts", "event_id", 2)
+    return capped.filter("user_id >= 0")
+
+
+@_replay("ad_counts", "ad_counts")
+def ad_counts(events):
+    """The whole job: clicks under the cap, counted per province in sliding hours."""
+    counted = windows.windowed_counts(click_cap.passed(_capped(events)), ["province"], "ts", "1 hour", "5 minutes")
+    return counted.select("window_end", stamp_text("window_end").alias("window_end_str"), "province", "cnt")
+
+
+@_replay("ad_blacklist", "ad_blacklist")
+def ad_blacklist(events):
+    over = _capped(events).withColumn("day", business_day("ts", click_cap.BUSINESS_ZONE))
+    return click_cap.warnings(over, ["user_id", "ad_id"], "ts").select("user_id", "ad_id", "ts", "msg")
+
+
+@_replay("uv_hourly_bitmap", "uv_hourly_bitmap")
+def uv_hourly_bitmap(events):
+    views = filter_rows(events, F.col("event_type") == "view", "ts")
+    return visitors.bitmap_totals(visitors.visitor_bitmaps(views, "user_id", "ts", "1 hour"), "1 hour")
+
+
+@register("stream_uv_hourly_approx", CATALOG["uv_hourly_approx"].sql)
+def uv_hourly_approx(spark, sf_dir):
+    """Sketches in update mode, upserted by window end."""
+    folder = sinks.shared_folder(spark, "uv_hourly_approx")
+    views = filter_rows(event_stream(spark, sf_dir, folder), F.col("event_type") == "view", "ts")
+    counts = visitors.sketch_totals(visitors.visitor_sketches(views, "user_id", "ts", "1 hour"))
+    return sinks.newest_rows(_replayed_log(spark, folder, counts, "update"), ["window_end"])
+
+
 @_replay("login_pair", "login_pair")
 def login_pair(events):
     failed = F.col("event_type") == "error"
@@ -217,6 +254,29 @@ def pay_reconcile(spark, sf_dir):
     return replayed(spark, folder, _flat_pairs(matched))
 
 
+def _single(name: str, column: str, channel: str):
+    @register(f"stream_{name}", CATALOG[name].sql)
+    def run(spark, sf_dir):
+        folder = sinks.shared_folder(spark, name)
+        matched = jobs.pay_receipt_pairs(*_sides(spark, sf_dir, folder), "5 hours")
+        return replayed(spark, folder, matched.filter(F.col("channel") == channel).select(f"{column}.*"))
+
+    return run
+
+
+single_pay = _single("single_pay", "pay", matching.SINGLE_LEFT)
+single_receipt = _single("single_receipt", "receipt", matching.SINGLE_RIGHT)
+
+
+@register("stream_pay_with_receipt", CATALOG["pay_with_receipt"].sql)
+def pay_with_receipt(spark, sf_dir):
+    folder = sinks.shared_folder(spark, "pay_with_receipt")
+    pays, receipts = _sides(spark, sf_dir, folder)
+    other = receipts.select(F.col("tx_id").alias("_tx"), F.col("ts").alias("_ts"))
+    near = F.expr("tx_id = _tx AND _ts >= ts - INTERVAL 5 HOURS AND _ts <= ts + INTERVAL 5 HOURS")
+    return replayed(spark, folder, pays.join(other, near, "left_semi"))
+
+
 @register("stream_hot_items", CATALOG["hot_items_topn"].sql)
 def hot_items(spark, sf_dir):
     folder = sinks.shared_folder(spark, "hot_items")
