@@ -30,7 +30,7 @@ from tallyward.llm.textwords import hashed_words, mixed, shingles, text_parts
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 #: Members, and visitors, of a tile.
-TILE = 128
+TILE = 256
 
 
 def weighted_units(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
