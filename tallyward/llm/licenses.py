@@ -1,11 +1,13 @@
 """Licence detection by sentences: known sentences get identifiers, ordered rules match sequences of identifiers.
 
-A text is cut into sentences, each is normalised (lower case, runs of anything but letters a-z and digits become one space)
-and looked up among the known ones. What is left of a document is its sequence of identifiers, with a break where
+A text is normalised (lower case, runs of anything but letters a-z and digits become one space) with marks where sentences
+and lines end. Sentences end at sentence marks and blank lines; a line end, with comment signs behind it, is white space
+inside a sentence, so that wrapped licences are found. A known sentence starts and ends at a mark of either kind, so that a
+one-line notice needs no full stop. What is left of a document is its sequence of identifiers, with a break where
 more than ``max_gap`` other sentences lie between two. Rules are tried in order, longer and stricter first; a rule
 that matches takes its identifiers out of the sequence, so a part of a longer licence is not reported again.
 
-Everything happens within a row: one pass over the texts, no shuffle. Only sentences with one of a few words that all known
+Everything happens within a row: one pass over the texts, no shuffle. Only texts with one of a few words that all known
 sentences share are normalised at all.
 """
 
@@ -83,10 +85,14 @@ RULES = (
     ("Proprietary", ("all_rights",)),
 )
 
-#: Every known sentence has one of these (checked below), so a sentence without them needs no look-up.
+#: Every known sentence has one of these (checked below), so a text without them needs no look-up.
 SIGNS = "licen|permission|permitted|redistribut|warrant|copyright|public domain"
-#: Sentences end at a line end, at a full stop or the like before white space, and at the text's end.
-BREAKS = r"[.!?;]+[\s]+|[.!?;]+$|\n+"
+#: The same in a text, where a line may end between two words.
+TEXT_SIGNS = SIGNS.replace("public domain", "domain")
+#: Comment signs and rules at the start of a line.
+LINE_START = r"\n[^\S\n]*[#*/;%!<>|=-]+"
+#: Sentences end at a full stop or the like before white space, and at blank lines.
+BREAKS = r"[.!?;]+\s+|\n\s*\n\s*"
 
 
 def normalised(sentence: str) -> str:
@@ -102,24 +108,28 @@ KNOWN = {[p for p in _parts(s) if re.search(SIGNS, p)][-1]: name for name, s in
 assert len(KNOWN) == len(SENTENCES) and {i for _, ids in RULES for i in ids} <= set(SENTENCES)
 
 
+#: A known sentence between marks (H: a sentence ends, S: a line ends), longer ones first; or the end of a sentence.
+_PIECES = "(?<=[HS] )(?:{})(?= [HS])|H".format("|".join(k.replace(" ", " (?:S )?") for k in sorted(KNOWN, key=len, reverse=True)))
+
+
 def _sequence(text: Column, max_gap: int) -> Column:
     """The identifiers of a text's known sentences in order, as `` a b / c ``; a slash is a break."""
     known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
+    lines = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), LINE_START, "\n")
+    # The text is in lower case, so capitals are free for marks.
+    marked = F.regexp_replace(F.regexp_replace(lines, BREAKS, " H "), r"\n", " S ")
+    clean = F.regexp_replace(F.concat(F.lit("H "), marked, F.lit(" H")), "[^a-z0-9HS]+", " ")
+    pieces = F.regexp_extract_all(clean, F.lit(_PIECES), F.lit(0))
+    start = F.struct(F.lit(-1).alias("ends"), F.lit(" ").alias("out"))  # sentences ended since the last known one
 
-    def identified(sentence: Column, place: Column) -> Column:
-        clean = F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
-        name = F.when(F.lower(sentence).rlike(SIGNS), F.element_at(known, clean))
-        return F.struct(place.alias("place"), name.alias("name"))
-
-    named = F.filter(F.transform(F.split(text, BREAKS), identified), lambda s: s["name"].isNotNull())
-    start = F.struct(F.lit(-1).alias("last"), F.lit(" ").alias("out"))
-
-    def step(got: Column, s: Column) -> Column:
-        far = (got["last"] >= 0) & (s["place"] - got["last"] - 1 > max_gap)
-        out = F.concat(got["out"], F.when(far, "/ ").otherwise(""), s["name"], F.lit(" "))
-        return F.struct(s["place"].alias("last"), out.alias("out"))
+    def step(got: Column, piece: Column) -> Column:
+        name = F.element_at(known, F.replace(piece, F.lit("S "), F.lit("")))
+        out = F.concat(got["out"], F.when(got["ends"] - 1 > max_gap, "/ ").otherwise(""), name, F.lit(" "))
+        ends = F.when(got["ends"] < 0, got["ends"]).otherwise(got["ends"] + 1)
+        end = piece == "H"
+        return F.struct(F.when(end, ends).otherwise(0).alias("ends"), F.when(end, got["out"]).otherwise(out).alias("out"))
 
-    return F.aggregate(named, start, step, lambda got: got["out"])
+    return F.aggregate(pieces, start, step, lambda got: got["out"])
 
 
 def licenses(docs: DataFrame, max_gap: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -130,7 +140,7 @@ def licenses(docs: DataFrame, max_gap: int = 3, doc_id: str = "doc_id", text: st
     rows; other columns are ignored.
     """
     df = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    found = F.when(F.lower("_text").rlike(SIGNS), _sequence(F.col("_text"), max_gap)).otherwise(F.lit(" "))
+    found = F.when(F.lower("_text").rlike(TEXT_SIGNS), _sequence(F.col("_text"), max_gap)).otherwise(F.lit(" "))
     df = df.withColumn("sequence", found).withColumn("_left", F.col("sequence"))
     names, counts = [], []
     for i, (license_name, identifiers) in enumerate(RULES):
@@ -151,7 +161,7 @@ def licenses(docs: DataFrame, max_gap: int = 3, doc_id: str = "doc_id", text: st
 
 
 def oracle_sql(max_gap: int = 3) -> str:
-    """``licenses`` over ``documents`` in DuckDB, licences comma-joined."""
+    """``licenses`` over ``documents`` in DuckDB, licences comma-joined; for texts whose known sentences are on one line each."""
     known = ", ".join(f"('{sentence}', '{name}')" for sentence, name in KNOWN.items())
     steps, before = [], "seq"
     for i, (license_name, identifiers) in enumerate(RULES):

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -152,6 +153,37 @@ def test_license_rules(spark, text, expected):
     assert row.licenses == expected
 
 
+def test_wrapped_licenses(spark):
+    def wrapped(names, width, sign="", first=""):
+        blocks = [textwrap.fill(f"{first}{licenses.SENTENCES[n].rstrip(':.')}.", width) for n in names]
+        return "\n".join((sign + line).rstrip() for line in "\n\n".join(["Copyright (c) 2020 Ann Other", *blocks]).split("\n"))
+
+    kinds = {
+        "MIT": ("mit_grant", "mit_notice", "mit_warranty"),
+        "BSD-3-Clause": ("bsd_redistribute", "bsd_source", "bsd_binary", "bsd_endorse"),
+        "BSD-2-Clause": ("bsd_redistribute", "bsd_source", "bsd_binary"),
+        "ISC": ("isc_grant",),
+        "GPL-3.0-or-later": ("gpl_free", "gpl_hope", "gpl_see"),
+        "GPL-2.0-or-later": ("gpl2_free", "gpl_hope", "gpl_see"),
+        "Apache-2.0": ("apache_ref_you", "apache_comply", "apache_obtain", "apache_as_is", "apache_see"),
+        "Unlicense": ("unlicense_free",),
+    }
+    rows = []
+    for name, ids in kinds.items():
+        for width in (30, 72, 80):
+            for sign in ("", "# ", " * ", "// ", "    ", ";; ", "//! "):
+                rows.append((name, " ".join(ids), wrapped(ids, width, sign)))
+        rows.append((name, " ".join(ids), wrapped(ids, 72).replace("\n", "\r\n")))
+    rows.append(("MIT", "mit_ref", "a line of prose\nReleased under the MIT License\nand one more"))
+    rows.append(("", "", "text before Released under the MIT\nLicense and text behind"))
+    rows.append(("", "", "Released under the MIT\n\nLicense"))
+    rows.append(("MIT", "mit_grant mit_notice", wrapped(("mit_grant",), 72) + "\n\n" + "a b\nc d\n" * 9 + "\n" + wrapped(("mit_notice",), 72)))
+    df = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: (",".join(r.licenses), r.sequence) for r in licenses.licenses(df).collect()}
+    for i, (name, ids, text) in enumerate(rows):
+        assert found[i] == (name, ids), text
+
+
 def test_packing(docs, nothing):
     packed = packing.pack(docs, WORDS, 64)
     rows = packed.collect()
