@@ -30,7 +30,7 @@ HEX = r"[0-9a-f]{16,}"
 #: A credential word, a sign of assignment and what follows up to white space or a quote.
 CONTEXT = (
     r"(?i:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|"
-    r"credentials?|auth|bearer))[\"']?(?:\x20{0,3}[:=]\x20{0,3}|\x20is\x20)[\"']?([^\s\"'`<>(){}\[\],;]{6,256})"
+    r"credentials?|auth|bearer))[\"']?(?:\x20{0,3}[:=]\x20{0,3}|\x20is\x20)[\"']?([^\s\"'`<>(){}\[\],;]{6,})"
 )
 
 # Frequent words and passwords, most frequent first, and the rows of a keyboard.
@@ -57,24 +57,32 @@ def _char_cost(c: str) -> float:
     return math.log10(26 if c.isupper() and c.isascii() else 33)
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` takes; 0 for an empty one.
+def guess_cost(value: str, limit: float = math.inf) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` takes; 0 for an empty one. From ``limit`` on, infinite.
+
+    No span lowers the cost of what is before it, so prefixes that cost ``limit`` or more are not carried on.
 
     Spans cost: a word its rank (twice with capitals or look-alike characters), a date 365 times the years near, a repeat its
     unit times the count, a walk on the keyboard or through the alphabet its start, length and turns, anything else
     its characters. Each further span doubles the guesses.
     """
     n = len(value)
-    lower = value.lower()
+    lower = value.lower() if value.isascii() else "".join(c.lower()[0] for c in value)  # as long as the value
     plain = lower.translate(_PLAIN)
     best = [0.0] + [math.inf] * n
-    runs = _runs(lower)
+    furthest = 0
     for start in range(n):
+        if start > furthest:
+            break
         here = best[start] + (math.log10(2) if start else 0.0)
+        if here >= limit:
+            continue
 
         def reach(end: int, cost: float) -> None:
-            if here + cost < best[end]:
+            nonlocal furthest
+            if here + cost < min(best[end], limit):
                 best[end] = here + cost
+                furthest = max(furthest, end)
 
         reach(start + 1, _char_cost(value[start]))
         for size in range(3, min(12, n - start) + 1):
@@ -86,7 +94,7 @@ def guess_cost(value: str) -> float:
         date = _DATE.match(value, start)
         if date:
             reach(date.end(), math.log10(100 * (365 if len(date.group()) > 4 else 1)))
-        end, turns = runs[start]
+        end, turns = _run(lower, start, (limit - here) / math.log10(4))
         for stop in range(start + 3, end + 1):
             reach(stop, math.log10(47 * (stop - start)) + turns * math.log10(4))
         for unit in range(1, min(8, (n - start) // 2) + 1):
@@ -98,20 +106,21 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
-def _runs(lower: str) -> list[tuple[int, int]]:
-    """For each place, how far a walk over neighbouring keys or letters goes from there, and its changes of kind."""
-    n = len(lower)
-    ways = [_way(lower[i : i + 2]) for i in range(n - 1)]
-    out = [(i + 1, 0) for i in range(n)]
-    for i in range(n - 2, -1, -1):
-        if ways[i]:
-            end, turns = out[i + 1]
-            out[i] = (end, turns + (end > i + 2 and ways[i + 1] != ways[i]))
-    return out
+def _run(lower: str, start: int, most: float) -> tuple[int, int]:
+    """How far a walk over neighbouring keys or letters goes from ``start``, and its changes of kind; nowhere if above ``most``."""
+    end, turns, before = start + 1, 0, ""
+    while way := _way(lower[end - 1 : end + 1]):
+        turns += bool(before) and way != before
+        if turns > most:
+            return start + 1, 0
+        end, before = end + 1, way
+    return end, turns
 
 
 def _way(pair: str) -> str:
     """Along a row of keys, through the alphabet or the digits, either way; empty if neither."""
+    if len(pair) < 2:
+        return ""
     if pair in _BESIDE:
         return "keys" if pair in _ALONG else "keys back"
     step = ord(pair[1]) - ord(pair[0])
@@ -123,8 +132,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
     ``base`` has the fixed forms, by kind and start: assignments to a credential word with a value of 12 or more characters,
     access keys and long hexadecimal runs. ``spans`` adds values behind a credential word that take 10 ** ``least``
-    guesses or more and touch no base span. The cost of a value of more than 256 characters is that of the first 256:
-    longer ones are above any limit in use.
+    guesses or more and touch no base span. Values are taken and scored whole, whatever their length.
 
     Defined results: a NULL or empty text has no spans; equal rows get equal results; an empty table gives no rows; other
     columns are ignored.
@@ -208,7 +216,7 @@ def _costly(df: DataFrame, least: float) -> DataFrame:
             at = batch.schema.get_field_index("values")
             values = batch.column(at)
             kept = [
-                None if row is None else [v for v in row if guess_cost(v["value"][:256]) >= least] for row in values.to_pylist()
+                None if row is None else [v for v in row if guess_cost(v["value"], least) >= least] for row in values.to_pylist()
             ]
             yield batch.set_column(at, batch.schema.field(at), pa.array(kept, values.type))
 

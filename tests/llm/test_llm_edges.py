@@ -293,6 +293,29 @@ def test_guess_costs(spark):
     assert [found[i][0].spans for i in (1, 2, 3)] == ["value:15:29", "", ""]
 
 
+def found_secrets(spark, texts):
+    """Labels of the spans and the redacted text, by text."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secrets.digests(secrets.secret_spans(df)).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    return [(spans[i], clean[i]) for i in range(len(texts))]
+
+
+def test_long_secrets(spark):
+    rnd = random.Random(5)
+    long = "".join(rnd.choices("abcdefghijkmnopQRSTUVWXYZ23456789!$%", k=600))
+    late = "z" * 300 + long[:40]
+    cheap = "z" * 100_000
+    texts = [f"bearer: {long}", f"pwd={late} end", f"auth={cheap}", "pwd=" + "qw" * 50_000, "pwd=\u0130" + "abcdefgh" * 3]
+    found = found_secrets(spark, texts)
+    assert found[0] == ("value:8:608", "bearer: [SECRET]") and found[1] == ("value:4:344", "pwd=[SECRET] end")
+    assert found[2] == ("", texts[2]) and found[3] == ("", texts[3])
+    for value in ["", "hunter", "p4ssw0rd1999", "qwertyuiop", "qwqwqwqwqwzz", "abcabcabc!", "2001-02-03abc", long[:9], late[290:310]]:
+        cost = secrets.guess_cost(value)
+        for limit in (3.0, 6.0, 10.0, 30.0):
+            assert secrets.guess_cost(value, limit) == (cost if cost < limit or not value else float("inf"))
+
+
 def test_repeated_strings(docs, nothing, spark, monkeypatch):
     monkeypatch.setattr(suffixes, "CHUNK_BYTES", 5_000)
     bodies = [(t or "").encode() for _, t in TEXTS]
