@@ -1,6 +1,6 @@
 """Secrets in texts: fixed forms, and values in a credential context that would take many guesses.
 
-The fixed forms (base) are found with Spark's own functions. Values that stand behind a credential word but have no such form
+The fixed forms (base) are found with Spark's own functions. Values behind a credential word that such forms do not cover entirely
 go, as a narrow table, to a guess-cost search in Python: the cheapest way to write the value as a row of dictionary words,
 dates, repeats, keyboard walks, sequences and brute-force characters. A value is a secret if even the cheapest way
 takes ``least`` guesses (a power of ten) or more.
@@ -132,7 +132,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
     ``base`` has the fixed forms, by kind and start: assignments to a credential word with a value of 12 or more characters,
     access keys and long hexadecimal runs. ``spans`` adds values behind a credential word that take 10 ** ``least``
-    guesses or more and touch no base span. Values are taken and scored whole, whatever their length.
+    guesses or more and that base spans do not cover entirely; they may overlap base spans. Values are taken and scored whole, whatever their length.
 
     Defined results: a NULL or empty text has no spans; equal rows get equal results; an empty table gives no rows; other
     columns are ignored.
@@ -187,16 +187,21 @@ def _spans(df: DataFrame, keep: list[str], least: float) -> DataFrame:
         found = F.regexp_extract(s["value"], CONTEXT, 1)
         return F.struct((s["end"] - F.char_length(found)).alias("start"), s["end"].alias("end"), found.alias("value"))
 
-    df = df.withColumn("base", base).withColumn("_values", F.transform("_context", held).cast(value))
-    apart = F.filter(
-        "_values", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
+    df = df.withColumn("base", F.array_sort(base, _by_start)).withColumn("_values", F.transform("_context", held).cast(value))
+
+    def uncovered(s):
+        def cover(at, b):
+            return F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at)
+
+        return F.aggregate("base", s["start"], cover) < s["end"]
+
+    apart = F.filter("_values", uncovered)
     df = df.select(*keep, "base", F.when(F.size("_values") > 0, apart).otherwise(F.col("_values")).alias("values"))
     df = df.withColumn("values", F.filter("values", lambda s: F.char_length(s["value"]) >= 6))
     costly = _costly(df, least)
     return costly.select(
         *keep,
-        F.array_sort("base", _by_start).alias("base"),
+        "base",
         F.array_sort(F.concat("base", labelled(F.col("values"), "value", 3)), _by_start).alias("spans"),
     )
 

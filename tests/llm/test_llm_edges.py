@@ -316,6 +316,14 @@ def test_long_secrets(spark):
             assert secrets.guess_cost(value, limit) == (cost if cost < limit or not value else float("inf"))
 
 
+def test_secrets_past_a_base_span(spark):
+    texts = ["password=abcdefGHIJKL!Q9#zR7$mmX2 x", "api-key: 0123456789abcdef#Kq!Zr?Wv x", "password=abcdefGHIJKL x", "token=zzzzzzzzzzzzzz! x"]
+    found = found_secrets(spark, texts)
+    assert found[0] == ("assign:0:21,value:9:33", "[SECRET] x")
+    assert found[1] == ("hex:9:25,value:9:34", "api-key: [SECRET] x")
+    assert found[2] == ("assign:0:21", "[SECRET] x") and found[3] == ("assign:0:20", "[SECRET]! x")
+
+
 def test_repeated_strings(docs, nothing, spark, monkeypatch):
     monkeypatch.setattr(suffixes, "CHUNK_BYTES", 5_000)
     bodies = [(t or "").encode() for _, t in TEXTS]
