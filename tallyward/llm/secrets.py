@@ -27,10 +27,19 @@ ASSIGN = (
 # Runs are maximal, so a lower bound on their length drops just the short ones.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-#: A credential word, a sign of assignment and what follows up to white space or a quote.
+#: Credential words, anywhere in a name; not within plain words such as author, secretary, tokenizer, compass.
+CREDENTIAL = (
+    r"password|passwd|passphrase|passcode|passkey|(?<!com|by|tres|over|under|sur)pass(?![a-z])|pwd|"
+    r"secret(?!ar[iy]|ion|iv|ed|ly)|token(?!i[sz](?:e|i|at))|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer"
+)
+AUTH = r"auth(?!or(?!i[sz])|entic(?!at))"
+#: A name with a credential word, a sign of assignment and what follows up to white space or a quote. Names are taken whole
+#: and looked into only before a sign, so that long ones cost no more; in prose ("is") auth is a word or part by itself.
 CONTEXT = (
-    r"(?i:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|"
-    r"credentials?|auth|bearer))[\"']?(?:\x20{0,3}[:=]\x20{0,3}|\x20is\x20)[\"']?([^\s\"'`<>(){}\[\],;]{6,})"
+    r"(?<![A-Za-z0-9_.-])(?=[A-Za-z0-9_.-]++[\"']?(?:\x20{0,3}[:=]|\x20is\x20))(?:"
+    rf"(?=[A-Za-z0-9_.-]*?(?i:{CREDENTIAL}|{AUTH}))[A-Za-z0-9_.-]++[\"']?\x20{{0,3}}[:=]\x20{{0,3}}|"
+    rf"(?=[A-Za-z0-9_.-]*?(?i:{CREDENTIAL}|(?<![a-z])auth(?![a-z])))[A-Za-z0-9_.-]++[\"']?\x20is\x20)"
+    r"[\"']?([^\s\"'`<>(){}\[\],;]{6,})"
 )
 
 # Frequent words and passwords, most frequent first, and the rows of a keyboard.

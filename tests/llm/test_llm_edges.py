@@ -324,6 +324,22 @@ def test_secrets_past_a_base_span(spark):
     assert found[2] == ("assign:0:21", "[SECRET] x") and found[3] == ("assign:0:20", "[SECRET]! x")
 
 
+def test_secrets_behind_longer_names(spark):
+    key, odd = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "Xk9#vQ2!mL7$"
+    names = ["AWS_SECRET_ACCESS_KEY=", "export MY.API-KEY_2 = ", "dbPassword: ", "PGPASSWORD=", "token_value is ", "x-authorization: "]
+    names += ['"smtp_pass": "', "auth=", "my-auth is ", "passwordless.pwd_old:", "tokens." * 20_000 + "x="]
+    plain = ["author: Christopher", "secretary: Montgomery", "tokenizer = SentencePieceUnigram", "the compass: Northwestern"]
+    plain += ["authorization is unnecessarily late", "passage: Thermopylae", "token" * 20_000, "DB_PASSWORD=letmein1"]
+    found = found_secrets(spark, [n + v for n in names for v in (key, odd)] + plain + [f"DB_PASSWD={odd}"])
+    for i, n in enumerate(names):
+        for j, v in enumerate((key, odd)):
+            spans, clean = found[2 * i + j]
+            assert f"value:{len(n)}:{len(n + v)}" in spans or spans.startswith("assign:"), n + v
+            assert v not in clean and clean.endswith("[SECRET]"), n + v
+    assert [f for f in found[2 * len(names) : -1]] == [("", t) for t in plain]
+    assert found[-1] == ("value:10:22", "DB_PASSWD=[SECRET]")
+
+
 def test_repeated_strings(docs, nothing, spark, monkeypatch):
     monkeypatch.setattr(suffixes, "CHUNK_BYTES", 5_000)
     bodies = [(t or "").encode() for _, t in TEXTS]
