@@ -4,7 +4,7 @@
    cells, and every vector is filed in the cell of its two nearest codewords.
 2. Search. Each vector visits cells in order of distance (multi-sequence traversal: a heap over the two sorted lists of
    codewords). How many is calibrated: a sample of vectors is compared with all others, and the number of visits is the
-   smallest that finds the share ``recall`` of their true links.
+   smallest that finds the share ``recall`` of their true links, up to all cells.
 3. Verification. In each cell, members and visitors meet in tiles of a bounded size and are compared by cosine in
    double precision; a cell with many of either is many tiles.
 
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,8 @@ from tallyward.llm.graph import components
 MEMBERS, VISITORS = 128, 256
 #: Vectors on which codebooks are fitted, and vectors whose true links calibrate the search, at most.
 FIT_SAMPLE, CALIBRATION_SAMPLE = 20_000, 1_000
-MOST_VISITS = 64
+#: Visits tried first in the calibration, and made where no vector of the sample has links.
+FIRST_VISITS = 64
 
 
 def fit_codebook(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -89,7 +91,7 @@ def _linked_tile(table: pa.Table, kind: str, dim: int, least: float) -> pa.Table
     copies = np.array(table.column("copies").to_pylist(), np.int64)
     nodes = np.array(table.column("node").to_pylist(), object)
     cells = np.array(table.column("own").to_pylist(), np.int64)
-    visits = np.array(table.column("visits").to_pylist(), np.int64).reshape(len(nodes), -1)
+    visits = pc.list_flatten(table.column("visits")).to_numpy().reshape(len(nodes), -1)
     member, query = np.flatnonzero(~visitor), np.flatnonzero(visitor)
     i, j = np.nonzero(units[query] @ units[member].T >= least)
     q, m = query[i], member[j]
@@ -263,19 +265,19 @@ def _linked(once: DataFrame, dim: int, n: int, least: float, recall: float, kind
 def _calibrated(once: DataFrame, dim: int, n: int, index: Index, least: float, recall: float) -> int:
     """The number of visits that finds ``recall`` of a sampled vector's true links, on average over the sample.
 
-    Each vector counts alike, so that a large group does not speak for all. At most ``MOST_VISITS``.
+    Each vector counts alike, so that a large group does not speak for all. ``FIRST_VISITS`` are doubled, up to all cells, until
+    they find enough; an error if even all cells do not.
     """
+    cells = len(index.books[0]) * len(index.books[1])
     rows = _chosen(once, n, CALIBRATION_SAMPLE, 2).select("node", "place", "embedding").collect()
     if not rows:
-        return MOST_VISITS
+        return min(FIRST_VISITS, cells)
     queries = np.array([r["embedding"] for r in rows], np.float64)
     queries /= np.sqrt((queries * queries).sum(axis=1))[:, None]
     names, places = np.array([r["node"] for r in rows]), np.array([r["place"] for r in rows])
-    seen = index.visits(queries, MOST_VISITS)
 
-    def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = np.zeros((len(queries), MOST_VISITS + 1), np.int64)
             for low in range(0, batch.num_rows, 2000):
                 part = batch.slice(low, 2000)
                 flat = np.asarray(part.column(2).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
@@ -285,20 +287,25 @@ def _calibrated(once: DataFrame, dim: int, n: int, index: Index, least: float, r
                 alike &= np.array(part.column(1).to_pylist())[:, None] == places[None, :]
                 alike &= np.array(part.column(0).to_pylist())[:, None] != names[None, :]
                 i, j = np.nonzero(alike)
-                hit = seen[j] == own[i][:, None]
-                rank = np.where(hit.any(axis=1), hit.argmax(axis=1), MOST_VISITS)
-                np.add.at(counts, (j, rank), 1)
-            query, rank = np.nonzero(counts)
-            columns = [pa.array(query), pa.array(rank), pa.array(counts[query, rank])]
-            yield pa.RecordBatch.from_arrays(columns, ["query", "rank", "n"])
-
-    met = once.select("node", "place", "embedding").mapInArrow(ranks, "query long, rank long, n long")
-    counts = np.zeros((len(queries), MOST_VISITS + 1))
-    for r in met.groupBy("query", "rank").agg(F.sum("n").alias("n")).collect():  # at most sample x (visits + 1) rows
-        counts[r["query"], r["rank"]] = r["n"]
-    linked = counts[counts.sum(axis=1) > 0]
-    if not len(linked):
-        return MOST_VISITS
-    found = (np.cumsum(linked, axis=1) / linked.sum(axis=1, keepdims=True)).mean(axis=0)
-    enough = np.flatnonzero(found[:MOST_VISITS] >= recall)
-    return int(enough[0]) + 1 if len(enough) else MOST_VISITS
+                home, count = np.unique(j * cells + own[i], return_counts=True)
+                columns = [pa.array(home // cells), pa.array(home % cells), pa.array(count)]
+                yield pa.RecordBatch.from_arrays(columns, ["query", "cell", "n"])
+
+    met = once.select("node", "place", "embedding").mapInArrow(homes, "query long, cell long, n long")
+    linked: dict[int, dict[int, int]] = {}
+    for r in met.groupBy("query", "cell").agg(F.sum("n").alias("n")).collect():  # the cells of the sample's links
+        linked.setdefault(r["query"], {})[r["cell"]] = r["n"]
+    visits = min(FIRST_VISITS, cells)
+    if not linked:
+        return visits
+    while True:
+        found = np.zeros(visits)
+        for query, held in linked.items():
+            seen = index.visits(queries[query : query + 1], visits)[0]
+            found += np.cumsum([held.get(c, 0) for c in seen.tolist()]) / sum(held.values())
+        enough = np.flatnonzero(found / len(linked) >= recall)
+        if len(enough):
+            return int(enough[0]) + 1
+        if visits == cells:
+            raise RuntimeError(f"all {cells} cells find {found[-1] / len(linked):.6f} of a vector's links, not {recall}")
+        visits = min(2 * visits, cells)

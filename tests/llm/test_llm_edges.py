@@ -396,3 +396,16 @@ def test_components(spark):
                 head[a] = head[b] = min(head[a], head[b])
     found = graph.components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in found} == {x: h for x, h in head.items() if any(x in p and p[0] != p[1] for p in links if None not in p)}
+
+
+def test_vectors_with_links_in_many_cells(spark):
+    rnd = np.random.default_rng(4)
+    units = rnd.normal(size=(5_400, 8))
+    units /= np.sqrt((units * units).sum(axis=1))[:, None]
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(units)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(8)
+    links = (units @ units.T >= -0.3).sum(axis=1) - 1
+    found = {r.vec_id: r.n_links for r in embeddings.near_vectors(df, least=-0.3).collect()}
+    assert sum(found.values()) >= 0.998 * links.sum() and all(found[i] <= n for i, n in enumerate(links))
+    with pytest.raises(RuntimeError, match="all 81 cells"):
+        embeddings.near_vectors(df, least=-0.3, recall=1.1).collect()
