@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+from tallyward.plans import replays  # noqa: F401 (adds the streaming queries)
 from tallyward.plans.catalog import CATALOG
 
 ROOT = Path(__file__).resolve().parents[1]
