@@ -15,6 +15,7 @@ from tallyward.llm import (
     minhash,
     packing,
     pii,
+    prefix_trie,
     secrets,
     suffixes,
     token_counts,
@@ -139,3 +140,38 @@ def op6_token_counts(spark, sf_dir):
 def op10_embedding_dedup(spark, sf_dir):
     """Links and components of the embeddings."""
     return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+_CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''),
+    lambda ch : ascii(ch)::bigint)), lambda crc, ch : list_reduce(list_concat([xor(crc, ch)], list_value(0, 0, 0, 0, 0, 0, 0, 0)::bigint[]),
+    lambda x, k : xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+@register(
+    "op11_prefix_trie",
+    f"""WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL),
+    sizes AS (SELECT conv_id, count(*) AS n FROM t GROUP BY 1),
+    heads AS (SELECT s.conv_id, s.conv_id - s.conv_id % 20 AS lender, h, least(h, coalesce(l.n, 0)) AS lent
+        FROM (SELECT conv_id, n, {_CRC32} % 4 AS h FROM sizes) s LEFT JOIN sizes l ON l.conv_id = s.conv_id - s.conv_id % 20),
+    rebuilt AS (SELECT heads.conv_id, i AS p, role, text FROM heads JOIN t ON t.conv_id = lender AND i <= h
+        UNION ALL SELECT conv_id, i - h + lent, role, text FROM t JOIN heads USING (conv_id) WHERE i > h),
+    paths AS (SELECT conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY p) FILTER (p IS NOT NULL), []) AS s
+        FROM heads LEFT JOIN rebuilt USING (conv_id) GROUP BY 1),
+    prefixes AS (SELECT conv_id, d, len(s) AS n, s[1:d] AS k,
+        len(list_filter(regexp_split_to_array(coalesce(s[d].t, ''), '[\x20\x09-\x0D]+'), lambda w : w <> '')) AS words
+        FROM paths, unnest(range(0, len(s) + 1)) AS u(d)),
+    nodes AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words, max(n) = d AS leaf,
+        string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM prefixes GROUP BY 1, 2),
+    above AS (SELECT k[1:a] AS k, a AS d, count(*) FILTER (nodes.d = a + 1) AS n_children, count(*) FILTER (leaf) AS n_leaves,
+        sum((n_convs - 1) * words) AS saved FROM nodes, unnest(range(0, nodes.d + 1)) AS u(a) GROUP BY 1, 2)
+    SELECT nodes.conv_id, nodes.d::bigint AS depth, up.conv_id AS parent_conv_id, nodes.n_convs, n_children, n_leaves,
+        saved::bigint AS saved_tokens, sha256(coalesce(nodes.ends, '')) AS ends_sha256
+    FROM nodes JOIN above ON above.d = nodes.d AND above.k = nodes.k
+    LEFT JOIN nodes up ON up.d = nodes.d - 1 AND up.k = nodes.k[1:nodes.d - 1]""",
+)
+def op11_prefix_trie(spark, sf_dir):
+    """The trie of conversations that take their first turns from the first of each twenty."""
+    steps, lengths = prefix_trie.numbered(read_table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.trie(*prefix_trie.with_borrowed_heads(steps, lengths, 20, head, 3))
