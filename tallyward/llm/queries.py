@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm import (
+    clustering,
     decontaminate,
     embeddings,
     licenses,
@@ -175,3 +176,36 @@ def op11_prefix_trie(spark, sf_dir):
     steps, lengths = prefix_trie.numbered(read_table(spark, sf_dir, "conversations"))
     head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
     return prefix_trie.trie(*prefix_trie.with_borrowed_heads(steps, lengths, 20, head, 3))
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    steps = [
+        """WITH points AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x : floor(1024 * x::double)::bigint) AS v
+        FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x : x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS MATERIALIZED (SELECT n, v FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS n, v
+        FROM points) WHERE n < {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (SELECT vec_id, any_value(p.v) AS v, min(list_sum(list_transform(list_zip(p.v, c.v),
+            lambda z : (z[1] - z[2]) * (z[1] - z[2]))) * {k} + n) AS best FROM points p, c{i} c GROUP BY vec_id)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c.n, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN
+                (SELECT n, list(((s - (s % q + q) % q) // q)::bigint ORDER BY i) AS v FROM (SELECT best % {k} AS n, i, sum(v[i]) AS s,
+                count(*) AS q FROM a{i}, unnest(range(1, 65)) AS u(i) GROUP BY 1, 2) GROUP BY 1) m USING (n))"""
+            )
+    steps.append(f"found AS (SELECT vec_id, (best % {k})::int AS cluster, (best // {k})::bigint AS distance FROM a{rounds})")
+    return (
+        ", ".join(steps)
+        + f""" SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::bigint AS cluster_inertia,
+    (sum(distance) OVER ())::bigint AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+    FROM found JOIN c{rounds} ON n = cluster"""
+    )
+
+
+@register("op12_centroid_clusters", _clustering_sql())
+def op12_centroid_clusters(spark, sf_dir):
+    """The cluster of each embedding of 64 components after ten rounds from eight drawn centroids."""
+    return clustering.digests(clustering.centroid_clusters(read_table(spark, sf_dir, "embeddings")))
