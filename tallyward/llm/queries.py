@@ -12,6 +12,7 @@ from tallyward.llm import (
     clustering,
     decontaminate,
     embeddings,
+    language,
     licenses,
     minhash,
     packing,
@@ -209,3 +210,9 @@ def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
 def op12_centroid_clusters(spark, sf_dir):
     """The cluster of each embedding of 64 components after ten rounds from eight drawn centroids."""
     return clustering.digests(clustering.centroid_clusters(read_table(spark, sf_dir, "embeddings")))
+
+
+@register("op13_languages")
+def op13_languages(spark, sf_dir):
+    """The language of each document."""
+    return language.languages(read_table(spark, sf_dir, "documents"))
