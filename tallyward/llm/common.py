@@ -58,20 +58,6 @@ def bounded_broadcast(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def heavy_light_join(left: DataFrame, right: DataFrame, keys: list[str], share: int = 1_000) -> DataFrame:
-    """``left`` joined (left outer) with ``right``, whose keys are unique, where a few keys may hold most rows of ``left``.
-
-    A key with more than one in ``share`` of the rows of ``left`` is heavy: there are fewer than ``share`` such keys, so their
-    rows of ``right`` are broadcast. All other keys are shuffled.
-    """
-    n = left.count()
-    heavy = left.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") * share > n).drop("_n")
-    few = right.join(F.broadcast(heavy), keys).withColumn("_heavy", F.lit(True))
-    met = left.join(F.broadcast(few), keys, "left")
-    rest = met.filter("_heavy is null").select(left.columns).join(right, keys, "left")
-    return met.filter("_heavy").drop("_heavy").unionByName(rest)
-
-
 def sha256_of(parts: Column) -> Column:
     """Lowercase hex SHA-256 of an array of strings, comma-joined."""
     return F.sha2(F.array_join(parts, ","), 256)

@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.common import heavy_light_join, stored
+from tallyward.llm.common import stored
 
 #: Turns of a conversation that are numbered together, and conversations whose ids are joined together.
 BLOCK, IDS = 1024, 4096
+#: The blocks of borrowed turns and of turns without a number; they come before all others.
+BORROWED, NO_TURN = -(1 << 61), -(1 << 60)
 #: Cells of a sketch row that travel together; the least and the most cells of a row.
 PART, LEAST_CELLS, MOST_CELLS = 1 << 16, 1 << 16, 1 << 26
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -33,8 +35,8 @@ _KEY = ["a", "b"]
 
 def numbered(
     turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """Steps (conv_id, place from 1, two 64-bit digests of role and text, words) and lengths (conv_id, length).
+) -> DataFrame:
+    """Turns as conv_id, block, rank in the block (from 1), last (of the block), two 64-bit digests of role and text, words.
 
     Turns are ordered by ``turn``, NULL first; turns of one number by their digests. Rows without a conversation are left out.
     """
@@ -42,105 +44,118 @@ def numbered(
     rows = turns.filter(F.col(conv_id).isNotNull()).select(
         F.col(conv_id).cast("long").alias("conv_id"),
         F.col(turn).alias("turn"),
-        F.coalesce(F.expr(f"`{turn}` div {BLOCK}"), F.lit(-(1 << 60))).alias("block"),
+        F.coalesce(F.expr(f"`{turn}` div {BLOCK}"), F.lit(NO_TURN)).alias("block"),
         F.xxhash64(said, what).alias("a"),
         F.xxhash64(F.lit(17), said, what).alias("b"),
         F.regexp_count(what, F.lit(_WORD)).cast("long").alias("words"),
     )
     inside = Window.partitionBy("conv_id", "block").orderBy(F.asc_nulls_first("turn"), "a", "b")
-    placed = stored(rows.withColumn("rank", F.row_number().over(inside)).drop("turn"), "turns")
-    sizes = placed.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("conv_id", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    steps = placed.join(before, ["conv_id", "block"]).select(
-        "conv_id", (F.col("before") + F.col("rank")).alias("place"), "a", "b", "words"
-    )
-    return steps, sizes.groupBy("conv_id").agg(F.sum("n").alias("length"))
+    rows = rows.withColumns({"rank": F.row_number().over(inside).cast("long"), "last": F.lead("a").over(inside).isNull()})
+    return stored(rows.drop("turn"), "turns")
 
 
-def with_borrowed_heads(
-    steps: DataFrame, lengths: DataFrame, every: int, head: Column, most: int
-) -> tuple[DataFrame, DataFrame]:
-    """Each conversation c with its first ``head`` steps (at most ``most``) replaced by those of c - c % ``every``.
+def _places(turns: DataFrame, every: int, head: Column, most: int) -> DataFrame:
+    """The first turns of each block and its last one, with what their conversation borrows.
 
-    A lender with fewer steps lends them all, an absent one none.
+    Adds before (turns in earlier blocks), length, head (turns that are replaced) and lent (the lender's first ``head`` turns).
     """
-    c = F.col("conv_id")
-    heads = (
-        steps.filter((c % every == 0) & (F.col("place") <= most))
-        .groupBy(c.alias("lender"))
-        .agg(F.sort_array(F.collect_list(F.struct("place", "a", "b", "words"))).alias("lent"))  # at most ``most``
-    )
-    asked = lengths.select("conv_id", "length", (c - c % every).alias("lender"), head.cast("long").alias("head"))
-    lent = F.coalesce(F.filter("lent", lambda x: x["place"] <= F.col("head")), F.array().cast(heads.schema["lent"].dataType))
-    known = stored(
-        asked.join(heads, "lender", "left").select("conv_id", "length", "head", lent.alias("lent")).withColumn("n", F.size("lent")),
-        "heads",
-    )
-    own = steps.join(known.select("conv_id", "head", "n"), "conv_id").filter("place > head")
-    own = own.select("conv_id", (F.col("place") - F.col("head") + F.col("n")).alias("place"), "a", "b", "words")
-    borrowed = known.select("conv_id", F.inline("lent"))
-    length = F.col("n") + F.greatest(F.col("length") - F.col("head"), F.lit(0))
-    return own.unionByName(borrowed), known.select("conv_id", length.alias("length"))
+    c, last_rank = F.col("conv_id"), F.when(F.col("last"), F.col("rank")).otherwise(0)
+    few = turns.filter(F.col("last") | (F.col("rank") <= max(most, 1)))
+    few = few.withColumns({"lender": c - c % every if every else c, "head": head.cast("long")}).repartition("lender")
+    mine = Window.partitionBy("lender", "conv_id")
+    before = F.sum(last_rank).over(mine.orderBy("block", "rank").rowsBetween(Window.unboundedPreceding, -1))
+    few = few.withColumns({"before": F.coalesce(before, F.lit(0)), "length": F.sum(last_rank).over(mine)})
+    place = F.col("before") + F.col("rank")
+    lends = (c == F.col("lender")) & (place <= most)
+    step = F.struct(place.alias("place"), "a", "b", "words")
+    lent = F.sort_array(F.collect_list(F.when(lends, step)).over(Window.partitionBy("lender")))  # at most ``most``
+    few = few.withColumn("lent", F.filter(lent, lambda x: x["place"] <= F.col("head")))
+    return stored(few.drop("lender", "words"), "places")
+
+
+def _hashes(step) -> tuple[Column, Column]:
+    a, b, place = (step[x] for x in ("a", "b", "place"))
+    return F.xxhash64(a, b, place), F.xxhash64(b, place, a)
+
+
+def _borrowed_path(lent: Column) -> Column:
+    """For 0, 1, ... of the lent steps: depth, digest, the parent's digest, words of the last step, words so far."""
+    zero = F.lit(0).cast("long")
+
+    def add(got, x):
+        ha, hb = _hashes(x)
+        return F.struct(
+            (got["depth"] + 1).alias("depth"),
+            got["a"].bitwiseXOR(ha).alias("a"),
+            got["b"].bitwiseXOR(hb).alias("b"),
+            got["a"].alias("pa"),
+            got["b"].alias("pb"),
+            x["words"].alias("words"),
+            (got["upto"] + x["words"]).alias("upto"),
+        )
 
+    none = F.lit(None).cast("long")
+    fields = {"depth": zero, "a": zero, "b": zero, "pa": none, "pb": none, "words": zero, "upto": zero}
+    root = F.struct(*[v.alias(k) for k, v in fields.items()])
+    return F.transform(F.sequence(F.lit(0), F.size(lent)), lambda i: F.aggregate(F.slice(lent, 1, i), root, add))
 
-def _prefixes(steps: DataFrame, lengths: DataFrame) -> DataFrame:
+
+def prefixes(turns: DataFrame, every: int = 0, head: Column | None = None, most: int = 0) -> DataFrame:
     """A row per conversation and depth (0 for none of its turns) with the digest of the beginning and of its parent.
 
-    The digest is the exclusive or of hashes of (turn, place), so blocks of a conversation can be combined.
+    With ``every``, the first ``head`` turns (at most ``most``) of each conversation c are replaced by those of c - c % ``every``: a
+    lender with fewer turns lends them all, an absent one none. The digest is the exclusive or of hashes of (turn, place), so
+    that blocks of a conversation can be combined.
     """
-    hashed = steps.select(
-        "conv_id",
-        "place",
-        F.expr(f"place div {BLOCK}").alias("block"),
-        F.xxhash64("a", "b", "place").alias("ha"),
-        F.xxhash64("b", "place", "a").alias("hb"),
-        "words",
-    )
+    places = _places(turns, every, F.lit(0) if head is None else head, most)
+    n = F.size("lent")
+    blocks = places.filter("last").select("conv_id", "block", "before", "head", n.alias("n"))
+    place = F.col("before") + F.col("rank")
+    own = turns.join(blocks, ["conv_id", "block"]).filter(place > F.col("head"))
+    own = own.select("conv_id", "block", (place - F.col("head") + F.col("n")).alias("place"), "a", "b", "words", "last")
+    ha, hb = _hashes({x: F.col(x) for x in ("a", "b", "place")})
     so_far = Window.partitionBy("conv_id", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    runs = hashed.withColumns(
+    runs = own.select("conv_id", "block", "place", "words", "last", ha.alias("ha"), hb.alias("hb"))
+    runs = runs.withColumns(
         {"xa": F.bit_xor("ha").over(so_far), "xb": F.bit_xor("hb").over(so_far), "sum": F.sum("words").over(so_far)}
     )
     runs = stored(runs, "runs")
-    blocks = runs.groupBy("conv_id", "block").agg(
-        F.bit_xor("ha").alias("ta"), F.bit_xor("hb").alias("tb"), F.sum("words").alias("tw")
+
+    path = _borrowed_path(F.col("lent"))
+    length = n + F.greatest(F.col("length") - F.col("head"), F.lit(0))
+    heads = places.filter(place == 1).select("conv_id", path.alias("path"), length.cast("long").alias("length"))
+    end = F.element_at("path", -1)
+    heads = heads.select(
+        "conv_id", F.lit(BORROWED).alias("block"), end["a"].alias("xa"), end["b"].alias("xb"), end["upto"].alias("sum"), "path", "length"
     )
+    sums = heads.unionByName(runs.filter("last").select("conv_id", "block", "xa", "xb", "sum"), allowMissingColumns=True)
     earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy("conv_id")
     zero = F.lit(0).cast("long")
-    before = blocks.select(
+    sums = sums.select(
         "conv_id",
         "block",
-        *[F.coalesce(f(x).over(earlier), zero).alias(f"before_{x}") for f, x in ((F.bit_xor, "ta"), (F.bit_xor, "tb"), (F.sum, "tw"))],
-        F.sum("tw").over(Window.partitionBy("conv_id")).alias("total"),
-    ).join(lengths, "conv_id")
-    a, b = F.col("xa").bitwiseXOR(F.col("before_ta")), F.col("xb").bitwiseXOR(F.col("before_tb"))
-    rows = runs.join(before, ["conv_id", "block"]).select(
+        *[F.coalesce(f(x).over(earlier), zero).alias(f"before_{x}") for f, x in ((F.bit_xor, "xa"), (F.bit_xor, "xb"), (F.sum, "sum"))],
+        F.sum("sum").over(everything).alias("total"),
+        F.max("length").over(everything).alias("length"),
+        "path",
+    )
+    sums = stored(sums, "sums")
+    a, b = F.col("xa").bitwiseXOR(F.col("before_xa")), F.col("xb").bitwiseXOR(F.col("before_xb"))
+    rows = runs.join(sums.drop("path"), ["conv_id", "block"]).select(
         "conv_id",
-        F.col("place").cast("long").alias("depth"),
+        F.col("place").alias("depth"),
         a.alias("a"),
         b.alias("b"),
         a.bitwiseXOR(F.col("ha")).alias("pa"),
         b.bitwiseXOR(F.col("hb")).alias("pb"),
         "words",
-        (F.col("sum") + F.col("before_tw")).alias("upto"),
+        (F.col("sum") + F.col("before_sum")).alias("upto"),
         "total",
         "length",
     )
-    none = F.lit(None).cast("long")
-    totals = blocks.groupBy("conv_id").agg(F.sum("tw").alias("total"))
-    roots = lengths.join(totals, "conv_id", "left").select(
-        "conv_id",
-        zero.alias("depth"),
-        zero.alias("a"),
-        zero.alias("b"),
-        none.alias("pa"),
-        none.alias("pb"),
-        zero.alias("words"),
-        zero.alias("upto"),
-        F.coalesce("total", zero).alias("total"),
-        "length",
-    )
-    return stored(rows.unionByName(roots), "prefixes")
+    first = sums.filter(F.col("block") == BORROWED).select("conv_id", "total", "length", F.inline("path"))
+    return stored(rows.unionByName(first), "prefixes")
 
 
 def cells_for(n: int) -> int:
@@ -253,8 +268,8 @@ def _end_digests(ends: DataFrame) -> DataFrame:
     return ordered.mapInArrow(hashed, "a long, b long, ends_sha256 string")
 
 
-def trie(steps: DataFrame, lengths: DataFrame) -> DataFrame:
-    """The nodes of the trie of all beginnings, the textless root (depth 0) included.
+def trie(beginnings: DataFrame) -> DataFrame:
+    """The nodes of the trie of all ``prefixes``, the textless root (depth 0) included.
 
     Per node: conv_id (its smallest member: a conversation that begins so), depth, parent_conv_id (its parent's conv_id; NULL at
     the root), n_convs (members), n_children, n_leaves (childless nodes of its subtree), saved_tokens (over its subtree, members
@@ -264,70 +279,76 @@ def trie(steps: DataFrame, lengths: DataFrame) -> DataFrame:
     Defined results: conversations without turns are members of the root and end there; no conversations give no rows.
     Beginnings are told apart by 128 bits.
     """
-    rows = _screened(_prefixes(steps, lengths))
+    rows = _screened(beginnings)
     maybe, single = rows.filter("not one"), rows.filter("one")
+    first = single.filter("not parent_one")
+    above = (F.col("upto") - F.col("words")).alias("above")
     nodes = stored(
         maybe.groupBy(*_KEY).agg(
             F.min("conv_id").alias("conv_id"),
             F.max("depth").alias("depth"),
             F.max("length").alias("longest"),
-            F.max(F.col("upto") - F.col("words")).alias("above"),
+            F.max(above).alias("above"),
             F.max("pa").alias("pa"),
             F.max("pb").alias("pb"),
-            F.count("*").alias("n_convs"),
         ),
         "nodes",
     )
     # What each conversation owns starts at its first node of its own; the words above that are shared with smaller ones.
-    start = F.struct("depth", "above", "pa", "pb")
-    first = single.filter("not parent_one")
-    owned = nodes.select("conv_id", start.alias("start"), (F.col("longest") == F.col("depth")).alias("leaf")).unionByName(
-        first.withColumn("above", F.col("upto") - F.col("words")).select("conv_id", start.alias("start"), F.lit(True).alias("leaf"))
-    )
+    start = F.struct("depth", "above", "pa", "pb").alias("start")
+    owned = nodes.select("conv_id", start, (F.col("longest") == F.col("depth")).alias("leaf"))
+    owned = owned.unionByName(first.withColumn("above", above).select("conv_id", start, F.lit(True).alias("leaf")))
     owned = owned.groupBy("conv_id").agg(F.min("start").alias("start"), F.max("leaf").alias("leaf"))
-    owned = stored(owned.select("conv_id", "leaf", F.col("start.depth").alias("from"), "start.above", "start.pa", "start.pb"), "owned")
+    owned = owned.select("conv_id", "leaf", F.col("start.depth").alias("from"), "start.above", "start.pa", "start.pb")
+    # Most conversations may leave the trie at the same node; adaptive execution splits such a key of this join.
     parents = nodes.select(F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("conv_id").alias("parent"))
-    owned = stored(heavy_light_join(owned, parents, ["pa", "pb"]), "parents")
+    owned = stored(owned.join(parents, ["pa", "pb"], "left").drop("pa", "pb"), "owned")
 
-    mine = owned.select("conv_id", "leaf", "from", "above")
+    shuffled = rows.filter("not one or not parent_one")
     shared_words = F.when(F.col("from").isNull(), F.col("total")).when(F.col("depth") < F.col("from"), F.col("above"))
-    sums = (
-        maybe.join(mine, "conv_id", "left")
+    found = (
+        shuffled.join(owned, "conv_id", "left")
         .groupBy(*_KEY)
         .agg(
+            F.min(F.struct("conv_id", "from", "parent")).alias("owner"),
+            F.max("depth").alias("depth"),
+            F.count("*").alias("n_convs"),
             F.count_if((F.col("depth") < F.col("length")) & (F.col("from") <= F.col("depth") + 1)).alias("n_children"),
             F.count_if("leaf").alias("n_leaves"),
             F.sum(F.coalesce(shared_words - (F.col("upto") - F.col("words")), F.lit(0))).alias("saved_tokens"),
         )
     )
-    ends = _end_digests(maybe.filter("depth = length").select("conv_id", *_KEY))
+    ends = _end_digests(shuffled.filter("depth = length").select("conv_id", *_KEY))
     none = F.sha2(F.lit("").cast("binary"), 256)
-    parent = F.when(F.col("depth") > F.col("from"), F.col("conv_id")).otherwise(F.col("parent"))
-    origin = owned.select("conv_id", "from", "parent")
-    exact = nodes.join(sums, _KEY).join(ends, _KEY, "left").join(origin, "conv_id", "left")
-    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    exact = exact.withColumns({"parent_conv_id": parent, "ends_sha256": F.coalesce("ends_sha256", none)}).select(columns)
-
-    def alone(df: DataFrame, parent: Column) -> DataFrame:
-        one, last = F.lit(1).cast("long"), F.col("depth") == F.col("length")
-        return df.select(
-            "conv_id",
-            "depth",
-            parent.alias("parent_conv_id"),
-            one.alias("n_convs"),
-            F.when(last, 0).otherwise(1).cast("long").alias("n_children"),
-            one.alias("n_leaves"),
-            F.lit(0).cast("long").alias("saved_tokens"),
-            F.when(last, F.sha2(F.col("conv_id").cast("string").cast("binary"), 256)).otherwise(none).alias("ends_sha256"),
-        )
-
-    tails = alone(single.filter("parent_one"), F.col("conv_id"))
-    return exact.unionByName(alone(first.join(origin, "conv_id"), parent)).unionByName(tails)
+    exact = found.join(ends, _KEY, "left").select(
+        "owner.conv_id",
+        "depth",
+        F.when(F.col("depth") > F.col("owner.from"), F.col("owner.conv_id")).otherwise(F.col("owner.parent")).alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", none).alias("ends_sha256"),
+    )
+    one, last = F.lit(1).cast("long"), F.col("depth") == F.col("length")
+    tails = single.filter("parent_one").select(
+        "conv_id",
+        "depth",
+        F.col("conv_id").alias("parent_conv_id"),
+        one.alias("n_convs"),
+        F.when(last, 0).otherwise(1).cast("long").alias("n_children"),
+        one.alias("n_leaves"),
+        F.lit(0).cast("long").alias("saved_tokens"),
+        F.when(last, F.sha2(F.col("conv_id").cast("string").cast("binary"), 256)).otherwise(none).alias("ends_sha256"),
+    )
+    return exact.unionByName(tails)
 
 
-def prefix_trie(turns: DataFrame, **columns: str) -> DataFrame:
-    """The trie of a table of turns (see ``numbered`` and ``trie``); other columns are ignored."""
-    return trie(*numbered(turns, **columns))
+def prefix_trie(
+    turns: DataFrame, every: int = 0, head: Column | None = None, most: int = 0, **columns: str
+) -> DataFrame:
+    """The trie of a table of turns (see ``numbered``, ``prefixes`` and ``trie``); other columns are ignored."""
+    return trie(prefixes(numbered(turns, **columns), every, head, most))
 
 
 def with_texts(nodes: DataFrame, turns: DataFrame, **columns: str) -> DataFrame:

@@ -174,9 +174,8 @@ _CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(str
 )
 def op11_prefix_trie(spark, sf_dir):
     """The trie of conversations that take their first turns from the first of each twenty."""
-    steps, lengths = prefix_trie.numbered(read_table(spark, sf_dir, "conversations"))
     head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
-    return prefix_trie.trie(*prefix_trie.with_borrowed_heads(steps, lengths, 20, head, 3))
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"), 20, head, 3)
 
 
 def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
