@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences: the stages in order, each written as Parquet and read again.
 
 A stage takes (spark, docs, sf_dir), works on all documents that the one before kept, and returns them with the columns of
-``documents``; the last returns the packed pieces. Ids name documents: rows without an id stay, and of rows that are
-equal in all columns one stays in the near-duplicate stage.
+``documents``; the last returns the packed pieces. Every row is decided on by itself, whatever id it has: rows share a key
+only if all their columns are equal.
 """
 
 from __future__ import annotations
@@ -15,25 +15,47 @@ from tallyward.llm.common import read_table, stored
 from tallyward.llm.queries import WORD_VOCABULARY
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is not among ``ids`` (one column, doc_id)."""
-    return docs.join(ids.filter("doc_id is not null").distinct(), "doc_id", "left_anti").select(*docs.columns)
+_ROW = "_row"
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Adds a key of the row: its id, rows without one last, and a hash of its columns. Rows that are equal have equal keys."""
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    number = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), number.alias("id"), F.xxhash64(*plain).alias("hash"))
+    return docs.withColumn(_ROW, key)
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (with their keys) whose key is not in ``gone``, without the key."""
+    return docs.join(gone, _ROW, "left_anti").drop(_ROW)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier takes for toxic go; NULL and empty texts stay."""
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    fates = stored(minhash.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "fates")
-    if fates.filter("n > 1").limit(1).count():
-        docs = docs.dropDuplicates()
-    return _without(docs, fates.filter("not kept").select("doc_id"))
+    """One row of each group stays: the one with the smallest id, rows without an id last; of equal rows one."""
+    keyed = _with_row(docs)
+    fates = stored(
+        minhash.near_duplicates(keyed, doc_id=_ROW).groupBy(F.col("doc_id").alias(_ROW)).agg(F.max("kept").alias("kept"), F.count("*").alias("n")),
+        "fates",
+    )
+    rest = keyed.join(fates.filter("not kept").select(_ROW), _ROW, "left_anti")
+    again = fates.filter("kept and n > 1").select(_ROW)
+    if not again.limit(1).count():
+        return rest.drop(_ROW)
+    once = rest.join(again, _ROW, "left_semi").dropDuplicates([_ROW])
+    return rest.join(again, _ROW, "left_anti").unionByName(once).drop(_ROW)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.filter("n_hit > 0").select("doc_id"))
+    """Rows with words of a benchmark item go."""
+    keyed = _with_row(docs)
+    found = decontaminate.contamination(keyed, read_table(spark, sf_dir, "benchmark"), doc_id=_ROW)
+    return _without(keyed, found.filter("n_hit > 0").select(F.col("doc_id").alias(_ROW)).distinct())
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
