@@ -3,8 +3,10 @@
 1. Index. Two codebooks, one for each half of the unit vectors, are fitted on a bounded sample; their product is a grid of
    cells, and every vector is filed in the cell of its two nearest codewords.
 2. Search. Each vector visits cells in order of distance (multi-sequence traversal: a heap over the two sorted lists of
-   codewords). How many is calibrated: a sample of vectors is compared with all others, and the number of visits is the
-   smallest that finds the share ``recall`` of their true links, up to all cells.
+   codewords). How many is calibrated on neighbours planted at exactly the limit around a sample of vectors, the hardest
+   links there can be, in random directions and towards other vectors: the smallest number that finds the share ``recall`` of them.
+   The search itself then tells, over all links, how many it found late, in the second half of the visits only; where that is more
+   than ``1 - recall`` of them, visits are doubled, up to all cells.
 3. Verification. In each cell, members and visitors meet in tiles of a bounded size and are compared by cosine in
    double precision; a cell with many of either is many tiles.
 
@@ -28,10 +30,12 @@ from tallyward.llm.graph import components
 
 #: Rows of a tile: members of a cell, and visitors.
 MEMBERS, VISITORS = 128, 256
-#: Vectors on which codebooks are fitted, and vectors whose true links calibrate the search, at most.
+#: Vectors on which codebooks are fitted, and vectors that get planted neighbours, at most.
 FIT_SAMPLE, CALIBRATION_SAMPLE = 20_000, 1_000
-#: Visits tried first in the calibration, and made where no vector of the sample has links.
-FIRST_VISITS = 64
+#: Planted neighbours of each kind (random direction, towards another vector) of a vector.
+PLANTED = 2
+#: Parts of a cell's rows while they learn how large their cell is.
+SALTS = 32
 
 
 def fit_codebook(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -66,11 +70,16 @@ def nearest_cells(first: np.ndarray, second: np.ndarray, n: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _units(column: pa.Array, kind: str, dim: int) -> np.ndarray:
-    points = np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
+def _normed(points: np.ndarray) -> np.ndarray:
+    """Unit vectors; scaled by the largest number first, so that squares neither vanish nor overflow."""
+    points = points / np.abs(points).max(axis=1)[:, None]
     return points / np.sqrt((points * points).sum(axis=1))[:, None]
 
 
+def _units(column: pa.Array, kind: str, dim: int) -> np.ndarray:
+    return _normed(np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64))
+
+
 class Index:
     """Two codebooks over unit vectors of ``dim`` numbers."""
 
@@ -80,12 +89,25 @@ class Index:
 
     def visits(self, units: np.ndarray, n: int) -> np.ndarray:
         first, second = _distances(units[:, : self.half], self.books[0]), _distances(units[:, self.half :], self.books[1])
-        n = min(n, first.shape[1] * second.shape[1])
+        n = min(n, self.cells)
         return np.stack([nearest_cells(a, b, n) for a, b in zip(first, second)]) if len(units) else np.empty((0, n), np.int64)
 
+    @property
+    def cells(self) -> int:
+        return len(self.books[0]) * len(self.books[1])
+
+    def ranks(self, units: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """The visit at which each vector comes to the cell of its counterpart in ``others``."""
+        own, other = [[_distances(x, book) for x, book in zip((u[:, : self.half], u[:, self.half :]), self.books)] for u in (units, others)]
+        out = np.empty(len(units), np.int64)
+        for row, (first, second) in enumerate(zip(*own)):
+            far = first[other[0][row].argmin()] + second[other[1][row].argmin()]
+            out[row] = max(1, np.searchsorted(np.sort(second), far - first, side="right").sum())
+        return out
+
 
 def _linked_tile(table: pa.Table, kind: str, dim: int, least: float) -> pa.Table:
-    """Sums of links and a spanning forest of one tile."""
+    """Sums of links, of those found late among them, and a spanning forest of one tile."""
     visitor = np.array(table.column("visitor").to_pylist(), bool)
     units = _units(table.column("vector"), kind, dim)
     copies = np.array(table.column("copies").to_pylist(), np.int64)
@@ -97,10 +119,14 @@ def _linked_tile(table: pa.Table, kind: str, dim: int, least: float) -> pa.Table
     q, m = query[i], member[j]
     other = nodes[q] != nodes[m]
     q, m = q[other], m[other]
-    links = np.zeros(len(nodes), np.int64)
-    np.add.at(links, q, copies[m])
-    unseen = ~(visits[m] == cells[q][:, None]).any(axis=1)  # the member does not visit the visitor's cell itself
-    np.add.at(links, m[unseen], copies[q[unseen]])
+    back = visits[m] == cells[q][:, None]
+    unseen = ~back.any(axis=1)  # the member does not visit the visitor's cell itself
+    soon = visits.shape[1] - visits.shape[1] // 2
+    late = ~(back[:, :soon].any(axis=1) | (visits[q, :soon] == cells[m][:, None]).any(axis=1))
+    links, found_late = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+    for sums, counted in ((links, np.ones(len(q), bool)), (found_late, late)):
+        np.add.at(sums, q[counted], copies[m[counted]])
+        np.add.at(sums, m[unseen & counted], copies[q[unseen & counted]])
     # A node may be here twice, as member and as visitor; its least row stands for it.
     names, row = np.unique(nodes.astype(str), return_inverse=True)
     group = np.arange(len(names))
@@ -113,12 +139,10 @@ def _linked_tile(table: pa.Table, kind: str, dim: int, least: float) -> pa.Table
         group = group[group]
         if (group == before).all():
             break
-    total = np.bincount(row, weights=links, minlength=len(names)).astype(np.int64)
+    total, total_late = (np.bincount(row, weights=x, minlength=len(names)).astype(np.int64) for x in (links, found_late))
     touched = np.unique(np.concatenate([a, b])) if len(a) else np.empty(0, np.int64)
-    return pa.table(
-        [pa.array(names[touched].tolist(), pa.string()), pa.array(total[touched]), pa.array(names[group[touched]].tolist(), pa.string())],
-        ["node", "links", "head"],
-    )
+    ends = [pa.array(x[touched].tolist(), pa.string()) for x in (names, names[group])]
+    return pa.table([ends[0], pa.array(total[touched]), pa.array(total_late[touched]), ends[1]], ["node", "links", "late", "head"])
 
 
 def near_vectors(
@@ -180,13 +204,10 @@ def _search(valid: DataFrame, least: float, recall: float, kind: str):
     shapes = once.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).collect()  # one row per length
     if not shapes:
         return None
-    tiles = []
+    found = None
     for dim, n in sorted((row["dim"], row["n"]) for row in shapes):
-        tiles.append(_linked(once.filter(F.size("embedding") == dim), dim, n, least, recall, kind))
-    found = tiles[0]
-    for more in tiles[1:]:
-        found = found.unionByName(more)
-    found = stored(found, "tiles")
+        tiles = _linked(once.filter(F.size("embedding") == dim), dim, n, least, recall, kind)
+        found = tiles if found is None else found.unionByName(tiles)
     sums = found.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("node").alias("a"), F.col("head").alias("b")))
     return sums, groups, once.select("node", "copies")
@@ -203,14 +224,44 @@ def _linked(once: DataFrame, dim: int, n: int, least: float, recall: float, kind
     sample = sample.reshape(-1, dim)
     if len(sample) == 0:
         sample = np.array([r[0] for r in once.select("embedding").limit(1000).collect()], np.float64)
-    sample /= np.sqrt((sample * sample).sum(axis=1))[:, None]
+    sample = _normed(sample)
     index = Index(sample, int(min(1024, max(2, n**0.5 / 8))))
-    visits = _calibrated(once, dim, n, index, least, recall)
+    if recall > 1:
+        raise RuntimeError(f"all {index.cells} cells find every link, not a share of {recall}")
+    visits = planted_visits(index, sample[:: -(-len(sample) // CALIBRATION_SAMPLE)], least, recall)
+    while True:
+        tiles = stored(_searched(once, dim, index, visits, least, kind), "tiles")
+        links, late = tiles.agg(F.sum("links"), F.sum("late")).first()
+        if visits == index.cells or (late or 0) <= (1 - recall) * (links or 0):
+            return tiles
+        visits = min(2 * visits, index.cells)
+
+
+def planted_visits(index: Index, units: np.ndarray, least: float, recall: float) -> int:
+    """The visits at which the share ``recall`` of neighbours planted at a cosine of ``least`` is found, from either side."""
+    rng = np.random.default_rng(5)
+    ranks = []
+    for i in range(2 * PLANTED):
+        towards = rng.normal(size=units.shape) if i % 2 else units[rng.permutation(len(units))]
+        aside = towards - (towards * units).sum(axis=1)[:, None] * units
+        length = np.sqrt((aside * aside).sum(axis=1))
+        kept = length > 1e-6  # no direction towards an equal vector
+        if kept.any():
+            near = least * units[kept] + (1 - least**2) ** 0.5 * aside[kept] / length[kept][:, None]
+            ranks.append(np.minimum(index.ranks(units[kept], near), index.ranks(near, units[kept])))
+    if not ranks:
+        return index.cells
+    ranks = np.sort(np.concatenate(ranks))
+    return int(ranks[min(len(ranks), int(np.ceil(recall * len(ranks)))) - 1])
+
+
+def _searched(once: DataFrame, dim: int, index: Index, visits: int, least: float, kind: str) -> DataFrame:
+    """Tiles of members and visitors of the cells, each with its sums and its forest (see ``_linked_tile``)."""
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = np.asarray(batch.column(2).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
-            found = index.visits(flat / np.sqrt((flat * flat).sum(axis=1))[:, None], visits)
+            found = index.visits(_normed(flat), visits)
             raw = flat.astype(kind)
             columns = [
                 batch.column(0),
@@ -232,7 +283,8 @@ def _linked(once: DataFrame, dim: int, n: int, least: float, recall: float, kind
     going = filed.select("*", F.explode("visits").alias("cell"))
     members = filed.groupBy("place", F.col("own").alias("cell")).agg(F.count("*").alias("n_members"))
     visitors = going.groupBy("place", "cell").agg(F.count("*").alias("n_visitors"))
-    # A cell is a grid of tiles: blocks of its members by blocks of its visitors.
+    # A cell is a grid of tiles: blocks of its members by blocks of its visitors. A cell may hold most rows, so its size is
+    # told to its rows in parts.
     grid = stored(
         members.join(visitors, ["place", "cell"]).select(
             "place",
@@ -242,6 +294,8 @@ def _linked(once: DataFrame, dim: int, n: int, least: float, recall: float, kind
         ),
         "grid",
     )
+    parts = grid.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    part = F.pmod(F.xxhash64(F.lit(29), "node"), F.lit(SALTS)).cast("int")
 
     def block(blocks: str):
         return F.pmod(spread, F.col(blocks)).cast("int")
@@ -250,62 +304,14 @@ def _linked(once: DataFrame, dim: int, n: int, least: float, recall: float, kind
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
     row = ["place", "cell", "m_block", "v_block", "visitor", "node", "vector", "copies", "own", "visits"]
-    inside = filed.withColumn("cell", F.col("own")).join(grid, ["place", "cell"])
+    at = ["place", "cell", "part"]
+    inside = filed.withColumns({"cell": F.col("own"), "part": part}).join(parts, at)
     inside = inside.withColumns({"m_block": block("m_blocks"), "visitor": F.lit(False)}).withColumn("v_block", every("v_blocks"))
-    guests = going.join(grid, ["place", "cell"])
+    guests = going.withColumn("part", part).join(parts, at)
     guests = guests.withColumns({"v_block": block("v_blocks"), "visitor": F.lit(True)}).withColumn("m_block", every("m_blocks"))
     return (
         inside.select(row)
         .unionByName(guests.select(row))
         .groupBy("place", "cell", "m_block", "v_block")
-        .applyInArrow(lambda table: _linked_tile(table, kind, dim, least), "node string, links long, head string")
+        .applyInArrow(lambda table: _linked_tile(table, kind, dim, least), "node string, links long, late long, head string")
     )
-
-
-def _calibrated(once: DataFrame, dim: int, n: int, index: Index, least: float, recall: float) -> int:
-    """The number of visits that finds ``recall`` of a sampled vector's true links, on average over the sample.
-
-    Each vector counts alike, so that a large group does not speak for all. ``FIRST_VISITS`` are doubled, up to all cells, until
-    they find enough; an error if even all cells do not.
-    """
-    cells = len(index.books[0]) * len(index.books[1])
-    rows = _chosen(once, n, CALIBRATION_SAMPLE, 2).select("node", "place", "embedding").collect()
-    if not rows:
-        return min(FIRST_VISITS, cells)
-    queries = np.array([r["embedding"] for r in rows], np.float64)
-    queries /= np.sqrt((queries * queries).sum(axis=1))[:, None]
-    names, places = np.array([r["node"] for r in rows]), np.array([r["place"] for r in rows])
-
-    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 2000):
-                part = batch.slice(low, 2000)
-                flat = np.asarray(part.column(2).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
-                units = flat / np.sqrt((flat * flat).sum(axis=1))[:, None]
-                own = index.visits(units, 1)[:, 0]
-                alike = units @ queries.T >= least
-                alike &= np.array(part.column(1).to_pylist())[:, None] == places[None, :]
-                alike &= np.array(part.column(0).to_pylist())[:, None] != names[None, :]
-                i, j = np.nonzero(alike)
-                home, count = np.unique(j * cells + own[i], return_counts=True)
-                columns = [pa.array(home // cells), pa.array(home % cells), pa.array(count)]
-                yield pa.RecordBatch.from_arrays(columns, ["query", "cell", "n"])
-
-    met = once.select("node", "place", "embedding").mapInArrow(homes, "query long, cell long, n long")
-    linked: dict[int, dict[int, int]] = {}
-    for r in met.groupBy("query", "cell").agg(F.sum("n").alias("n")).collect():  # the cells of the sample's links
-        linked.setdefault(r["query"], {})[r["cell"]] = r["n"]
-    visits = min(FIRST_VISITS, cells)
-    if not linked:
-        return visits
-    while True:
-        found = np.zeros(visits)
-        for query, held in linked.items():
-            seen = index.visits(queries[query : query + 1], visits)[0]
-            found += np.cumsum([held.get(c, 0) for c in seen.tolist()]) / sum(held.values())
-        enough = np.flatnonzero(found / len(linked) >= recall)
-        if len(enough):
-            return int(enough[0]) + 1
-        if visits == cells:
-            raise RuntimeError(f"all {cells} cells find {found[-1] / len(linked):.6f} of a vector's links, not {recall}")
-        visits = min(2 * visits, cells)

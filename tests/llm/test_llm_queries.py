@@ -267,3 +267,63 @@ def spark_hits(spark, docs):
         if any(tuple(words[i : i + n]) in windows for n in {len(w) for w in windows} for i in range(len(words) - n + 1)):
             hits.append(d)
     return hits
+
+
+def linked_groups(vectors, labels, least):
+    """Links and smallest reachable row per row, by all pairs of equal label."""
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    links, head = np.zeros(len(units), int), list(range(len(units)))
+
+    def root(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    for label in set(labels.tolist()):
+        at = np.flatnonzero(labels == label)
+        alike = units[at] @ units[at].T >= least
+        links[at] = alike.sum(axis=1) - 1
+        for i, j in np.argwhere(np.triu(alike, 1)):
+            x, y = root(at[i]), root(at[j])
+            head[max(x, y)] = min(x, y)
+    return links, [root(i) for i in range(len(units))]
+
+
+def test_components_of_embeddings(spark):
+    rows = duckdb.connect().execute(f"select vec_id, label, embedding from '{SMALL}/embeddings.parquet'").fetchall()
+    ids = [r[0] for r in rows]
+    links, heads = linked_groups(np.array([r[2] for r in rows], float), np.array([r[1] for r in rows]), 0.93)
+    least = {}
+    for i, head in zip(ids, heads):
+        least[head] = min(least.get(head, i), i)
+    found = {r.vec_id: r for r in result(spark, "op10_embedding_dedup", SMALL).collect()}
+    assert {i: (r.n_links, r.component_id, r.kept) for i, r in found.items()} == {
+        i: (n, least[head], i == least[head]) for i, n, head in zip(ids, links, heads)
+    }
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rare_links_are_all_found(spark, seed):
+    """Two dozen pairs just above the limit among thousands of vectors that have no link."""
+    from tallyward.llm import embeddings
+
+    rng = np.random.default_rng(seed)
+    vectors = rng.normal(size=(8_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    for i in range(24):
+        aside = rng.normal(size=64)
+        aside -= aside @ vectors[i] * vectors[i]
+        vectors[-1 - i] = 0.935 * vectors[i] + (1 - 0.935**2) ** 0.5 * aside / np.linalg.norm(aside)
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    links, heads = linked_groups(vectors, np.ones(len(vectors), int), 0.93)
+    assert sum(links) == 48
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert found == {i: (n, head) for i, (n, head) in enumerate(zip(links, heads))}
+
+
+def test_tiny_and_huge_numbers_of_embeddings(spark):
+    from tallyward.llm import embeddings
+
+    rows = [(1, [1e-200, 0.0], 1), (2, [1e200, 1e190], 1), (3, [0.0, 5e-324], 1), (4, [3.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: r.n_links for r in embeddings.near_vectors(df).collect()} == {1: 2, 2: 2, 3: 0, 4: 2}
