@@ -114,9 +114,13 @@ def training_windows(
         F.col(text).alias("text"), F.xxhash64(text).alias("hash"), F.col(lang).cast("string").alias("lang"), held_out(doc_id).alias("out")
     )
     named = named.filter(F.col("lang").isNotNull() & ~F.col("out") & F.col("text").rlike(r"\p{L}"))
-    sizes = named.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
-    languages = sorted(r["lang"] for r in sizes.collect())
-    hashes = named.filter(F.col("lang").isin(languages)).groupBy("lang", "hash").agg(F.lit(1).alias("one"))
+    sizes = named.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("hash").alias("texts"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    languages = sorted(r["lang"] for r in sizes)
+    # The smallest hashes are sought among about twice as many as are wanted, not among all.
+    top = [(r["lang"], min(2**63 - 1, int(2**64 * 2 * per_language / max(r["texts"], 1)) - 2**63)) for r in sizes]
+    near = named.join(F.broadcast(docs.sparkSession.createDataFrame(top, "lang string, top long")), "lang").filter("hash <= top")
+    hashes = near.groupBy("lang", "hash").agg(F.lit(1).alias("one"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
     last = hashes.withColumn("rank", rank).filter(F.col("rank") <= per_language).groupBy("lang").agg(F.max("hash").alias("last"))
     drawn = named.join(F.broadcast(last), "lang").filter("hash <= last").dropDuplicates(["lang", "hash"])
@@ -149,8 +153,16 @@ def _width_mask() -> np.ndarray:
     return mask.reshape(widest * DIM, -1)
 
 
-def train(languages: list[str], rows: np.ndarray, marks: np.ndarray, epochs: int = 4, batch: int = 64, rate: float = 4e-3) -> Network:
-    """Fits the network by Adam on softmax loss; each language weighs alike."""
+def train(
+    languages: list[str],
+    rows: np.ndarray,
+    marks: np.ndarray,
+    epochs: int = 4,
+    least_steps: int = 300,
+    batch: int = 64,
+    rate: float = 4e-3,
+) -> Network:
+    """Fits the network by Adam on softmax loss, in ``epochs`` or as many as make ``least_steps``; each language weighs alike."""
     rng = np.random.default_rng(11)
     mask = _width_mask()
     scale = np.sqrt(2.0 / mask.sum(axis=0))
@@ -170,7 +182,8 @@ def train(languages: list[str], rows: np.ndarray, marks: np.ndarray, epochs: int
     values = [net.embedding, net.kernel, net.bias, net.weights, net.offsets]
     moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
     steps = 0
-    for _ in range(epochs if len(languages) > 1 else 0):
+    passes = max(epochs, -(-least_steps * batch // max(len(rows), 1)))
+    for _ in range(passes if len(languages) > 1 else 0):
         order = rng.permutation(len(rows))
         for low in range(0, len(rows), batch):
             part = order[low : low + batch]
