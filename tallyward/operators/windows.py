@@ -112,10 +112,12 @@ def span_counts(
 
 
 def span_plateaus(
-    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int
+    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int, weight: str | None = None
 ) -> DataFrame:
     """Runs of window ends ``_at`` (inclusive) to ``_until`` (exclusive) that are covered by the same ``cnt`` rows.
 
+    With ``weight`` a row stands for so many.
+
     A row covers up to size / slide windows (720 for an hour every five seconds). Instead of copying
     rows, equal spans are counted first (map-side), each span becomes one +n and one -n step, and a
     running sum over the steps gives the count between two steps. Timelines are cut into slices, so one (key, slice)
@@ -129,7 +131,7 @@ def span_plateaus(
     def slice_of(end: Column) -> Column:
         return floor_to(end - F.lit(offset), slice_us) + F.lit(offset)
 
-    cells = spans.groupBy(*keys, first, last).agg(F.count("*").alias("_n"))
+    cells = spans.groupBy(*keys, first, last).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     slices = F.sequence(slice_of(F.col(first)), slice_of(F.col(last)), F.lit(slice_us))
     sliced = cells.select(*keys, first, last, "_n", F.explode(slices).alias("_slice"))
     slice_end = F.col("_slice") + F.lit(slice_us)
@@ -165,14 +167,16 @@ def window_plateaus(
     )
 
 
-def _spans(df: DataFrame, keys: Sequence[str], ts: str, size_us: int, slide_us: int) -> DataFrame:
-    """The first and last window end of each row."""
+def with_spans(df: DataFrame, ts: str, size_us: int, slide_us: int) -> DataFrame:
+    """Adds the first and last window end of each row (``_first`` is larger for a row in no window)."""
     us = micros(ts)
-    spans = df.select(
-        *keys,
-        first_window_end(us, size_us, slide_us).alias("_first"),
-        last_window_end(us, size_us, slide_us).alias("_last"),
+    return df.withColumns(
+        {"_first": first_window_end(us, size_us, slide_us), "_last": last_window_end(us, size_us, slide_us)}
     )
+
+
+def _spans(df: DataFrame, keys: Sequence[str], ts: str, size_us: int, slide_us: int) -> DataFrame:
+    spans = with_spans(df, ts, size_us, slide_us).select(*keys, "_first", "_last")
     return spans.filter("_first <= _last") if slide_us > size_us else spans
 
 

@@ -17,7 +17,7 @@ from tallyward.operators import click_cap, matching, visitors, windows
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG, _flat_pairs, register
 from tallyward.session import ROCKSDB_STORE
-from tallyward.streaming import clicks, rules, sinks
+from tallyward.streaming import clicks, rankings, rules, sinks
 from tallyward.streaming import jobs as streams
 
 _END = "2030-01-01 00:00:00"
@@ -40,12 +40,18 @@ def _replay_settings(spark: SparkSession):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def _table_stream(spark: SparkSession, sf_dir: str, schema, name: str = "events") -> DataFrame:
-    """A table as a file stream, be it one file or a folder of part files (a plain path would not take a file)."""
+def _table_stream(
+    spark: SparkSession, sf_dir: str, schema, name: str = "events", per_batch: int | None = None
+) -> DataFrame:
+    """A table as a file stream, be it one file or a folder of part files (a plain path would not take a file).
+
+    With ``per_batch``, a micro-batch takes so many files at most, in the order in which they were written.
+    """
     path = f"{sf_dir}/{name}.parque[t]"
     if not spark.read.schema(schema).parquet(path).inputFiles():
         raise FileNotFoundError(path)
-    return spark.readStream.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).parquet(path)
 
 
 def event_stream(spark: SparkSession, sf_dir: str, folder: str, delay=streams.IN_ORDER, **flush) -> DataFrame:
@@ -300,6 +306,43 @@ def top_pages(spark, sf_dir):
     return sinks.newest_groups(sinks.read_log(spark, f"{folder}/out"), ["window_end"])
 
 
+def _ranked_pages(spark, folder: str, log: DataFrame, **settings) -> rankings.RankedWindows:
+    with _replay_settings(spark):
+        query = rankings.ranked_windows(
+            log, folder, f"{folder}/checkpoint", ["url"], jobs.HOT_PAGES, where=F.col("method") == "GET", once=True, **settings
+        )
+        query.awaitTermination()
+    return rankings.RankedWindows(spark, folder, {"url": "string"})
+
+
+@register("stream_top_pages_fine", CATALOG["top_pages_fine"].sql)
+def top_pages_fine(spark, sf_dir):
+    """Ten minutes every five seconds, corrected by every batch."""
+    folder = sinks.shared_folder(spark, "top_pages_fine")
+    rows = _table_stream(spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema, per_batch=1)
+    log = tables.web_log(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+    return _ranked_pages(spark, folder, log, size=jobs.PAGE_SIZE, slide=jobs.PAGE_SLIDE).ranks()
+
+
+@register(
+    "stream_top_pages_and_late",
+    f"""SELECT 'ranked' AS kind, url, window_end AS at, cnt, row_num, NULL::bigint AS event_id
+        FROM ({CATALOG["top_pages_in_arrival_order"].sql})
+        UNION ALL SELECT 'late', url, ts, NULL, NULL, event_id FROM ({CATALOG["late_requests"].sql})""",
+)
+def top_pages_and_late(spark, sf_dir):
+    """One job: rankings with corrections, and the requests that came too late for all of their windows."""
+    folder = sinks.shared_folder(spark, "top_pages_and_late")
+    rows = _table_stream(spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema, per_batch=1)
+    log = tables.disordered_web_log(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+    late = {"size": "10 minutes", "slide": "5 minutes", "delay": "1 hour", "allowed": "1 hour", "tie": ["event_id"]}
+    found = _ranked_pages(spark, folder, log, seq="seq", **late)
+    none = {"event_id": F.lit(None).cast("bigint")}
+    ranked = found.ranks().select(F.lit("ranked").alias("kind"), "url", F.col("window_end").alias("at"), "cnt", "row_num")
+    rest = found.side_rows().select(F.lit("late").alias("kind"), "url", F.col("ts").alias("at"), "event_id")
+    return ranked.withColumns(none).unionByName(rest, allowMissingColumns=True)
+
+
 @register("stream_late_split", CATALOG["late_split"].sql)
 def late_split(spark, sf_dir):
     folder = sinks.shared_folder(spark, "late_split")
