@@ -99,14 +99,18 @@ def with_bounds(counted: DataFrame, size_us: int) -> DataFrame:
 
 
 def span_counts(
-    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int
+    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int, weight: str | None = None
 ) -> DataFrame:
-    """How many rows cover each window end (``_end``), for rows covering the ends ``first .. last``."""
+    """How many rows cover each window end (``_end``), for rows covering the ends ``first .. last``.
+
+    With ``weight`` a row stands for so many.
+    """
     keys, slide = list(keys), F.lit(slide_us)
     if size_us <= _COPY_UP_TO * slide_us:
-        ends = F.sequence(F.col(first), F.col(last), slide)
-        return spans.select(*keys, F.explode(ends).alias("_end")).groupBy(*keys, "_end").agg(F.count("*").alias("cnt"))
-    plateaus = span_plateaus(spans, keys, first, last, size_us, slide_us)
+        ends = F.explode(F.sequence(F.col(first), F.col(last), slide)).alias("_end")
+        copies = spans.select(*keys, *([weight] if weight else []), ends)
+        return copies.groupBy(*keys, "_end").agg((F.sum(weight) if weight else F.count("*")).alias("cnt"))
+    plateaus = span_plateaus(spans, keys, first, last, size_us, slide_us, weight)
     ends = F.sequence(F.col("_at"), F.col("_until") - slide, slide)
     return plateaus.select(*keys, F.explode(ends).alias("_end"), "cnt")
 

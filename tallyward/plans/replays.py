@@ -12,8 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.functions.timing import business_day, filter_rows, stamp_text
-from tallyward.operators import click_cap, matching, visitors, windows
+from tallyward.functions.timing import filter_rows, stamp_text
+from tallyward.operators import click_cap, matching, visitors
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG, _flat_pairs, register
 from tallyward.session import ROCKSDB_STORE
@@ -116,27 +116,39 @@ def channel_counts(events):
     return jobs.channel_counts(tables.marketing(events), slide="5 minutes", dropped="error")
 
 
-@_replay("ad_capped", "ad_capped")
-def ad_capped(events):
-    capped = clicks.click_cap(tables.ad_clicks(events), ["user_id", "ad_id"], "ts", "event_id", 2)
-    return capped.filter("channel = 'passed' AND user_id >= 0").drop("channel")
+def _capped(spark, sf_dir, name: str, also=None) -> tuple[str, DataFrame]:
+    """The cap's job over the events; its folder and what it let through or warned of."""
+    folder = sinks.shared_folder(spark, name)
+    rows = _table_stream(spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema)
+    events = tables.ad_clicks(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+    with _replay_settings(spark):
+        query = clicks.capped_clicks(
+            events, folder, f"{folder}/checkpoint", ["user_id", "ad_id"], "ts", "event_id", 2, also=also and also(folder), once=True
+        )
+        query.awaitTermination()
+    return folder, clicks.capped_rows(spark, folder)
 
 
-def _capped(events):
-    capped = clicks.click_cap(tables.ad_clicks(events), ["user_id", "ad_id"], "ts", "event_id", 2)
-    return capped.filter("user_id >= 0")
+@register("stream_ad_capped", CATALOG["ad_capped"].sql)
+def ad_capped(spark, sf_dir):
+    return _capped(spark, sf_dir, "ad_capped")[1].filter("channel = 'passed'").drop("channel", "day")
 
 
-@_replay("ad_counts", "ad_counts")
-def ad_counts(events):
+@register("stream_ad_counts", CATALOG["ad_counts"].sql)
+def ad_counts(spark, sf_dir):
     """The whole job: clicks under the cap, counted per province in sliding hours."""
-    counted = windows.windowed_counts(click_cap.passed(_capped(events)), ["province"], "ts", "1 hour", "5 minutes")
-    return counted.select("window_end", stamp_text("window_end").alias("window_end_str"), "province", "cnt")
+
+    def counted(folder):
+        return rankings.CountedWindows(spark, folder, {"province": "string"}, "1 hour", "5 minutes")
+
+    folder, _ = _capped(spark, sf_dir, "ad_counts", lambda folder: lambda rows, n: counted(folder).add(rows, "ts", n))
+    counts = counted(folder).counts()
+    return counts.select("window_end", stamp_text("window_end").alias("window_end_str"), "province", "cnt")
 
 
-@_replay("ad_blacklist", "ad_blacklist")
-def ad_blacklist(events):
-    over = _capped(events).withColumn("day", business_day("ts", click_cap.BUSINESS_ZONE))
+@register("stream_ad_blacklist", CATALOG["ad_blacklist"].sql)
+def ad_blacklist(spark, sf_dir):
+    over = _capped(spark, sf_dir, "ad_blacklist")[1]
     return click_cap.warnings(over, ["user_id", "ad_id"], "ts").select("user_id", "ad_id", "ts", "msg")
 
 
@@ -312,7 +324,7 @@ def _ranked_pages(spark, folder: str, log: DataFrame, **settings) -> rankings.Ra
             log, folder, f"{folder}/checkpoint", ["url"], jobs.HOT_PAGES, where=F.col("method") == "GET", once=True, **settings
         )
         query.awaitTermination()
-    return rankings.RankedWindows(spark, folder, {"url": "string"})
+    return rankings.RankedWindows(spark, folder, {"url": "string"}, settings["size"], settings["slide"])
 
 
 @register("stream_top_pages_fine", CATALOG["top_pages_fine"].sql)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyward.functions.timing import Span, floor_to, micros, span_micros
 from tallyward.operators import lateness, topn
-from tallyward.operators.windows import span_plateaus, with_bounds, with_spans
+from tallyward.operators.windows import span_counts, span_plateaus, with_bounds, with_spans
 from tallyward.streaming import sinks, store
 from tallyward.streaming.jobs import run
 
@@ -29,24 +29,50 @@ def hour_of(us: Column) -> Column:
     return (floor_to(us, _HOUR) / F.lit(_HOUR)).cast("bigint")
 
 
-class RankedWindows:
-    """The tables of one job below ``path``: counts (cells), ranks, late, progress."""
+class CountedWindows:
+    """Counts per key and sliding window, as cells in a keyed table below ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: dict[str, str], every: int = 8) -> None:
+    def __init__(self, spark: SparkSession, path: str, keys: dict[str, str], size: Span, slide: Span, every: int = 8) -> None:
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        kinds = ", ".join(f"`{k}` {kind}" for k, kind in keys.items())
+        self.size_us, self.slide_us = span_micros(size), span_micros(slide)
+        self.kinds = ", ".join(f"`{k}` {kind}" for k, kind in keys.items())
         self.cells = store.KeyedTable(
             spark,
             f"{self.path}/counts",
-            f"{kinds}, _first bigint, _last bigint, cnt bigint, {_PART} bigint",
+            f"{self.kinds}, _first bigint, _last bigint, cnt bigint, {_PART} bigint",
             _PART,
             store.added_up([*self.keys, *_SPAN, _PART], "cnt"),
             every,
         )
+
+    def cells_of(self, rows: DataFrame) -> DataFrame:
+        """The cells of rows that have their first and last window end."""
+        inside = rows.filter("_first <= _last")
+        return inside.groupBy(*self.keys, *_SPAN).agg(F.count("*").alias("cnt")).withColumn(_PART, hour_of(F.col("_last")))
+
+    def add(self, rows: DataFrame, ts: str, batch_id: int) -> None:
+        """Counts the rows of a batch in all their windows; rows without a time are in none."""
+        cells = self.cells_of(with_spans(rows.filter(F.col(ts).isNotNull()), ts, self.size_us, self.slide_us)).persist()
+        try:
+            self.cells.put(cells, batch_id, [r[0] for r in cells.select(_PART).distinct().collect()])
+        finally:
+            cells.unpersist()
+
+    def counts(self) -> DataFrame:
+        """The current counts of all windows: keys, window_start, window_end, cnt."""
+        counted = span_counts(self.cells.read(), self.keys, *_SPAN, self.size_us, self.slide_us, weight="cnt")
+        return with_bounds(counted, self.size_us)
+
+
+class RankedWindows(CountedWindows):
+    """The tables of a ranking below ``path``: counts (cells), ranks, late, progress."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: dict[str, str], size: Span, slide: Span, every: int = 8) -> None:
+        super().__init__(spark, path, keys, size, slide, every)
         self.ranked = store.KeyedTable(
             spark,
             f"{self.path}/ranks",
-            f"{kinds}, window_end timestamp, cnt bigint, row_num int, {_PART} bigint",
+            f"{self.kinds}, window_end timestamp, cnt bigint, row_num int, {_PART} bigint",
             _PART,
             store.last_group(["window_end"]),
             every,
@@ -84,8 +110,9 @@ def _changed_runs(cells: DataFrame, size_us: int, slide_us: int) -> DataFrame:
     return islands.groupBy(_PART, "_island").agg(F.min("_at").alias("_from"), F.max("_until").alias("_to")).drop("_island")
 
 
-def _changed_counts(tables: RankedWindows, cells: DataFrame, size_us: int, slide_us: int) -> tuple[DataFrame, list[int]]:
+def _changed_counts(tables: RankedWindows, cells: DataFrame) -> tuple[DataFrame, list[int]]:
     """Counts per key of all windows that ``cells`` lie in, and the hours of their ends."""
+    size_us, slide_us = tables.size_us, tables.slide_us
     ends = F.explode(F.sequence(hour_of(F.col("_first")), hour_of(F.col("_last"))))
     hours = sorted(r[0] for r in cells.select(ends.alias(_PART)).distinct().collect())  # bounded by the calendar
     # A cell of a later hour may reach back by less than a window.
@@ -140,17 +167,16 @@ def ranked_windows(
         )
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        tables = RankedWindows(batch.sparkSession, path, {k: kinds[k] for k in keys}, every)
+        tables = RankedWindows(batch.sparkSession, path, {k: kinds[k] for k in keys}, size_us, slide_us, every)
         held = marked(batch, tables, batch_id).persist()
         try:
-            on_time = held.filter((F.col("channel") == lateness.ON_TIME) & F.col(ts).isNotNull() & wanted & F.expr("_first <= _last"))
-            cells = on_time.groupBy(*keys, *_SPAN).agg(F.count("*").alias("cnt")).withColumn(_PART, hour_of(F.col("_last")))
-            cells = cells.persist()
+            on_time = held.filter((F.col("channel") == lateness.ON_TIME) & F.col(ts).isNotNull() & wanted)
+            cells = tables.cells_of(on_time).persist()
             try:
                 parts = [r[0] for r in cells.select(_PART).distinct().collect()]
                 tables.cells.put(cells, batch_id, parts)
                 if parts:
-                    counts, hours = _changed_counts(tables, cells, size_us, slide_us)
+                    counts, hours = _changed_counts(tables, cells)
                     ranked = topn.top_n(counts, n, keys).withColumn(_PART, hour_of(micros("window_end")))
                     tables.ranked.put(ranked, batch_id, hours)
             finally:

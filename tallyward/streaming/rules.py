@@ -1,7 +1,8 @@
 """Event rules as small state machines, and the stateful processor that feeds them in event-time order.
 
 A rule sees the events of one key one after the other: ``step`` takes an event, ``expire`` is called once event
-time is past the memory's ``deadline``. The memory is a flat tuple kept in the state store.
+time is past the memory's ``deadline``. The memory is a flat tuple kept in the state store. That is for rules whose answer
+may depend on all of a key's past; those that look a bounded time back or ahead run in time slots (``slotted``).
 The batch operators give the same rows; these are their twins for unbounded input.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyward.functions.timing import Span, filter_rows, micros, span_micros
 from tallyward.operators import anchored, failures, matching, orders
+from tallyward.streaming import slotted
 
 _WARNING = "first_us bigint, last_us bigint"
 
@@ -31,62 +33,12 @@ class Event:
 _CHUNK = 1000
 
 # Kinds of an event as seen by a rule.
-OTHER, FIRST, SECOND = 0, 1, 2
+OTHER, FIRST, SECOND = slotted.OTHER, slotted.FIRST, slotted.SECOND
 
 # States of an order: nothing reported, reported once without its other half, complete.
 WAITING, ANSWERED, DONE = 0, 1, 2
 
 
-@dataclass(frozen=True)
-class PairRule:
-    """A failure (FIRST) directly after another one, at most ``within`` later."""
-
-    within: int
-    memory_schema = "us bigint"
-    output_schema = _WARNING
-
-    def step(self, memory, event):
-        if event.kind != FIRST:
-            return None, []
-        near = memory is not None and event.us - memory[0] <= self.within
-        return (event.us,), [(memory[0], event.us)] if near else []
-
-    def deadline(self, memory):
-        return memory[0] + self.within
-
-    def expire(self, memory):
-        return None, []
-
-
-@dataclass(frozen=True)
-class TimesRule:
-    """``times`` failures in less than ``within``; ``strict`` forgets them on any other event."""
-
-    within: int
-    times: int
-    strict: bool = False
-    memory_schema = "seen array<bigint>"
-    output_schema = _WARNING
-
-    def step(self, memory, event):
-        seen = list(memory[0]) if memory else []
-        if event.kind != FIRST:
-            return (None, []) if self.strict else (memory, [])
-        seen = [us for us in seen if event.us - us < self.within] + [event.us]
-        out = []
-        if len(seen) >= self.times:
-            out = [(seen[-self.times], event.us)]
-        # Only the last times - 1 failures can start or extend another match.
-        kept = seen[-(self.times - 1) :] if self.times > 1 else []
-        return ((kept,) if kept else None), out
-
-    def deadline(self, memory):
-        return memory[0][-1] + self.within
-
-    def expire(self, memory):
-        return None, []
-
-
 @dataclass(frozen=True)
 class AnchoredRule:
     """A timer from the first failure; at its end ``times`` failures are reported, another event cancels."""
@@ -110,33 +62,6 @@ class AnchoredRule:
         return None, [(memory[0], memory[1])] if memory[2] >= self.times else []
 
 
-@dataclass(frozen=True)
-class FollowedByRule:
-    """Each create (FIRST) with the next pay (SECOND) in less than ``within``, else a timeout."""
-
-    within: int
-    memory_schema = "waiting array<bigint>"
-    output_schema = "create_us bigint, pay_us bigint, channel string"
-
-    def step(self, memory, event):
-        waiting = list(memory[0]) if memory else []
-        if event.kind == FIRST:
-            return (waiting + [event.us],), []
-        if event.kind != SECOND:
-            return memory, []
-        in_time = [us for us in waiting if event.us - us < self.within]
-        too_late = [us for us in waiting if event.us - us >= self.within]
-        return None, [(us, event.us, orders.PAYED) for us in in_time] + [(us, None, orders.TIMEOUT) for us in too_late]
-
-    def deadline(self, memory):
-        return memory[0][0] + self.within
-
-    def expire(self, memory):
-        waiting = list(memory[0])
-        rest = waiting[1:]
-        return ((rest,) if rest else None), [(waiting[0], None, orders.TIMEOUT)]
-
-
 @dataclass(frozen=True)
 class LifeCycleRule:
     """First create and first pay of an order, in any order; waits ``hold`` beyond the limit for the other one.
@@ -322,14 +247,17 @@ def _warnings(found: DataFrame, key: str, message: str) -> DataFrame:
 
 
 def consecutive_pairs(events, key, ts, seq, failed, within: Span = failures.PAIR_WITHIN) -> DataFrame:
-    found = apply_rule(events, (key,), ts, seq, _fail_kind(failed), PairRule(span_micros(within)))
+    span = span_micros(within)
+    found = slotted.apply_in_slots(events, (key,), ts, seq, _fail_kind(failed), slotted.pairs(span), _WARNING, back=span)
     return _warnings(found, key, failures.PAIR_MESSAGE)
 
 
 def repeated_failures(
     events, key, ts, seq, failed, times: int = 3, within: Span = failures.GROUP_WITHIN, strict: bool = False
 ) -> DataFrame:
-    found = apply_rule(events, (key,), ts, seq, _fail_kind(failed), TimesRule(span_micros(within), times, strict))
+    span = span_micros(within)
+    rule, kinds = slotted.repeated(span, times, strict), None if strict else [FIRST]
+    found = slotted.apply_in_slots(events, (key,), ts, seq, _fail_kind(failed), rule, _WARNING, back=span, kinds=kinds)
     return _warnings(found, key, failures.PATTERN_MESSAGE)
 
 
@@ -345,7 +273,10 @@ def _order_kind(create, pay):
 
 
 def followed_by(events, key, ts, seq, create, pay, within: Span = orders.PAY_WITHIN) -> DataFrame:
-    found = apply_rule(events, (key,), ts, seq, _order_kind(create, pay), FollowedByRule(span_micros(within)))
+    span = span_micros(within)
+    rule = slotted.followed(span, orders.PAYED, orders.TIMEOUT)
+    schema, kind = "create_us bigint, pay_us bigint, channel string", _order_kind(create, pay)
+    found = slotted.apply_in_slots(events, (key,), ts, seq, kind, rule, schema, ahead=span, kinds=[FIRST, SECOND])
     in_time = F.col("channel") == orders.PAYED
     return found.withColumn(
         "result_msg",

@@ -80,9 +80,15 @@ class KeyedTable:
         log = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*sorted(paths))
         return self.fold(log.withColumnRenamed("batch", BATCH).drop(_KIND)).select(self.columns)
 
-    def read(self, parts: Sequence | None = None) -> DataFrame:
-        """The current rows of some parts, or of all."""
-        return self._rows(self._folders(parts, None))
+    def read(self, parts: Sequence | None = None, before: int | None = None) -> DataFrame:
+        """The current rows of some parts, or of all; ``before`` leaves out that batch and later ones."""
+        return self._rows(self._folders(parts, before) if parts is None or parts else {})
+
+    def forget(self, before: int) -> None:
+        """Removes the parts (whole numbers) below ``before``."""
+        for status in self._fs.globStatus(self._path(f"{self.path}/batch=*/{_KIND}=*/{self.part}=*")) or []:
+            if int(status.getPath().getName().split("=", 1)[1]) < before:
+                self._fs.delete(status.getPath(), True)
 
     def put(self, rows: DataFrame, batch_id: int, parts: Sequence) -> None:
         """Adds the delta of a batch, whose rows lie in ``parts``; folds what earlier batches left there."""

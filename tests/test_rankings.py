@@ -127,7 +127,8 @@ class Feed:
             **settings,
         )
         query.awaitTermination()
-        return rankings.RankedWindows(self.spark, f"{self.folder}/out", {"url": "string"}, 2)
+        spans = (settings["size"], settings["slide"])
+        return rankings.RankedWindows(self.spark, f"{self.folder}/out", {"url": "string"}, *spans, every=2)
 
 
 def ranks_of(found):
