@@ -9,11 +9,13 @@ this is no window function. It is split up as follows.
   span ago. Chains of groups start at these rows, independently of each other; failures standing alone
   between two such rows can never reach ``times`` and are dropped at once.
 * What is left is keyed by (key, time slot). Only a chain that runs over a slot's edge needs anything from
-  outside: the last group start of the slot before. Each slot is summarised as "group start I would begin
-  with -> last group start I would end with", these few rows are walked once per key in slot order, and
-  the result is handed to the slots.
+  outside: the last group start of the slot before. Each slot is summarised as a function "group start I would
+  begin with -> last group start I would end with", a few steps of a staircase. The functions of a block of slots are
+  composed to one of the same kind, the blocks are walked once per key, and the results go back to the blocks and their slots.
 
-So a key with nothing but failures, however many, is never collected: a task holds one slot of it.
+So a key with nothing but failures, however many, is never collected: a task holds one slot of it, composes one block
+of slots, or walks one small function per block. Staircases have few steps, as chains that start apart soon fall together; at
+worst (failures at even intervals) as many as failures fit in a span.
 """
 
 from __future__ import annotations
@@ -34,6 +36,10 @@ MIN_TIMES = 2
 _NONE = np.iinfo(np.int64).min
 _NEVER = 1 << 62
 
+# Slots whose functions are composed together.
+_BLOCK_SLOTS = 1024
+_BLOCK = "_block"
+
 
 def _marked_failures(df: DataFrame, key: str, ts: str, seq: Sequence[str], failed: Column, times: int, span: int):
     """Failures that can be part of a reportable group, with ``_sure`` and ``_reset`` (next non-failure)."""
@@ -138,7 +144,75 @@ def _edge_summaries(batches, key, width, span):
             }
         )
         out.loc[known, "_from"] = pd.NA
-        yield out.drop_duplicates()
+        yield _steps(out.drop_duplicates(), [key, SLOT])
+
+
+def _steps(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
+    """Rows of staircases (ascending ``_from`` per group) without those that the next row says as well."""
+    same = rows["_to"].to_numpy()[:-1] == rows["_to"].to_numpy()[1:]
+    for column in by:
+        same &= rows[column].to_numpy()[:-1] == rows[column].to_numpy()[1:]
+    return rows[~np.r_[same, False]] if len(rows) else rows
+
+
+def _composed(batches, key, width, span):
+    """Per (key, block): its slots' functions one after the other, as ``_from`` -> ``_to`` with its first and last slot.
+
+    A block ends without a group start (``_to`` NULL) where none of its last slot's rows can begin one.
+    """
+    columns = [key, _BLOCK, "_first_slot", "_last_slot", "_from", "_to"]
+    block, slot, first, entries, ends = None, None, None, None, None
+
+    def done():
+        ends_of = pd.array(np.where(ends == _NONE, 0, ends), dtype="Int64")
+        ends_of[ends == _NONE] = pd.NA
+        rows = pd.DataFrame({key: block[0], _BLOCK: block[1], "_first_slot": first, "_last_slot": slot, "_from": entries, "_to": ends_of})
+        differs = np.r_[ends[:-1] != ends[1:], True]
+        return rows[differs]
+
+    for pdf in _whole_groups(batches, key):
+        out = []
+        keys, slots, blocks = pdf[key].to_numpy(), pdf[SLOT].to_numpy(), pdf[_BLOCK].to_numpy()
+        begins = pdf["_from"].fillna(_NONE).to_numpy(dtype="int64")
+        to = pdf["_to"].to_numpy(dtype="int64")
+        new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (slots[1:] != slots[:-1])])
+        for a, b in zip(new, np.r_[new[1:], len(pdf)]):
+            here = (keys[a], blocks[a])
+            # What a start before, none, or one too late for every row leads to.
+            steps, after = begins[a:b], np.r_[to[a:b], _NONE]
+            if here != block:
+                if block is not None:
+                    out.append(done())
+                block, first = here, slots[a]
+                entries, ends = np.r_[steps, _NEVER], after
+            else:
+                adjacent = slots[a] - slot == width
+                late = np.where((ends == _NONE) | (not adjacent), _NONE, ends + span)
+                place = np.where(late == _NONE, 0, np.searchsorted(steps, late, side="right"))
+                ends = after[0 if steps[0] == _NONE else place] + np.zeros(len(ends), np.int64)
+            slot = slots[a]
+        if out:
+            yield pd.concat(out)[columns]
+    if block is not None:
+        yield done()[columns]
+
+
+def _block_carries(batches, key, width, span):
+    """Walk the blocks of each key; give each the last group start before it as the end of a slot before its first."""
+    current, last, outgoing, block, resolved, incoming = None, None, _NONE, None, False, _NONE
+    for pdf in batches:
+        found = []
+        rows = zip(pdf[key], pdf[_BLOCK], pdf["_first_slot"], pdf["_last_slot"], pdf["_from"], pdf["_to"], strict=True)
+        for k, at, first, end, begin, to in rows:
+            if k != current or at != block:
+                adjacent = k == current and last is not None and first - last == width
+                incoming = outgoing if adjacent else _NONE
+                current, block, last, outgoing, resolved = k, at, end, _NONE, False
+                if incoming != _NONE:
+                    found.append((k, at, first - width, incoming))
+            if not resolved and (begin == _NONE or incoming == _NONE or begin > incoming + span):
+                outgoing, resolved = (_NONE if pd.isna(to) else int(to)), True
+        yield pd.DataFrame(found, columns=[key, _BLOCK, SLOT, "_to"])
 
 
 def _carries(batches, key, width, span):
@@ -203,6 +277,7 @@ def anchored_groups(
     times: int = MIN_TIMES,
     within: Span = GROUP_WITHIN,
     message: str = TIMER_MESSAGE,
+    block_slots: int = _BLOCK_SLOTS,
 ) -> DataFrame:
     """Groups of at least ``times`` failures collected while a timer of ``within`` runs.
 
@@ -222,10 +297,22 @@ def anchored_groups(
         lambda it: _edge_summaries(it, key, width, span),
         f"`{key}` {key_type}, {SLOT} bigint, _from bigint, _to bigint",
     )
-    carries = (
-        summaries.repartition(key)
-        .sortWithinPartitions(key, SLOT, F.asc_nulls_first("_from"))
-        .mapInPandas(lambda it: _carries(it, key, width, span), f"`{key}` {key_type}, {SLOT} bigint, _carry bigint")
+    blocked = summaries.withColumn(_BLOCK, F.col(SLOT) - F.pmod(F.col(SLOT), F.lit(width * block_slots)))
+
+    def sorted_blocks(frame: DataFrame) -> DataFrame:
+        return frame.repartition(key, _BLOCK).sortWithinPartitions(key, _BLOCK, SLOT, F.asc_nulls_first("_from"))
+
+    columns = f"`{key}` {key_type}, {_BLOCK} bigint, _first_slot bigint, _last_slot bigint, _from bigint, _to bigint"
+    composed = sorted_blocks(blocked).mapInPandas(lambda it: _composed(it, key, width, span), columns)
+    handed = (
+        composed.repartition(key)
+        .sortWithinPartitions(key, _BLOCK, "_from")
+        .mapInPandas(
+            lambda it: _block_carries(it, key, width, span), f"`{key}` {key_type}, {_BLOCK} bigint, {SLOT} bigint, _to bigint"
+        )
+    )
+    carries = sorted_blocks(blocked.unionByName(handed, allowMissingColumns=True)).mapInPandas(
+        lambda it: _carries(it, key, width, span), f"`{key}` {key_type}, {SLOT} bigint, _carry bigint"
     )
     markers = carries.withColumn(US, F.col(SLOT) - F.lit(1))
     reports = sorted_slots(

@@ -68,6 +68,41 @@ def test_anchored_groups(spark, shape, within, times):
     assert warned(found) == brute.anchored(events, times, within)
 
 
+@pytest.mark.parametrize("block_slots", [1, 2, 7])
+@pytest.mark.parametrize("shape", [SHAPES[1], SHAPES[2]])
+def test_anchored_groups_over_block_edges(spark, monkeypatch, shape, block_slots):
+    """Slots of one reach and blocks of a few slots: chains run over many edges of both."""
+    monkeypatch.setattr(anchored, "slot_width", lambda reach: reach)
+    events = random_events(shape, ["fail", "success"], block_slots)
+    args = ("key", "ts", ["seq"], failed())
+    found = anchored.anchored_groups(frame(spark, events), *args, 2, "20 seconds", block_slots=block_slots)
+    assert warned(found) == brute.anchored(events, 2, 20)
+
+
+def test_block_summaries_do_not_grow_with_a_slot(spark):
+    """Ten times the failures of a hot key, at random times: the walk over blocks sees hardly more rows."""
+    walked = []
+    for step in (10, 1):
+        rows = spark.range(0, 60_000, step).select(
+            F.lit(0).alias("key"),
+            F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(18_000_000)) / 1000).alias("ts"),
+            F.col("id").alias("seq"),
+            F.lit(True).alias("failed"),
+        )
+        span, width = 5_000_000, anchored.slot_width(5_000_000)
+        marked = anchored._marked_failures(rows, "key", "ts", ["seq"], F.col("failed"), 2, span)
+        slots = anchored.with_slots(marked, "_us", ahead=span, width=width)
+        held = slots.repartition("key", "_slot").sortWithinPartitions("key", "_slot", "_us", "seq")
+        edges = held.select("key", "_slot", "_us", "seq", "_own", "_sure").mapInPandas(
+            lambda it: anchored._edge_summaries(it, "key", width, span), "key int, _slot bigint, _from bigint, _to bigint"
+        )
+        blocked = edges.withColumn("_block", F.col("_slot") - F.pmod(F.col("_slot"), F.lit(width * 64)))
+        composed = blocked.repartition("key", "_block").sortWithinPartitions("key", "_block", "_slot", F.asc_nulls_first("_from"))
+        columns = "key int, _block bigint, _first_slot bigint, _last_slot bigint, _from bigint, _to bigint"
+        walked.append(composed.mapInPandas(lambda it: anchored._composed(it, "key", width, span), columns).count())
+    assert walked[1] < 3 * walked[0]
+
+
 def test_anchored_groups_over_batch_edges(spark):
     """Key and slot groups that are cut by Arrow batches."""
     events = random_events((2, 1200, 900, 0.97, 0.7), ["fail", "success"], 1)
