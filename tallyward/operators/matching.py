@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.timing import Span, floor_to, micros, span_micros
 from tallyward.operators.slots import OWN, SLOT, SLOT_FACTOR, US, with_slots
+from tallyward.streaming import slotted
 
 # Bounds of the interval join, reconciliation tolerance, channel names.
 JOIN_LOWER, JOIN_UPPER = "-3 seconds", "5 seconds"
@@ -58,6 +59,10 @@ def _split_off(left, right, on, left_ts, right_ts, names):
     return *kept, singles[0].unionByName(singles[1])
 
 
+def _seconds(us: int) -> Column:
+    return F.expr(f"INTERVAL '{us / 1e6:.6f}' SECOND")
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -72,8 +77,8 @@ def interval_join(
 
     In batch both sides are keyed by (``on``, time slot) with slots four times as long as the interval: one left row in
     four meets a second slot, a right row lies in exactly one, so no pair is found twice, rows that
-    are far apart in time are never compared, and a much used key is spread over its slots. On streams
-    (both sides watermarked) the plain range condition is used, from which Spark derives when to drop state.
+    are far apart in time are never compared, and a much used key is spread over its slots. So it is on streams (both
+    sides watermarked); there the range condition also tells Spark when to drop state.
     """
     low, high = span_micros(lower), span_micros(upper)
     if low > high:
@@ -81,13 +86,6 @@ def interval_join(
     left, left_struct = _packed(left, "_l_")
     right, right_struct = _packed(right, "_r_")
     same_key = F.col("_l_" + on) == F.col("_r_" + on)
-    if left.isStreaming or right.isStreaming:
-        lts, rts = F.col("_l_" + left_ts), F.col("_r_" + right_ts)
-        near = (rts >= lts + F.expr(f"INTERVAL '{low / 1e6:.6f}' SECOND")) & (
-            rts <= lts + F.expr(f"INTERVAL '{high / 1e6:.6f}' SECOND")
-        )
-        joined = left.join(right, same_key & near, "inner")
-        return joined.select(left_struct.alias(names[0]), right_struct.alias(names[1]))
     width = max(SLOT_FACTOR * (high - low), 1)
     lus, rus = F.col("_l_us"), F.col("_r_us")
     probe = left.withColumn("_l_us", micros("_l_" + left_ts)).withColumn(
@@ -97,14 +95,11 @@ def interval_join(
         ),
     )
     build = right.withColumn("_r_us", micros("_r_" + right_ts)).withColumn("_r_slot", floor_to(rus, width))
-    joined = probe.join(
-        build,
-        same_key
-        & (F.col("_l_slot") == F.col("_r_slot"))
-        & (rus >= lus + F.lit(low))
-        & (rus <= lus + F.lit(high)),
-        "inner",
-    )
+    near = (rus >= lus + F.lit(low)) & (rus <= lus + F.lit(high))
+    if left.isStreaming or right.isStreaming:
+        lts, rts = F.col("_l_" + left_ts), F.col("_r_" + right_ts)
+        near = (rts >= lts + _seconds(low)) & (rts <= lts + _seconds(high))
+    joined = probe.join(build, same_key & (F.col("_l_slot") == F.col("_r_slot")) & near, "inner")
     return joined.select(left_struct.alias(names[0]), right_struct.alias(names[1]))
 
 
@@ -156,26 +151,16 @@ def reconcile_pairs(
 ) -> DataFrame:
     """Pairs at most ``within`` apart plus the unmatched rows of both sides: ``pay, receipt, channel``.
 
-    On streams a watermarked full outer join; in batch the slot join for the pairs and one sorted pass for
-    the rest. With a repeated ``on`` every near pair is reported; ``reconcile`` uses each row once instead.
+    On streams both sides are held per (key, slot) until the watermark closes the slot; in batch the slot join makes the pairs
+    and one sorted pass finds the rest. With a repeated ``on`` every near pair is reported; ``reconcile`` uses each row once instead.
     """
     span = span_micros(within)
     if left.isStreaming or right.isStreaming:
         left, right, unmatched = _split_off(left, right, on, left_ts, right_ts, names)
-        one, left_struct = _packed(left, "_l_")
-        two, right_struct = _packed(right, "_r_")
-        lts, rts = F.col("_l_" + left_ts), F.col("_r_" + right_ts)
-        gap = F.expr(f"INTERVAL '{span / 1e6:.6f}' SECOND")
-        condition = (
-            (F.col("_l_" + on) == F.col("_r_" + on)) & (rts >= lts - gap) & (rts <= lts + gap)
-        )
-        joined = one.join(two, condition, "full_outer")
-        no_left, no_right = F.col("_l_" + on).isNull(), F.col("_r_" + on).isNull()
-        return joined.select(
-            F.when(~no_left, left_struct).alias(names[0]),
-            F.when(~no_right, right_struct).alias(names[1]),
-            F.when(no_right, SINGLE_LEFT).when(no_left, SINGLE_RIGHT).otherwise(MATCHED).alias("channel"),
-        ).unionByName(unmatched)
+        both = _both_sides(left, right, on, left_ts, right_ts)
+        channels = (MATCHED, SINGLE_LEFT, SINGLE_RIGHT)
+        matched = slotted.match_in_slots(both, "_on", "_ts", "_side", ["_row0", "_row1"], span, channels, names)
+        return matched.unionByName(unmatched)
     pairs = interval_join(left, right, on, left_ts, right_ts, -span, span, names).withColumn("channel", F.lit(MATCHED))
     singles = with_partner_flag(left, right, on, left_ts, right_ts, within).filter(~F.col("has_partner"))
     return pairs.unionByName(

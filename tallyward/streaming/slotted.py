@@ -132,3 +132,56 @@ def apply_in_slots(
     return found.select(
         *[F.timestamp_micros(c).alias(c.removesuffix("_us") + "_ts") if c.endswith("_us") else F.col(c) for c in found.columns]
     )
+
+
+def _matches(within: int, back: int, slot: int, channels: tuple[str, str, str], names: Sequence[str]):
+    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts = batch.column(1), batch.column(0).to_numpy()
+            values = rows.flatten()
+            us, side = (values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+            slots = np.repeat(np.arange(len(rows)), np.diff(rows.offsets.to_numpy()))
+            # One axis for all slots, with gaps wider than the reach between them.
+            axis = slots * np.int64(2 * back + slot + 2 * within + 1) + (us - starts[slots])
+            own = (us >= starts[slots] + back) & (us < starts[slots] + back + slot)
+            sides = []
+            for number in (0, 1):
+                held = np.flatnonzero(side == number)
+                sides.append(held[np.argsort(axis[held], kind="stable")])
+            reach = []
+            for mine, others in (sides, sides[::-1]):
+                low = np.searchsorted(axis[others], axis[mine] - within, side="left")
+                reach.append((low, np.searchsorted(axis[others], axis[mine] + within, side="right") - low))
+            (left, right), (low, n), alone = sides, reach[0], []
+            n = np.where(own[left], n, 0)  # a pair belongs to the slot of its left row
+            one = np.repeat(left, n)
+            other = right[np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())] if len(right) else one[:0]
+            for held, (_, found) in zip(sides, reach):
+                alone.append(held[own[held] & (found == 0)])
+            none = [np.zeros(len(x), bool) for x in (one, alone[0], alone[1])]
+            at_left = pa.array(np.r_[one, alone[0], alone[1] * 0], mask=np.r_[none[0], none[1], ~none[2]])
+            at_right = pa.array(np.r_[other, alone[0] * 0, alone[1]], mask=np.r_[none[0], ~none[1], none[2]])
+            channel = np.repeat(np.array(channels, object), [len(one), len(alone[0]), len(alone[1])])
+            columns = [values.field(2).take(at_left), values.field(3).take(at_right), pa.array(channel, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, list(names))
+
+    return evaluate
+
+
+def match_in_slots(
+    both: DataFrame, on: str, ts: str, side: str, rows: Sequence[str], within: int, channels: tuple[str, str, str], names: Sequence[str]
+) -> DataFrame:
+    """Pairs of rows of two sides (0 and 1) with equal ``on`` at most ``within`` apart, and the rows of either side without one.
+
+    ``rows`` are the columns with the row of each side; ``channels`` names pairs and singles. Both sides come as one watermarked
+    stream. Rows without a key or a time are left out.
+    """
+    slot = max(1, SLOT_SPANS * within)
+    kept = filter_rows(both, F.col(on).isNotNull(), ts)
+    windows = F.window(ts, span_text(2 * within + slot), span_text(slot), span_text(-within % slot))
+    row = F.struct(micros(ts).alias("us"), F.col(side).cast("int").alias("side"), *rows)
+    held = kept.groupBy(on, windows.alias("_slot")).agg(F.collect_list(row).alias("_rows"))
+    kinds = [both.schema[x].dataType.simpleString() for x in rows]
+    schema = f"`{names[0]}` {kinds[0]}, `{names[1]}` {kinds[1]}, channel string"
+    slim = held.select(micros(F.col("_slot.start")).alias("_start"), "_rows")
+    return slim.mapInArrow(_matches(within, within, slot, channels, [*names, "channel"]), schema)
