@@ -17,7 +17,7 @@ from tallyward.operators import click_cap, matching, visitors
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG, _flat_pairs, register
 from tallyward.session import ROCKSDB_STORE
-from tallyward.streaming import clicks, rankings, rules, sinks
+from tallyward.streaming import clicks, firing, rankings, rules, sinks, store
 from tallyward.streaming import jobs as streams
 
 _END = "2030-01-01 00:00:00"
@@ -78,14 +78,17 @@ def _replayed_log(spark: SparkSession, folder: str, result: DataFrame, mode: str
 
 
 def _replay(name: str, same_as: str):
-    """Register ``stream_<name>``: a function from the event stream to a result in append mode."""
+    """Register ``stream_<name>``: a function from the event stream to a result in append mode.
+
+    ``same_as`` is a batch query with the same SQL, or the SQL itself.
+    """
 
     def add(build: Callable[[DataFrame], DataFrame]):
         def run(spark, sf_dir):
             folder = sinks.shared_folder(spark, name)
             return replayed(spark, folder, build(event_stream(spark, sf_dir, folder)))
 
-        register(f"stream_{name}", CATALOG[same_as].sql)(run)
+        register(f"stream_{name}", CATALOG[same_as].sql if same_as in CATALOG else same_as)(run)
         return build
 
     return add
@@ -160,11 +163,66 @@ def uv_hourly_bitmap(events):
 
 @register("stream_uv_hourly_approx", CATALOG["uv_hourly_approx"].sql)
 def uv_hourly_approx(spark, sf_dir):
-    """Sketches in update mode, upserted by window end."""
+    """Sketches in update mode, upserted by window end into a keyed table that is read back."""
     folder = sinks.shared_folder(spark, "uv_hourly_approx")
     views = filter_rows(event_stream(spark, sf_dir, folder), F.col("event_type") == "view", "ts")
     counts = visitors.sketch_totals(visitors.visitor_sketches(views, "user_id", "ts", "1 hour"))
-    return sinks.newest_rows(_replayed_log(spark, folder, counts, "update"), ["window_end"])
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema.fields)
+    table = store.KeyedTable(spark, f"{folder}/out", f"{kinds}, day int", "day", store.last_row(["window_end", "day"]))
+
+    def upsert(batch, batch_id):
+        rows = batch.withColumn("day", F.unix_date(F.to_date("window_end"))).persist()
+        table.put(rows, batch_id, [r[0] for r in rows.select("day").distinct().collect()])
+        rows.unpersist()
+
+    with _replay_settings(spark):
+        streams.run(counts, upsert, f"{folder}/checkpoint", "update", once=True).awaitTermination()
+    return table.read().drop("day")
+
+
+@register(
+    "stream_uv_early",
+    """WITH views AS (SELECT ts, event_id, time_bucket(interval 1 hour, ts) + interval 1 hour AS window_end, user_id FROM events
+            WHERE event_type = 'view' AND ts IS NOT NULL AND user_id IS NOT NULL),
+        seen AS (SELECT *, row_number() OVER (PARTITION BY window_end, user_id ORDER BY ts, event_id) = 1 AS fresh FROM views)
+        SELECT window_end, row_number() OVER line AS cnt_rows, CAST(sum(fresh::int) OVER line AS BIGINT) AS cnt FROM seen
+        WINDOW line AS (PARTITION BY window_end ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
+)
+def uv_early(spark, sf_dir):
+    """Unique visitors of each hour, reported with every view."""
+    folder = sinks.shared_folder(spark, "uv_early")
+    rows = _table_stream(spark, sf_dir, spark.read.parquet(f"{sf_dir}/events.parquet").schema)
+    rows = rows.withColumn("ts", F.col("ts").cast("timestamp"))
+    with _replay_settings(spark):
+        firing.early_visitors(
+            rows, folder, f"{folder}/checkpoint", "user_id", "ts", "event_id", "1 hour", where=F.col("event_type") == "view", once=True
+        ).awaitTermination()
+    return firing.EarlyVisitors(spark, folder, "bigint").firings()
+
+
+def _lasting(rows):
+    """The longest pause between the events of a window and who ended it."""
+    times = rows.sort_values(["ts", "event_id"])
+    pause = times["ts"].diff().max()
+    at = times["ts"].diff().argmax() if len(times) > 1 else 0
+    return times.iloc[[at]].assign(pause_us=0 if len(times) < 2 else int(pause.value // 1000))[
+        ["event_type", "window_end", "pause_us", "event_id"]
+    ]
+
+
+@_replay(
+    "longest_pauses",
+    """WITH e AS (SELECT event_type, event_id, ts, time_bucket(interval 1 hour, ts) + interval 1 hour AS window_end FROM events),
+        p AS (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type, window_end ORDER BY ts, event_id)), -1)
+            AS pause FROM e),
+        r AS (SELECT *, row_number() OVER (PARTITION BY event_type, window_end ORDER BY pause DESC, ts, event_id) AS place FROM p)
+        SELECT event_type, window_end, greatest(pause, 0) AS pause_us, event_id FROM r WHERE place = 1""",
+)
+def longest_pauses(events):
+    """A function of one's own over all rows of a window."""
+    rows = events.select("event_type", "event_id", "ts")
+    schema = "event_type string, window_end timestamp, pause_us bigint, event_id bigint"
+    return firing.window_rows(rows, ["event_type"], "ts", "1 hour", _lasting, schema)
 
 
 @_replay("login_pair", "login_pair")

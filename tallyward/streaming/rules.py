@@ -29,6 +29,9 @@ class Event:
     kind: int
 
 
+# How long an answered order waits for a correction.
+REMEMBER = "30 days"
+
 # Rows handed to the state store at a time.
 _CHUNK = 1000
 
@@ -67,7 +70,8 @@ class LifeCycleRule:
     """First create and first pay of an order, in any order; waits ``hold`` beyond the limit for the other one.
 
     A small marker of the order stays, so that the other one, when it comes after that, corrects the answer (version 1)
-    instead of starting a second order. ``remember`` limits how long; without it the marker stays for good.
+    instead of starting a second order. ``remember`` limits how long (after that a half is an order of its own); without it the
+    marker stays for good.
     """
 
     within: int
@@ -295,10 +299,12 @@ def life_cycle(
     pay,
     within: Span = orders.PAY_WITHIN,
     hold: Span = orders.PAY_WITHIN,
-    remember: Span | None = None,
+    remember: Span | None = REMEMBER,
 ) -> DataFrame:
     """One row per order, and a second one (``version`` 1) if its other half comes after the answer.
 
+    An order is remembered for ``remember`` of event time after its answer, then its state is dropped.
+
     The row with the highest version is the order's state: ``sinks.newest_rows(log, keys, "version")``.
     """
     kept = None if remember is None else span_micros(remember)
