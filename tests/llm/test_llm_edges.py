@@ -409,3 +409,81 @@ def test_vectors_with_links_in_many_cells(spark):
     assert sum(found.values()) >= 0.998 * links.sum() and all(found[i] <= n for i, n in enumerate(links))
     with pytest.raises(RuntimeError, match="all 81 cells"):
         embeddings.near_vectors(df, least=-0.3, recall=1.1).collect()
+
+
+GNU = (
+    "This {what} is free software; you can redistribute it and/or\nmodify it under the terms of the GNU {kind} General Public\n"
+    "License as published by the Free Software Foundation; either\nversion {version} of the License, or (at your option) any later version.\n"
+)
+BSD = (
+    "Copyright (c) 1998, The Regents of the University.\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions\nare met:\n\n1. Redistributions of source code must retain the above copyright\n"
+    "   notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright\n"
+    "   notice, this list of conditions and the following disclaimer in the\n   documentation and/or other materials provided with the distribution.\n{last}"
+)
+LICENSE_CASES = [
+    (GNU.format(what="library", kind="Library", version="2"), "LGPL-2.0-or-later"),
+    (GNU.format(what="library", kind="Lesser", version="2.1"), "LGPL-2.1-or-later"),
+    ("# " + GNU.format(what="library", kind="Lesser", version="2.1").replace("\n", "\n# "), "LGPL-2.1-or-later"),
+    (GNU.format(what="program", kind="", version="2").replace("GNU  ", "GNU "), "GPL-2.0-or-later"),
+    (GNU.format(what="program", kind="", version="4").replace("GNU  ", "GNU "), ""),
+    (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "AGPL-3.0-or-later",
+    ),
+    ("prose. either version 2 of the License, or (at your option) any later version. prose", ""),
+    (
+        BSD.format(last="3. Neither the name of the University of Upper Somewhere nor the names of its\n   contributors may be used to endorse or "
+        "promote products derived from this\n   software without specific prior written permission.\n"),
+        "BSD-3-Clause",
+    ),
+    ("Copyright 2020 Jane. All rights reserved.", "Proprietary"),
+    ("Copyright 2020 Jane.\nAll rights reserved.\n\nReleased under the MIT License.", "MIT"),
+    ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"),
+    ("/* SPDX-License-Identifier: (GPL-2.0-or-later OR MIT) */\nint x;", "GPL-2.0-or-later,MIT"),
+    ("# SPDX-License-Identifier: Apache-2.0 AND BSD-3-Clause\n", "Apache-2.0,BSD-3-Clause"),
+    ("# SPDX-License-Identifier: LicenseRef-Own\n", ""),
+    ("This small tool is dual licensed under the MIT License or Apache-2.0.", "Apache-2.0,MIT"),
+    ("Dual licensed under the Apache License, Version 2.0\nor the MIT license", "Apache-2.0,MIT"),
+    ("dual licensed under the MIT License or something else", ""),
+]
+
+
+def license_frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_license_notices(spark):
+    found = {r.doc_id: ",".join(r.licenses) for r in licenses.licenses(license_frame(spark, [t for t, _ in LICENSE_CASES])).collect()}
+    assert found == {i: name for i, (_, name) in enumerate(LICENSE_CASES)}
+
+
+@pytest.mark.parametrize("marks", ["1. 2. 3.", "(1) (2) (3)", "a) b) c)", "* * *", "- - -"])
+def test_numbered_conditions(spark, marks):
+    one, two, three = marks.split()
+    last = (
+        "3. Neither the name of the University of Upper Somewhere nor the names of its\n   contributors may be used to endorse or promote "
+        "products derived from this\n   software without specific prior written permission.\n"
+    )
+    texts = [BSD.format(last=last), BSD.format(last=""), BSD.format(last=last.replace("the University of Upper Somewhere", "Jane"))]
+    for old, new in (("1.", one), ("2.", two), ("3.", three)):
+        texts = [t.replace(f"\n{old} ", f"\n{new} ") for t in texts]
+    found = {r.doc_id: ",".join(r.licenses) for r in licenses.licenses(license_frame(spark, texts)).collect()}
+    assert found == {0: "BSD-3-Clause", 1: "BSD-2-Clause", 2: "BSD-3-Clause"}
+
+
+def test_license_sql_on_wrapped_texts(spark):
+    """The registered SQL says the same on notices over several lines."""
+    import duckdb
+
+    texts = [t for t, _ in LICENSE_CASES]
+    for width in (30, 60, 80):
+        for names in (("mit_grant", "mit_notice", "mit_warranty"), ("gpl2_free", "gpl_hope", "gpl_see"), ("apache_ref_you", "apache_comply")):
+            texts.append("\n\n".join(textwrap.fill(f"{licenses.SENTENCES[n].rstrip(':.')}.", width) for n in names))
+    texts += ["Released under the MIT License.\n" + "A sentence. " * n + "Licensed under CC BY 4.0." for n in range(2, 6)]
+    texts += [None, "", "Released under the MIT\nLicense\nReleased under the MIT License", TEXTS[0][1]]
+    documents = license_frame(spark, texts).toPandas()  # noqa: F841 (DuckDB reads it by name)
+    expected = duckdb.sql(licenses.oracle_sql()).fetchall()
+    found = licenses.licenses(license_frame(spark, texts)).collect()
+    assert sorted((r.doc_id, r.sequence, ",".join(r.licenses), r.n_matches) for r in found) == sorted(expected)
