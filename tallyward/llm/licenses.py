@@ -280,7 +280,7 @@ def oracle_sql(max_gap: int = 3, lines: int = 40) -> str:
 \s*', ' H ', 'g'), '
 ', ' S ', 'g')
         || ' H', '[^a-z0-9HS]+', ' ', 'g') AS t FROM lined),
-    pieces AS (SELECT doc_id, string_split(regexp_replace(t, ' ([HS])', '~', 'g'), '~') AS f FROM marked),
+    pieces AS (SELECT doc_id, string_split(regexp_replace(t, ' ([HS])', '~\1', 'g'), '~') AS f FROM marked),
     starts AS (SELECT doc_id, f, i, j FROM pieces, unnest(range(1, len(f) + 1)) AS a(i), unnest(range(i, least(i + {lines}, len(f) + 1))) AS b(j)),
     runs AS (SELECT doc_id, i, j, array_to_string(list_transform(range(i, j + 1), lambda x :
         (CASE WHEN x > i AND f[x][1] = 'H' THEN ' H' ELSE '' END) || f[x][2:]), '') AS words FROM starts),
