@@ -260,10 +260,11 @@ def oracle_sql(max_gap: int = 3, lines: int = 40) -> str:
     steps, before = [], "seq"
     rules = [*RULES, LAST_RULE]
     for i, (_, identifiers) in enumerate(rules):
-        pattern = " " + " ".join(map(re.escape, identifiers))
+        # Each identifier has a space of its own on either side.
+        pattern = f" {'  '.join(map(re.escape, identifiers))} "
         steps.append(
-            f"s{i} AS (SELECT * REPLACE (regexp_replace(rest, '{pattern}( |$)', ' /\\1', 'g') AS rest), "
-            f"len(regexp_extract_all(rest, '{pattern}( |$)')) AS n{i} FROM {before})"
+            f"s{i} AS (SELECT * REPLACE (regexp_replace(rest, '{pattern}', ' / ', 'g') AS rest), "
+            f"len(regexp_extract_all(rest, '{pattern}')) AS n{i} FROM {before})"
         )
         before = f"s{i}"
     last = len(rules) - 1
@@ -297,7 +298,7 @@ def oracle_sql(max_gap: int = 3, lines: int = 40) -> str:
         ELSE len(list_filter(range(last + 1, n.i + 1), lambda x : f[x][1] = 'H')) END AS ends FROM named n JOIN pieces USING (doc_id)),
     joined AS (SELECT doc_id, string_agg(CASE WHEN ends - 1 > {max_gap} THEN '/ ' || name ELSE name END, ' ' ORDER BY i) AS sequence
         FROM gaps GROUP BY 1),
-    seq AS (SELECT doc_id, coalesce(sequence, '') AS sequence, ' ' || coalesce(sequence, '') || ' ' AS rest
+    seq AS (SELECT doc_id, coalesce(sequence, '') AS sequence, ' ' || replace(coalesce(sequence, ''), ' ', '  ') || ' ' AS rest
         FROM documents LEFT JOIN joined USING (doc_id)),
     {", ".join(steps)}
     SELECT doc_id, sequence, array_to_string(list_sort(list_distinct(string_split(array_to_string(list_filter([{picked}],
