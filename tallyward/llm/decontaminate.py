@@ -3,8 +3,10 @@
 A window of an item is contained in a document only if all its shingles (five words) are, so one of them is enough to find
 it: the prefix of a set for full containment has one token, and the rarest is the cheapest. The steps:
 
-1. Documents become words once; their shingles meet the set of item shingles (broadcast after a count of it, else shuffled).
-   The few that match are stored with their place, the words around them and the document's number of words.
+1. Documents become words once; their shingles meet the set of item shingles. Where that set is small (it is counted) it is
+   broadcast and documents are not shuffled; else shingles are shuffled with nothing but their place and the document's key,
+   and the words around the places that matched are fetched by that key. The few that match are stored with their place, the
+   words around them and the document's number of words.
 2. Shingles are ordered by how often they matched; a window with one that never did is dropped, each other one
    keeps its rarest shingle with its offset.
 3. Stored matches join the windows on that shingle. The place fixes the window's start (positional bound), which must leave
@@ -66,6 +68,64 @@ def item_windows(items: DataFrame, window: int, item_id: str = "item_id", text:
     )
 
 
+def _place(low: Column, sizes: list[int]) -> Column:
+    """The first word of a shingle from its number; the runs of the sizes follow one another, larger sizes first."""
+    offset = F.lit(0)
+    for size in sorted(sizes, reverse=True):
+        offset = F.when(low >= 0, low).otherwise(offset)
+        low = low - F.greatest(F.size("words") - size + 1, F.lit(0))
+    return offset
+
+
+def _runs(sizes: list[int]) -> list[Column]:
+    return [_shingle_hashes("words", size) for size in sorted(sizes, reverse=True)]
+
+
+def _around(window: int) -> list[Column]:
+    return [F.col("from"), F.slice("words", F.col("from") + 1, F.lit(2 * window + SHINGLE)).alias("around")]
+
+
+def _hits_by_broadcast(worded: DataFrame, wanted: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """A row per shingle that matches, and one per document with ``at`` -1, in one pass without a shuffle."""
+    # One row with a shingle of its own per document carries its number of words through the join.
+    marker = F.lit(0).cast("long")
+    everything = F.broadcast(wanted.unionByName(worded.sparkSession.range(1).select(marker.alias("shingle"))).distinct())
+    exploded = worded.select("doc_id", "k1", "k2", "words", F.posexplode_outer(F.concat(F.array(marker), *_runs(sizes))).alias("place", "shingle"))
+    at = F.when(F.col("place") == 0, -1).otherwise(_place(F.col("place") - 1, sizes))
+    matched = (
+        exploded.join(everything, "shingle")
+        .filter((F.col("place") == 0) | (F.col("shingle") != 0))
+        .withColumn("at", at)
+        .withColumn("from", F.greatest(F.col("at") - window, F.lit(0)))
+    )
+    start, around = _around(window)
+    return matched.select(
+        "doc_id", "k1", "k2", F.size("words").alias("n_words"), "shingle", "at", start, F.when(F.col("at") >= 0, around).alias("around")
+    )
+
+
+def _hits_by_shuffle(worded: DataFrame, wanted: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """The same for a set of any size: shingles are joined by themselves, then places fetch their words by the document's key."""
+    none = {"shingle": "long", "at": "int", "from": "int", "around": "array<string>"}
+    markers = worded.select(
+        "doc_id", "k1", "k2", F.size("words").alias("n_words"), *[F.lit(-1 if c == "at" else None).cast(t).alias(c) for c, t in none.items()]
+    )
+    if not sizes:
+        return markers
+    exploded = worded.select("k1", "k2", F.posexplode(F.concat(*_runs(sizes))).alias("place", "shingle"))
+    # A shingle of a passage that many documents share is a key of many rows; adaptive execution splits it.
+    met = exploded.join(wanted, "shingle").groupBy("k1", "k2").agg(F.collect_set(F.struct("place", "shingle")).alias("met"))
+    once = worded.select("k1", "k2", "words").join(met.select("k1", "k2"), ["k1", "k2"], "left_semi")
+    once = once.groupBy("k1", "k2").agg(F.any_value("words").alias("words"))  # equal rows have equal words
+    placed = once.join(met, ["k1", "k2"]).select("k1", "k2", "words", F.inline("met"))
+    placed = placed.withColumn("at", _place(F.col("place"), sizes)).withColumn("from", F.greatest(F.col("at") - window, F.lit(0)))
+    found = placed.select(
+        F.lit(None).cast(worded.schema["doc_id"].dataType).alias("doc_id"),
+        "k1", "k2", F.size("words").alias("n_words"), "shingle", "at", *_around(window),
+    )
+    return markers.unionByName(found)
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -93,34 +153,14 @@ def contamination(
         hashed = F.when(F.col("size") == size, _shingle_hashes("win", size)).otherwise(hashed)
     win_shingles = win_shingles.select("window", "win", F.posexplode(hashed).alias("at", "shingle"))
 
-    # One row with shingle NULL per document carries its number of words through the join.
-    marker = 0
-    wanted = win_shingles.select("shingle").distinct()
-    wanted = bounded_broadcast(wanted.unionByName(docs.sparkSession.range(1).select(F.lit(marker).cast("long").alias("shingle"))).distinct(), broadcast_limit)
     keys = [F.xxhash64(F.col(doc_id), F.col(text)).alias("k1"), F.xxhash64(F.lit(17), F.col(doc_id), F.col(text)).alias("k2")]
     worded = with_words(docs.select(F.col(doc_id).alias("doc_id"), *keys, F.col(text).alias("_text")), "_text")
-    runs = [F.array(F.lit(marker).cast("long")), *[_shingle_hashes("words", size) for size in sorted(sizes, reverse=True)]]
-    # Place 0 is the marker; the runs of the sizes follow one another.
-    exploded = worded.select("doc_id", "k1", "k2", "words", F.posexplode_outer(F.concat(*runs)).alias("place", "shingle"))
-    offset, low = F.lit(0), F.col("place") - 1
-    for size in sorted(sizes, reverse=True):
-        n = F.greatest(F.size("words") - size + 1, F.lit(0))
-        offset = F.when(low >= 0, low).otherwise(offset)
-        low = low - n
-    at = F.when(F.col("place") == 0, -1).otherwise(offset)
-    matched = (
-        exploded.join(wanted, "shingle")
-        .filter((F.col("place") == 0) | (F.col("shingle") != marker))
-        .withColumn("at", at)
-        .withColumn("from", F.greatest(F.col("at") - window, F.lit(0)))
-    )
-    hits = stored(
-        matched.select(
-            "doc_id", "k1", "k2", F.size("words").alias("n_words"), "shingle", "at", "from",
-            F.when(F.col("at") >= 0, F.slice("words", F.col("from") + 1, F.lit(2 * window + SHINGLE))).alias("around"),
-        ),
-        "hits",
-    )
+    wanted = win_shingles.select("shingle").distinct()
+    if wanted.limit(broadcast_limit + 1).count() <= broadcast_limit:
+        hits = _hits_by_broadcast(worded, wanted, sizes, window)
+    else:
+        hits = _hits_by_shuffle(worded, wanted, sizes, window)
+    hits = stored(hits, "hits")
 
     found = hits.filter("at >= 0")
     rarity = found.groupBy("shingle").agg(F.count("*").alias("n"))
@@ -136,7 +176,7 @@ def contamination(
     )
     start, size = F.col("at") - F.col("offset"), F.size("win")
     occurrences = stored(
-        found.join(prefixes, "shingle")
+        found.join(bounded_broadcast(prefixes, broadcast_limit // 10), "shingle")
         .filter((start >= 0) & (start + size <= F.col("n_words")))
         .filter(F.slice("around", start - F.col("from") + 1, size) == F.col("win"))
         .select("k1", "k2", start.alias("start"), size.alias("size"), "window")

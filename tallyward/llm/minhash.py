@@ -9,8 +9,8 @@ agree in a coordinate with a probability of their weighted Jaccard similarity.
 Coordinates are joined in bands. A bucket's members are paired with its hub only: the member that meets most others over
 all its buckets, which among the copies of a text is the text itself or the copy nearest to it. Pairs are verified on all
 shingles and linked ones grouped into components. Members of a bucket that are then still in different components are
-compared with each other: those that belong to the same leading hub in tiles of a bounded size, which give a spanning
-forest and never their pairs, the few others as pairs. So no link inside a bucket is lost but those within one component.
+compared with each other: those that belong to the same leading hub, and those of large buckets, in tiles of a bounded size, which give a
+spanning forest and never their pairs, the few others as pairs. So no link inside a bucket is lost but those within one component.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from tallyward.llm.textwords import hashed_words, mixed, shingles, text_parts
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
-#: Members, and visitors, of a tile.
-TILE = 256
+#: Members, and visitors, of a tile, and the units that they may have together; units that are counted at a time.
+TILE, TILE_UNITS, COLUMNS = 256, 2_000_000, 16_384
 
 
 def weighted_units(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -216,13 +216,19 @@ def near_duplicates(
     labelled = labelled.select("bucket", "node", "n_units", "home", label.alias("component"))
     torn = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     apart = stored(labelled.join(torn.filter("low <> high").select("bucket"), "bucket"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
+    # Members of other homes: pairs where a bucket has few, tiles where it has many.
+    wide = apart.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > TILE).select("bucket")
+    few = apart.join(wide, "bucket", "left_anti")
+    x, y = few.alias("x"), few.alias("y")
     crossing = (
         x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & (F.col("x.home") != F.col("y.home")) & _near_sizes(F.col("x.n_units"), F.col("y.n_units"), percent))
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .distinct()
     )
-    more = _tiled(apart.select("home", "node", "component").distinct(), units, percent)
+    more = _tiled(apart.select("home", "node", "component", "n_units").distinct(), units, percent)
+    if wide.limit(1).count():
+        crowd = apart.join(wide, "bucket", "left_semi").select(F.col("bucket").alias("home"), "node", "component", "n_units")
+        more = more.unionByName(_tiled(crowd.distinct(), units, percent))
     more = stored(verified(crossing, units, percent).unionByName(more), "links")
     if more.limit(1).count():
         groups = components(links.unionByName(more))
@@ -237,19 +243,26 @@ def near_duplicates(
 
 
 def _tiled(homes: DataFrame, units: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes (home, node, component) of one home, as a spanning forest of each tile.
+    """Links (a, b) between nodes (home, node, component, n_units) of one home, as a spanning forest of each tile.
 
-    Nodes outside their home's largest component visit all nodes of the home; both are dealt into blocks.
+    Nodes outside their home's largest component visit all nodes of the home; both are dealt into blocks of a bounded number of
+    nodes and of units (a block of one text has that text's units).
     """
     homes = stored(homes, "homes")
-    sizes = homes.groupBy("home", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("home").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("members"))
+    sizes = homes.groupBy("home", "component").agg(F.count("*").alias("n"), F.sum("n_units").alias("units"))
+    largest = sizes.groupBy("home").agg(
+        F.max(F.struct("n", "component", "units")).alias("top"), F.sum("n").alias("members"), F.sum("units").alias("units")
+    )
     largest = largest.withColumn("visitors", F.col("members") - F.col("top.n")).filter("visitors > 0")
+
+    def blocks(rows: str, units):
+        return F.ceil(F.greatest(F.col(rows) / TILE, units / TILE_UNITS)).cast("int")
+
     grid = largest.select(
         "home",
         F.col("top.component").alias("main"),
-        F.ceil(F.col("members") / TILE).cast("int").alias("m_blocks"),
-        F.ceil(F.col("visitors") / TILE).cast("int").alias("v_blocks"),
+        blocks("members", F.col("units")).alias("m_blocks"),
+        blocks("visitors", F.col("units") - F.col("top.units")).alias("v_blocks"),
     )
     placed = homes.join(grid, "home")
     spread = F.xxhash64("node")
@@ -274,14 +287,20 @@ def _linked_tile(table: pa.Table, percent: int) -> pa.Table:
     sizes = np.array([len(x) for x in sets])
     values, place = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
-    # Units that only one node has can't be shared; the others make a small matrix.
+    # Units that only one node has can't be shared; the others are counted in blocks of columns.
     shared = np.bincount(place, minlength=len(values)) > 1
     column = np.cumsum(shared) - 1
     kept = shared[place]
-    matrix = np.zeros((len(sets), int(shared.sum())), np.float32)
-    matrix[owner[kept], column[place[kept]]] = 1
+    row, at = owner[kept], column[place[kept]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
     query, member = np.flatnonzero(visitor), np.flatnonzero(~visitor)
-    both = np.rint(matrix[query] @ matrix[member].T).astype(np.int64)
+    both = np.zeros((len(query), len(member)), np.int64)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        part = slice(*np.searchsorted(at, [low, low + COLUMNS]))
+        matrix = np.zeros((len(sets), COLUMNS), np.float32)
+        matrix[row[part], at[part] - low] = 1
+        both += np.rint(matrix[query] @ matrix[member].T).astype(np.int64)
     together = sizes[query][:, None] + sizes[member][None, :] - both
     head = {node: node for node in nodes}
 

@@ -22,6 +22,7 @@ from tallyward.llm import (
     pii,
     secrets,
     suffixes,
+    textwords,
     token_counts,
     toxicity,
 )
@@ -487,3 +488,89 @@ def test_license_sql_on_wrapped_texts(spark):
     expected = duckdb.sql(licenses.oracle_sql()).fetchall()
     found = licenses.licenses(license_frame(spark, texts)).collect()
     assert sorted((r.doc_id, r.sequence, ",".join(r.licenses), r.n_matches) for r in found) == sorted(expected)
+
+
+def test_contamination_without_broadcast(spark, docs, items):
+    """The shuffled form gives the same rows, also for long texts, equal rows and items of few words."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(4_000)]
+    long = [" ".join(rng.choice(vocabulary, 20_000)) for _ in range(3)]
+    more = [" ".join(t.split()[i : i + 25]) for t in long for i in (0, 9_000, 19_975)]
+    texts = [(20 + i, t) for i, t in enumerate([*long, long[0], "x " + more[0] + " y", *more])]
+    mine = docs.select("doc_id", "text").unionByName(spark.createDataFrame([*texts, texts[0]], "doc_id long, text string"))
+    all_items = items.unionByName(spark.createDataFrame([(10 + i, t) for i, t in enumerate(more)], "item_id long, text string"))
+
+    def found(limit):
+        rows = decontaminate.contamination(mine, all_items, broadcast_limit=limit).collect()
+        return sorted(((str(r.doc_id), r.n_words, r.n_hit, tuple(r.item_ids)) for r in rows))
+
+    whole = found(1_000_000)
+    assert found(0) == whole and len(whole) == mine.count()
+    assert [r[2] for r in whole if r[0] == "20"] == [75, 75]
+
+
+def test_shuffled_shingles_carry_no_words(spark):
+    """Below the join with the item shingles a row has a key, a place and a shingle."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")
+    keys = [F.xxhash64("doc_id").alias("k1"), F.xxhash64("text").alias("k2")]
+    worded = decontaminate.with_words(docs.select("doc_id", *keys, F.col("text").alias("_text")), "_text")
+    wanted = spark.createDataFrame([(1,)], "shingle long").hint("merge")
+    plan = decontaminate._hits_by_shuffle(worded, wanted, [5], 10)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    joins = [i for i, line in enumerate(lines) if "Join Inner, (shingle" in line]
+    below = lines[joins[0] + 1]
+    assert "Project" in below and "words" not in below.split("Project", 1)[1]
+
+
+def tile_of(texts, visitors):
+    import pyarrow as pa
+
+    blobs, nodes = [], []
+    for text in texts:
+        words, first = textwords.hashed_words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+        hashes, places = textwords.shingles(words, first, 5)
+        blobs.append(minhash._packed(minhash.weighted_units(hashes, places)))
+        nodes.append(minhash._sequence_keys(words, first)[0].tobytes())
+    table = pa.table({"node": pa.array(nodes, pa.binary()), "visitor": visitors, "units": pa.array(blobs, pa.binary())})
+    return nodes, minhash._linked_tile(table, 80)
+
+
+def test_tiles_of_long_texts_are_counted_in_blocks(monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 10**9, 30_000)]
+    texts = []
+    for i in range(24):
+        words = list(base) if i % 2 else [f"v{j}" for j in rng.integers(0, 10**9, 30_000)]
+        for at in rng.integers(0, 30_000, 300):
+            words[at] = f"x{i}-{at}"
+        texts.append(" ".join(words))
+    visitors = [i % 4 == 1 for i in range(24)]
+    tracemalloc.start()
+    nodes, found = tile_of(texts, visitors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    near = {nodes[i] for i in range(1, 24, 2)}
+    assert set(found.column("a").to_pylist()) | set(found.column("b").to_pylist()) == near
+    assert found.num_rows == len(near) - 1
+    assert peak < 400e6  # a matrix of all their shared units would be much larger with hundreds of texts
+    monkeypatch.setattr(minhash, "COLUMNS", 1_000)
+    assert tile_of(texts, visitors)[1].num_rows == found.num_rows
+
+
+def test_wide_buckets_are_tiled(spark, monkeypatch):
+    """With tiles of four every bucket of some copies is wide; groups are as by brute force."""
+    monkeypatch.setattr(minhash, "TILE", 4)
+    monkeypatch.setattr(minhash, "TILE_UNITS", 300)
+    rng = random.Random(2)
+    base = [[f"t{k}w{i}" for i in range(60)] for k in range(3)]
+    texts = {}
+    for d in range(60):
+        words = list(base[d % 3])
+        for _ in range(d % 7):
+            words[rng.randrange(60)] = f"z{rng.randrange(50)}"
+        texts[d] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    assert found == near_components(texts)
