@@ -1,13 +1,15 @@
 """Personal data by weak supervision; DataFrame functions only.
 
 Patterns propose candidate spans: the exact base forms, which always stay, and looser ones (written-out addresses,
-numbers without a plus sign, card numbers with a wrong check digit, national numbers, names). Labelers (format, check,
-gazetteer, two of context, neighbours) vote yes, no or nothing on every candidate. Expectation-maximisation over the counts
-of vote patterns estimates how often each labeler votes how on real and false spans; then a naive Bayes classifier of
-votes, kind and length is trained on the resulting probabilities and decides on the looser candidates.
+numbers without a plus sign, card numbers with a wrong check digit, national numbers, two capitalised words). Labelers (check,
+gazetteer, two of context, neighbours) vote yes, no or nothing on every candidate; none of them knows whether it is a
+base form. Expectation-maximisation over the counts of vote patterns estimates how often each labeler votes how on real and
+false spans; then a naive Bayes classifier of votes, kind and length is trained on the resulting probabilities and decides on
+the looser candidates. The gazetteer of given names is the corpus's own: the words that stand between a title and a
+capitalised word in several documents, beside a short fixed list.
 
 Vote patterns are counted before anything else, so a round of estimation reads a table of a size that does not depend on
-the corpus (3 votes to the power of 6 labelers, by kind and length class), and its sums are numbers in the next round's expressions.
+the corpus (3 votes to the power of 5 labelers, by kind and length class), and its sums are numbers in the next round's expressions.
 """
 
 from __future__ import annotations
@@ -35,14 +37,18 @@ _AT, _DOT = r"\x20?[(\[](?:at|AT)[)\]]\x20?", r"\x20?(?:[(\[](?:dot|DOT)[)\]]|\.
 WRITTEN_EMAIL = rf"[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{2,63}}){{1,4}}"
 LOCAL_PHONE = r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z])"
 NATIONAL_ID = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-# Frequent given names and top-level domains.
+# Some frequent given names, top-level domains.
 GIVEN_NAMES = (
     "Alice Anna Anne Carlos Charles Christine David Elena Elizabeth Emily Emma Francisco Hans James Jean John José "
     "Karl Klaus Laura Louis Maria Marie Mary Michael Paul Peter Pierre Robert Sarah Sophie Stefan Susan Thomas William"
 ).split()
 TOP_DOMAINS = "com org net edu gov io de fr es eu uk info".split()
 _TITLE = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señora?)"
-NAME = rf"(?<![\p{{L}}])(?:{_TITLE}\.?\x20)?(?:{'|'.join(GIVEN_NAMES)})\x20\p{{Lu}}\p{{Ll}}{{1,30}}(?![\p{{L}}])"
+_CAPITAL = r"\p{Lu}\p{Ll}{1,30}"
+NAME = rf"(?<![\p{{L}}])(?:{_TITLE}\.?\x20)?(?!{_TITLE}\x20){_CAPITAL}\x20{_CAPITAL}(?![\p{{L}}])"
+TITLED = rf"(?<![\p{{L}}]){_TITLE}\.?\x20({_CAPITAL})\x20{_CAPITAL}(?![\p{{L}}])"
+#: Given names of the corpus: in how many documents a word must stand behind a title, and how many are used, at most.
+NAMED_IN, NAMES = 2, 10_000
 
 # Words near a span that speak for or against its kind.
 FOR = {
@@ -54,7 +60,7 @@ FOR = {
     "name": r"name|author|contact|dear|signed|herr|frau|madame|señor",
 }
 AGAINST = r"version|isbn|issn|doi|order|invoice|serial|part no|figure|table|page|chapter"
-VOTES = 6
+VOTES = 5
 
 
 def _digits(value: Column) -> Column:
@@ -89,7 +95,18 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return F.when(F.coalesce(yes, F.lit(False)), 1).when(against, -1).otherwise(0)
 
 
-def _candidates(spans: Column, kind: str, base: bool) -> Column:
+def given_names(docs: DataFrame, text: str = "text") -> list[str]:
+    """The words that stand between a title and a capitalised word in ``NAMED_IN`` documents or more, most frequent first; at most
+    ``NAMES``, and the fixed ones."""
+    titled = docs.filter(F.col(text).rlike(rf"{_TITLE}\.?\x20")).select(
+        F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(TITLED), F.lit(1)))).alias("word")
+    )
+    counted = titled.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= NAMED_IN)
+    found = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(NAMES).collect()]
+    return sorted({*found, *GIVEN_NAMES})
+
+
+def _candidates(spans: Column, kind: str, base: bool, names: list[str]) -> Column:
     """Spans with the votes of the labelers and a length class."""
 
     def one(s: Column) -> Column:
@@ -114,11 +131,11 @@ def _candidates(spans: Column, kind: str, base: bool) -> Column:
             check = _vote(~value.rlike("^(000|666|9)|-00-|-0000$"), value.rlike("^(000|666|9)|-00-|-0000$"))
             known = _vote(F.lit(False))
         else:
-            check = _vote(value.rlike(_TITLE))
-            known = _vote(F.lit(True))
+            check = _vote(value.rlike(rf"^{_TITLE}\.?\x20"))
+            given = F.regexp_extract(value, rf"({_CAPITAL})\x20{_CAPITAL}$", 1)
+            known = _vote(F.array_contains(F.lit(names), given))
         near = F.lower(F.concat(s["before"], F.lit(" "), s["after"]))
         votes = (
-            _vote(F.lit(base)),
             check,
             known,
             _vote(near.rlike(FOR[kind])),
@@ -139,6 +156,7 @@ def _candidates(spans: Column, kind: str, base: bool) -> Column:
 
 
 def _proposed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    names = given_names(docs, text)
     df = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     df = df.withColumn("_digit", F.col("_text").rlike("[0-9]"))
     forms = {
@@ -149,7 +167,7 @@ def _proposed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         "email2": (WRITTEN_EMAIL, F.col("_text").rlike(r"[(\[](?:at|AT)[)\]]")),
         "phone2": (LOCAL_PHONE, F.col("_digit")),
         "id": (NATIONAL_ID, F.col("_digit")),
-        "name": (NAME, F.lit(True)),
+        "name": (NAME, F.col("_text").rlike(rf"{_CAPITAL}\x20{_CAPITAL}")),
     }
     for name, (pattern, if_any) in forms.items():
         df = with_located(df, "_text", pattern, f"_{name}", if_any)
@@ -161,9 +179,9 @@ def _proposed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         .withColumn("_card2", F.filter("_number", lambda s: ~passes_luhn(_digits(s["value"]))))
         .withColumn("_phone", F.filter("_phone", lambda s: F.char_length(_digits(s["value"])).between(9, 15)))
     )
-    base = [_candidates(F.col(f"_{k}"), k, True) for k in KINDS[:4]]
+    base = [_candidates(F.col(f"_{k}"), k, True, names) for k in KINDS[:4]]
     loose = [
-        _candidates(F.col(column), kind, False)
+        _candidates(F.col(column), kind, False, names)
         for column, kind in (("_email2", "email"), ("_card2", "card"), ("_phone2", "phone"), ("_id", "id"), ("_name", "name"))
     ]
     df = df.select("doc_id", F.concat(*base).alias("base"), F.concat(*loose).alias("loose"))
@@ -204,13 +222,29 @@ def _log_odds(counts: dict[tuple[str, int], tuple[float, float]], get) -> Column
     return odds
 
 
+def majority() -> Column:
+    """The first guess of a span's probability: the majority of the votes."""
+    total = sum((F.col(f"v{i}") for i in range(VOTES)), F.lit(0))
+    return F.when(total > 0, 0.9).when(total < 0, 0.1).otherwise(0.5)
+
+
+def estimated(patterns: DataFrame, rounds: int) -> tuple[dict, dict]:
+    """From counted vote patterns the classifier's weighted counts, and those of the labelers by expectation-maximisation."""
+    votes = [f"v{i}" for i in range(VOTES)]
+    weight, reliabilities = majority(), {}
+    for _ in range(rounds):
+        reliabilities = _sum_all(patterns, weight, votes)
+        weight = 1 / (1 + F.exp(-_log_odds(reliabilities, F.col)))
+    return _sum_all(patterns, weight, [*votes, "kind", "length"]), reliabilities
+
+
 def personal_spans(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = 8, least: float = 0.9
 ) -> DataFrame:
     """Per document: doc_id, base and spans, arrays of (kind, start, end, label) in order of kind and start.
 
     ``base`` has the base forms (the first four kinds), ``spans`` these and the looser candidates to which the classifier
-    gives a probability of ``least`` or more, if a word beside them speaks for their kind.
+    gives a probability of ``least`` or more.
 
     Defined results: a NULL or empty text has no spans; equal rows get equal results; a table without any candidate has
     none to learn from and keeps base spans only; an empty table gives no rows; other columns are ignored.
@@ -224,16 +258,10 @@ def personal_spans(
         .agg(F.count("*").alias("n")),
         "patterns",
     )
-    total = sum((F.col(v) for v in votes), F.lit(0))
-    weight = F.when(total > 0, 0.9).when(total < 0, 0.1).otherwise(0.5)  # the first guess: the majority
-    for _ in range(rounds):
-        odds = _log_odds(_sum_all(patterns, weight, votes), F.col)
-        weight = 1 / (1 + F.exp(-odds))
-    counts = _sum_all(patterns, weight, [*votes, "kind", "length"])
+    counts, _ = estimated(patterns, rounds)
 
     def accepted(s: Column) -> Column:
-        sure = _log_odds(counts, lambda f: s[f]) >= math.log(least / (1 - least))
-        return sure & (s["v3"] == 1)
+        return _log_odds(counts, lambda f: s[f]) >= math.log(least / (1 - least))
 
     keep = "array<struct<kind:int,start:int,end:int,label:string>>"
 
