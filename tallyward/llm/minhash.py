@@ -9,8 +9,8 @@ agree in a coordinate with a probability of their weighted Jaccard similarity.
 Coordinates are joined in bands. A bucket's members are paired with its hub only: the member that meets most others over
 all its buckets, which among the copies of a text is the text itself or the copy nearest to it. Pairs are verified on all
 shingles and linked ones grouped into components. Members of a bucket that are then still in different components are
-compared with each other: those that belong to the same leading hub, and those of large buckets, in tiles of a bounded size, which give a
-spanning forest and never their pairs, the few others as pairs. So no link inside a bucket is lost but those within one component.
+compared with each other: those that belong to the same leading hub, and those of buckets that many hubs share, in tiles of a bounded size,
+which give a spanning forest and never their pairs, the few others as pairs. So no link inside a bucket is lost but those within one component.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 #: Members, and visitors, of a tile, and the units that they may have together; units that are counted at a time.
 TILE, TILE_UNITS, COLUMNS = 256, 2_000_000, 16_384
+#: Pairs of different homes that a bucket's members may have each, on average, before the bucket is tiled.
+PAIRS_EACH = 64
 
 
 def weighted_units(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -216,13 +218,19 @@ def near_duplicates(
     labelled = labelled.select("bucket", "node", "n_units", "home", label.alias("component"))
     torn = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     apart = stored(labelled.join(torn.filter("low <> high").select("bucket"), "bucket"), "apart")
-    # Members of other homes: pairs where a bucket has few, tiles where it has many.
-    wide = apart.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > TILE).select("bucket")
-    few = apart.join(wide, "bucket", "left_anti")
-    x, y = few.alias("x"), few.alias("y")
+    # Members of different homes: pairs where a bucket has few for its size, each with a member outside its largest home; else tiles.
+    of_home = apart.groupBy("bucket", "home").agg(F.count("*").alias("h"))
+    mixed = of_home.groupBy("bucket").agg(
+        F.sum("h").alias("n"), F.sum(F.col("h") * F.col("h")).alias("hh"), F.max(F.struct("h", "home")).alias("top")
+    )
+    mixed = mixed.withColumn("pairs", (F.col("n") * F.col("n") - F.col("hh")) / 2).filter("pairs > 0")
+    mixed = stored(mixed.select("bucket", F.col("top.home").alias("main"), (F.col("pairs") > PAIRS_EACH * F.col("n")).alias("wide")), "mixed")
+    few = apart.join(mixed.filter("not wide").select("bucket", "main"), "bucket")
+    wide = mixed.filter("wide").select("bucket")
+    x, y = few.filter(F.col("home") != F.col("main")).alias("x"), few.alias("y")
     crossing = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & (F.col("x.home") != F.col("y.home")) & _near_sizes(F.col("x.n_units"), F.col("y.n_units"), percent))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.home") != F.col("y.home")) & _near_sizes(F.col("x.n_units"), F.col("y.n_units"), percent))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
     )
     more = _tiled(apart.select("home", "node", "component", "n_units").distinct(), units, percent)

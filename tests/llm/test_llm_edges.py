@@ -559,8 +559,10 @@ def test_tiles_of_long_texts_are_counted_in_blocks(monkeypatch):
     assert tile_of(texts, visitors)[1].num_rows == found.num_rows
 
 
-def test_wide_buckets_are_tiled(spark, monkeypatch):
-    """With tiles of four every bucket of some copies is wide; groups are as by brute force."""
+@pytest.mark.parametrize("pairs_each", [0, 1, 64])
+def test_wide_buckets_are_tiled(spark, monkeypatch, pairs_each):
+    """With tiles of four, and buckets tiled that have more pairs than that; groups are as by brute force."""
+    monkeypatch.setattr(minhash, "PAIRS_EACH", pairs_each)
     monkeypatch.setattr(minhash, "TILE", 4)
     monkeypatch.setattr(minhash, "TILE_UNITS", 300)
     rng = random.Random(2)
