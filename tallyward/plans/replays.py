@@ -292,9 +292,10 @@ def shipment_lifecycle(spark, sf_dir):
     )
     rows = rows.unionByName(spark.readStream.schema(batch.schema).parquet(f"{folder}/flush"))
     create, pay = F.col("event_type") == "create", F.col("event_type") == "pay"
-    # The tables are in order of keys, not of time: the watermark trails by more than their whole span.
+    # The tables are in order of keys, not of time, and the halves of an order may be years apart: the watermark trails by more
+    # than their whole span, and orders are remembered as long.
     states = rules.life_cycle(
-        streams.watermarked(rows, "4000 days"), ("order_id",), "ts", "event_id", create, pay, "60 days"
+        streams.watermarked(rows, "4000 days"), ("order_id",), "ts", "event_id", create, pay, "60 days", remember="4000 days"
     )
     return sinks.newest_rows(replayed(spark, folder, states), ["order_id"], "version")
 
