@@ -1,6 +1,9 @@
 """Run a job on CSV or log files: ``spark-submit ... -m tallyward JOB --input PATH [PATH2] --output PATH``.
 
 The two-table jobs take the order file and the receipt file. Results are written as Parquet.
+
+With ``--stream`` the job runs on: inputs are folders to which files are added, results and checkpoint go below the output folder,
+``--delay`` is how late rows may be. With ``--once`` it takes what is there and stops; it goes on from there when started again.
 """
 
 from __future__ import annotations
@@ -13,7 +16,10 @@ from pyspark.sql import functions as F
 
 from tallyward import schemas
 from tallyward.plans import jobs
+from tallyward.session import ROCKSDB_STORE
 from tallyward.sources import lines
+from tallyward.streaming.jobs import IN_ORDER
+from tallyward.streaming.starts import starts
 
 # Arrival order of a file's rows where a rule needs one to break ties.
 _SEQ = "seq"
@@ -91,14 +97,28 @@ JOBS = {
 }
 
 
+STREAMS = starts()
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyward", description=__doc__)
-    parser.add_argument("job", choices=sorted(JOBS))
+    parser.add_argument("job", choices=sorted({*JOBS, *STREAMS}))
     parser.add_argument("--input", nargs="+", required=True, help="input file or folder (two for payment jobs)")
     parser.add_argument("--output", required=True, help="folder for the Parquet result")
+    parser.add_argument("--stream", action="store_true", help="run on folders to which files are added")
+    parser.add_argument("--once", action="store_true", help="with --stream: take what is there, then stop")
+    parser.add_argument("--delay", default=IN_ORDER, help="with --stream: how late rows may be, for example '3 seconds'")
     chosen = parser.parse_args(arguments)
     spark = SparkSession.builder.appName(f"tallyward {chosen.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if chosen.stream:
+        if chosen.job not in STREAMS:
+            parser.error(f"{chosen.job} does not run as a stream; these do: {', '.join(sorted(STREAMS))}")
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STORE)
+        STREAMS[chosen.job](spark, chosen.input, chosen.output, chosen.delay, chosen.once).awaitTermination()
+        return
+    if chosen.job not in JOBS:
+        parser.error(f"{chosen.job} runs as a stream only")
     JOBS[chosen.job](spark, chosen.input).write.mode("errorifexists").parquet(chosen.output)
 
 

@@ -23,13 +23,21 @@ def _packed(df: DataFrame, prefix: str) -> tuple[DataFrame, Column]:
     return renamed, F.struct(*[F.col(prefix + c).alias(c) for c in df.columns])
 
 
+# 0, or for a row that can't be matched a hash of it: it has a group of its own, so no other row sees it and none collects such rows.
+_LONE = "_lone"
+
+
 def _both_sides(left, right, on, left_ts, right_ts, left_seq=None, right_seq=None) -> DataFrame:
-    """One row per row of either side: key, time, arrival number if asked for, side (0 or 1) and the row as a struct."""
+    """One row per row of either side: key, time, arrival number if asked for, side (0 or 1), ``_lone`` and the row as a struct."""
 
     def side(df: DataFrame, number: int, ts: str, seq: str | None) -> DataFrame:
         arrival = [] if seq is None else [F.col(seq).alias("_seq")]
         row = F.struct(*df.columns).alias(f"_row{number}")
-        return df.select(F.col(on).alias("_on"), F.col(ts).alias("_ts"), *arrival, F.lit(number).alias("_side"), row)
+        plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        lone = F.when(_matchable(on, ts), 0).otherwise(F.xxhash64(F.lit(number), *plain).bitwiseOR(F.lit(1)))
+        return df.select(
+            F.col(on).alias("_on"), F.col(ts).alias("_ts"), *arrival, F.lit(number).alias("_side"), lone.alias(_LONE), row
+        )
 
     one, two = side(left, 0, left_ts, left_seq), side(right, 1, right_ts, right_seq)
     return one.unionByName(two, allowMissingColumns=True)
@@ -40,6 +48,11 @@ def _matchable(on: str, ts: str) -> Column:
     return F.col(on).isNotNull() & F.col(ts).isNotNull()
 
 
+def _timed(both: DataFrame) -> DataFrame:
+    """Rows of ``_both_sides`` with their time in microseconds, 0 where there is none."""
+    return both.withColumn(US, F.coalesce(micros("_ts"), F.lit(0))).drop("_ts")
+
+
 def _split_off(left, right, on, left_ts, right_ts, names):
     """The matchable rows of both sides, and the others as single rows ``names[0], names[1], channel``."""
     singles = []
@@ -114,10 +127,8 @@ def with_partner_flag(
     sorted pass per (key, slot) answers it without forming pairs.
     """
     span = span_micros(within)
-    both = _both_sides(left, right, on, left_ts, right_ts)
-    matchable = F.col("_on").isNotNull() & F.col("_ts").isNotNull()
-    rows = with_slots(both.filter(matchable), "_ts", back=span, ahead=span)
-    group = Window.partitionBy("_on", SLOT)
+    rows = with_slots(_timed(_both_sides(left, right, on, left_ts, right_ts)), US, back=span, ahead=span)
+    group = Window.partitionBy("_on", SLOT, _LONE)
     # Range frames: rows of the same instant are seen from both directions.
     before = group.orderBy(F.asc(US)).rangeBetween(Window.unboundedPreceding, 0)
     after = group.orderBy(F.desc(US)).rangeBetween(Window.unboundedPreceding, 0)
@@ -132,12 +143,8 @@ def with_partner_flag(
         return F.when(F.col("_side") == 0, nearest(1, line)).otherwise(nearest(0, line))
 
     flagged = rows.withColumn("_before", other(before)).withColumn("_after", other(after)).filter(OWN)
-    return flagged.select(
-        "_side",
-        "_row0",
-        "_row1",
-        (near(F.col(US) - F.col("_before")) | near(F.col("_after") - F.col(US))).alias("has_partner"),
-    ).unionByName(both.filter(~matchable).select("_side", "_row0", "_row1", F.lit(False).alias("has_partner")))
+    partner = near(F.col(US) - F.col("_before")) | near(F.col("_after") - F.col(US))
+    return flagged.select("_side", "_row0", "_row1", (partner & (F.col(_LONE) == 0)).alias("has_partner"))
 
 
 def reconcile_pairs(
@@ -194,13 +201,13 @@ def reconcile(
     count so far, which comes from one small row per such slot.
     """
     span = span_micros(within)
-    left, right, unmatched = _split_off(left, right, on, left_ts, right_ts, names)
     both = _both_sides(left, right, on, left_ts, right_ts, left_seq, right_seq)
-    rows = with_slots(both, "_ts", back=span, ahead=span)
-    line = Window.partitionBy("_on", SLOT).orderBy(US, "_side", "_seq")
+    rows = with_slots(_timed(both), US, back=span, ahead=span)
+    line = Window.partitionBy("_on", SLOT, _LONE).orderBy(US, "_side", "_seq")
 
     def linked(neighbour, earlier, later) -> Column:
-        return F.coalesce((neighbour("_side").over(line) != F.col("_side")) & (later - earlier <= span), F.lit(False))
+        near = (neighbour("_side").over(line) != F.col("_side")) & (later - earlier <= span)
+        return F.coalesce(near & (F.col(_LONE) == 0), F.lit(False))
 
     seen = rows.select(
         "*",
@@ -216,7 +223,7 @@ def reconcile(
     # Slots a chain enters or leaves: rows, place of the last chain start, whether the first row is linked. Counting
     # the rows by side keeps this branch on the same columns as the main one, so that they share one shuffle.
     edges = (
-        placed.groupBy("_on", SLOT)
+        placed.groupBy("_on", SLOT, _LONE)
         .agg(
             (F.count("_row0") + F.count("_row1")).alias("_rows"),
             F.max("_chain").alias("_last_chain"),
@@ -228,9 +235,9 @@ def reconcile(
     earlier = Window.partitionBy("_on").orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     counted = edges.withColumn("_rows_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     start = F.last(F.col("_rows_before") + F.col("_last_chain"), ignorenulls=True).over(earlier)
-    carries = counted.select("_on", SLOT, "_enters", (F.col("_rows_before") - start).alias("_carry")).filter("_enters")
+    carries = counted.select("_on", SLOT, _LONE, "_enters", (F.col("_rows_before") - start).alias("_carry")).filter("_enters")
     place = F.coalesce(F.col("_index") - F.col("_chain"), F.col("_carry") + F.col("_index"))
-    paired = placed.join(carries.drop("_enters"), ["_on", SLOT], "left").withColumn(
+    paired = placed.join(carries.drop("_enters"), ["_on", SLOT, _LONE], "left").withColumn(
         "_pairs", F.pmod(place, F.lit(2)) == 1
     )
     is_left = F.col("_side") == 0
@@ -238,7 +245,7 @@ def reconcile(
         F.when(is_left, F.col("_row0")).when(F.col("_pairs"), F.col("_before0")).alias(names[0]),
         F.when(~is_left, F.col("_row1")).when(F.col("_pairs"), F.col("_before1")).alias(names[1]),
         F.when(F.col("_pairs"), MATCHED).when(is_left, SINGLE_LEFT).otherwise(SINGLE_RIGHT).alias("channel"),
-    ).unionByName(unmatched)
+    )
 
 
 def _one_side(flagged: DataFrame, side: int, partnered: bool) -> DataFrame:

@@ -6,10 +6,11 @@ import pytest
 import samples
 from pyspark.sql import functions as F
 
-from tallyward.__main__ import JOBS, main
+from tallyward.__main__ import JOBS, STREAMS, main
 from tallyward.operators.slots import OWN, SLOT, with_slots
 from tallyward.plans import jobs, tables
 from tallyward.plans.catalog import CATALOG
+from tallyward.streaming import rankings
 
 BEHAVIORS = [
     "1,10,5,pv,1511658000",
@@ -77,6 +78,43 @@ def test_job_from_files(spark, tmp_path, job):
     assert rows == ROWS.get(job, rows) and rows > 0
 
 
+STREAM_INPUTS = {
+    "hot": BEHAVIORS,
+    "page": BEHAVIORS,
+    "unique": BEHAVIORS,
+    "top": WEB_LOG,
+    "channel": MARKETING,
+    "capped": samples.AD_CLICKS.splitlines(),
+    "login": samples.LOGINS.splitlines(),
+    "order": samples.ORDERS.splitlines(),
+}
+
+
+@pytest.mark.parametrize("job", sorted(n for n in STREAMS if not n.startswith("pay_")))
+def test_stream_from_files(spark, tmp_path, job):
+    """Started, stopped and started again on a folder that grows; the end of time closes all windows."""
+    text = STREAM_INPUTS[job.split("_")[0]]
+    (tmp_path / "in").mkdir()
+    arguments = [job, "--stream", "--once", "--delay", "20 seconds", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out")]
+    last = text[-1]
+    number = max((x for x in last.replace(" ", ",").split(",") if x.isdigit()), key=len)
+    far = "9" + number[1:]
+    flush = last.replace(number, far) if job != "top_pages" else last
+    for place, part in enumerate((text, [flush])):
+        (tmp_path / "in" / f"{place}.txt").write_text("\n".join(part), encoding="utf-8")
+        main(arguments)
+    if job == "top_pages":
+        found = rankings.RankedWindows(spark, str(tmp_path / "out"), {"url": "string"}, jobs.PAGE_SIZE, jobs.PAGE_SLIDE).ranks()
+    else:
+        found = spark.read.parquet(str(tmp_path / "out" / "rows"))
+    assert found.count() >= min(ROWS.get(job, 1), 24)
+
+
+def test_jobs_that_are_no_streams_say_so(tmp_path):
+    with pytest.raises(SystemExit):
+        main(["hot_items_report", "--stream", "--input", "x", "--output", str(tmp_path / "out")])
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
