@@ -96,10 +96,10 @@ def test_stream_from_files(spark, tmp_path, job):
     text = STREAM_INPUTS[job.split("_")[0]]
     (tmp_path / "in").mkdir()
     arguments = [job, "--stream", "--once", "--delay", "20 seconds", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out")]
-    last = text[-1]
-    number = max((x for x in last.replace(" ", ",").split(",") if x.isdigit()), key=len)
-    far = "9" + number[1:]
-    flush = last.replace(number, far) if job != "top_pages" else last
+    flush = last = text[-1]
+    if job != "top_pages":
+        number = max((x for x in last.split(",") if x.isdigit()), key=len)
+        flush = last.replace(number, "9" + number[1:])
     for place, part in enumerate((text, [flush])):
         (tmp_path / "in" / f"{place}.txt").write_text("\n".join(part), encoding="utf-8")
         main(arguments)
