@@ -8,10 +8,13 @@ The batch operators give the same rows; these are their twins for unbounded inpu
 
 from __future__ import annotations
 
+import pickle
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,12 +35,18 @@ class Event:
 # How long an answered order waits for a correction.
 REMEMBER = "30 days"
 
-# Rows handed to the state store at a time.
-_CHUNK = 1000
+# Events handed to the state store at a time.
+_CHUNK = 10_000
+
+# Groups of keys whose state is read and written together.
+BUCKETS = 1024
 
 # Kinds of an event as seen by a rule.
 OTHER, FIRST, SECOND = slotted.OTHER, slotted.FIRST, slotted.SECOND
 
+# Times within a key keep their microseconds.
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 # States of an order: nothing reported, reported once without its other half, complete.
 WAITING, ANSWERED, DONE = 0, 1, 2
 
@@ -141,67 +150,85 @@ class ReconcileRule:
 
 
 class OrderedProcessor(StatefulProcessor):
-    """Holds events back until the watermark has passed them, then feeds the rule in (time, arrival) order."""
+    """Holds events back until the watermark has passed them, then feeds the rule key by key in (time, arrival) order.
+
+    A group is a bucket of keys: a call of the state store costs as much as many events, so the events that wait and the
+    memories of a bucket are read and written as a whole. Arriving events are only appended.
+    """
 
-    def __init__(self, rule, keys: tuple[str, ...]):
+    def __init__(self, rule):
         self.rule = rule
-        self.keys = keys
-        self.out = Row(*keys, *[f.split()[0] for f in rule.output_schema.split(", ")])
+        self.names = ["key_text", *[f.split()[0] for f in rule.output_schema.split(", ")]]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us bigint, seq bigint, kind int")
-        self.memory = handle.getValueState("memory", self.rule.memory_schema)
+        self.waiting = handle.getListState("waiting", "events binary")
+        self.memory = handle.getValueState("memory", "memories binary")
+        self.taken: dict = {}  # bucket -> the time up to which this task has taken its events
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         earliest = None
-        chunk = []
-        for row in rows:
-            chunk.append((row.us, row.seq, row.kind))
-            earliest = row.us if earliest is None else min(earliest, row.us)
-            if len(chunk) == _CHUNK:
-                self.waiting.appendList(chunk)
-                chunk = []
-        if chunk:
-            self.waiting.appendList(chunk)
+        for part in rows:
+            seq = [None if n is None else int(n) for n in part["seq"]]
+            events = list(zip(part["key_text"], part["us"].tolist(), seq, part["kind"].tolist()))
+            self._wait(events)
+            first = int(part["us"].min())
+            earliest = first if earliest is None else min(earliest, first)
         if earliest is not None:
             self._wake_after(earliest)
         return iter(())
 
+    def _wait(self, events: list[tuple]) -> None:
+        for low in range(0, len(events), _CHUNK):
+            self.waiting.appendValue((pickle.dumps(events[low : low + _CHUNK]),))
+
     def _wake_after(self, us: int) -> None:
         """One timer for the next event is enough: when it fires, everything the watermark has passed is taken."""
         self.handle.registerTimer(us // 1000 + 1)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) * 1000
-        by_side = getattr(self.rule, "side_first", False)
-        events = sorted((tuple(e) for e in self.waiting.get()), key=lambda e: (e[0], e[2], e[1]) if by_side else e)
-        ready = [e for e in events if e[0] < passed]
-        memory = tuple(self.memory.get()) if self.memory.exists() else None
-        before, out = memory, []
-        for event in ready:
-            memory, made = self._expired(memory, event[0])
-            out += made
-            memory, made = self.rule.step(memory, Event(*event))
-            out += made
-        memory, made = self._expired(memory, passed)
-        out += made
+        if self.taken.get(key, passed - 1) >= passed:
+            return
+        self.taken[key] = passed
+        ready, rest = defaultdict(list), []
+        for (chunk,) in self.waiting.get():
+            for event in pickle.loads(chunk):
+                if event[1] < passed:
+                    ready[event[0]].append(event[1:])
+                else:
+                    rest.append(event)
+        before = pickle.loads(self.memory.get()[0]) if self.memory.exists() else {}
+        memories, out, order = {}, [], self._by_side if getattr(self.rule, "side_first", False) else None
+        for one in [*ready, *(k for k in before if k not in ready)]:
+            memory = before.get(one)
+            for event in sorted(ready.get(one, ()), key=order):
+                memory, made = self._expired(memory, event[0])
+                out += [(one, *values) for values in made]
+                memory, made = self.rule.step(memory, Event(*event))
+                out += [(one, *values) for values in made]
+            memory, made = self._expired(memory, passed)
+            out += [(one, *values) for values in made]
+            if memory is not None:
+                memories[one] = memory
         if ready:
-            if len(ready) < len(events):
-                self.waiting.put(events[len(ready) :])
+            self.waiting.clear()
+            self._wait(rest)
+        if memories != before:
+            if memories:
+                self.memory.update((pickle.dumps(memories),))
             else:
-                self.waiting.clear()
-        if len(ready) < len(events):
-            self._wake_after(events[len(ready)][0])
-        if memory != before:
-            if memory is None:
                 self.memory.clear()
-            else:
-                self.memory.update(memory)
-        if memory is not None and self.rule.deadline(memory) is not None:
-            self._wake_after(self.rule.deadline(memory))
-        for values in out:
-            yield self.out(*key, *values)
+        deadlines = (self.rule.deadline(memory) for memory in memories.values())
+        wake = min((us for us in (*(event[1] for event in rest), *deadlines) if us is not None), default=None)
+        if wake is not None:
+            self._wake_after(wake)
+        if out:
+            yield pd.DataFrame(out, columns=self.names, dtype=object)
+
+    @staticmethod
+    def _by_side(event):
+        return event[0], event[2], event[1]
 
     def _expired(self, memory, now: int):
         out = []
@@ -217,23 +244,34 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
 
-def apply_rule(events: DataFrame, keys: tuple[str, ...], ts: str, seq: str, kind, rule) -> DataFrame:
+def apply_rule(
+    events: DataFrame, keys: tuple[str, ...], ts: str, seq: str, kind, rule, buckets: int = BUCKETS
+) -> DataFrame:
     """Run a rule per key over a watermarked stream; time columns of the result are timestamps.
 
-    Events without a time have no place in the order and are left out.
+    Keys are dealt over ``buckets`` groups; a stream keeps the number it was started with. A batch reads and writes the state
+    of the buckets that it touches. Events without a time have no place in the order and are left out.
     """
     events = filter_rows(events, None, ts)
-    types = {f.name: f.dataType.simpleString() for f in events.schema.fields}
-    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + [rule.output_schema])
+    fields = ", ".join(f"`{k}` {events.schema[k].dataType.simpleString()}" for k in keys)
+    # Keys and arrival numbers go through Python as text, which has every NULL and every digit.
     slim = events.select(
-        *keys, ts, micros(ts).alias("us"), F.col(seq).cast("bigint").alias("seq"), kind.cast("int").alias("kind")
+        F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"),
+        F.to_json(F.struct(*keys), _EXACT).alias("key_text"),
+        ts,
+        micros(ts).alias("us"),
+        F.col(seq).cast("bigint").cast("string").alias("seq"),
+        F.coalesce(kind.cast("int"), F.lit(OTHER)).alias("kind"),
     )
-    found = slim.groupBy(*keys).transformWithState(OrderedProcessor(rule, keys), schema, "Append", "EventTime")
-    return found.select(
+    schema = f"key_text string, {rule.output_schema}"
+    found = slim.groupBy("_bucket").transformWithStateInPandas(OrderedProcessor(rule), schema, "Append", "EventTime")
+    made = [c for c in found.columns if c != "key_text"]
+    return found.withColumn("key_text", F.from_json("key_text", fields, _EXACT)).select(
+        *[F.col("key_text")[k].alias(k) for k in keys],
         *[
             F.timestamp_micros(c).alias(c.removesuffix("_us") + "_ts") if c.endswith("_us") else F.col(c)
-            for c in found.columns
-        ]
+            for c in made
+        ],
     )
 
 
@@ -309,7 +347,7 @@ def life_cycle(
     """
     kept = None if remember is None else span_micros(remember)
     rule = LifeCycleRule(span_micros(within), span_micros(hold), kept)
-    found = apply_rule(events, tuple(keys), ts, seq, _order_kind(create, pay), rule)
+    found = apply_rule(filter_rows(events, create | pay, ts), tuple(keys), ts, seq, _order_kind(create, pay), rule)
     return found.withColumn("result_msg", orders.lifecycle_text("channel"))
 
 

@@ -396,3 +396,25 @@ def test_rows_without_time_or_visitor(replay, spark):
     alike = batch.withColumn("visitor", F.when(F.col("seq") % 5 == 0, None).otherwise(F.col("key")))
     expected = visitors.unique_visitors(alike, "visitor", "ts", "60 seconds")
     assert sorted(map(tuple, on_stream.select("window_end", "cnt").collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_orders_share_the_state_of_their_bucket(spark, tmp_path):
+    """Many orders are few groups of the state store; keys keep NULLs, quotes, microseconds and numbers beyond 2 ** 53."""
+    keys = [(None, "a", 0), (2**62 + 1, 'say "b"', 1), (2**62 + 2, None, 2), (7, "\\ü", 3)] + [(n, "", 0) for n in range(100, 600)]
+    rows = [(k, name, 1_000_000 + us, us, kind, 0) for k, name, us in keys for kind in (rules.FIRST, rules.SECOND)]
+    rows = [(*r[:2], r[2] + (r[4] == rules.SECOND) * 1_000_000, r[3], r[4], i) for i, r in enumerate(rows)]
+    schema = "id bigint, name string, t bigint, n bigint, kind int, seq bigint"
+    late = [(-1, "", 10**15, 0, rules.OTHER, -1)]
+    for place, part in enumerate((rows[: len(rows) // 2], rows[len(rows) // 2 :], late)):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={place}")
+    source = spark.readStream.schema(f"{schema}, part int").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    stream = streams.watermarked(source.withColumn("ts", F.timestamp_micros("t")).withColumn("day", F.timestamp_micros("n")), "1 hour")
+    rule = rules.LifeCycleRule(60_000_000, 60_000_000, None)
+    found = rules.apply_rule(stream, ("id", "name", "day"), "ts", "seq", F.col("kind"), rule, buckets=4)
+    query = streams.run(found, sinks.log_writer(f"{tmp_path}/out"), f"{tmp_path}/checkpoint", "append", once=True)
+    query.awaitTermination()
+    made = sinks.read_log(spark, f"{tmp_path}/out")
+    got = [(r.id, r.name, r.n, r.channel) for r in made.withColumn("n", F.unix_micros("day")).collect()]
+    assert sorted(got, key=str) == sorted([(*k, "payed") for k in keys], key=str)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held and max(held) <= 40
