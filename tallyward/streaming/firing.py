@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tallyward.streaming.jobs import run
 
 _PART = "day_number"
 _DAY = 86_400_000_000
+_WHOLE = ("byte", "short", "integer", "long", "boolean")
 
 
 def day_of(us: Column) -> Column:
@@ -113,12 +115,36 @@ def window_rows(
     windows = F.window(ts, span_text(size), span_text(slide if slide is not None else size))
     held = filter_rows(df, None, ts).groupBy(*keys, windows.alias("_window")).agg(rows)
     columns = df.columns
+    # A column of whole numbers with NULLs reaches pandas as fractions; these go as numbers and marks.
+    whole = [f.name for f in df.schema.fields if f.nullable and f.dataType.typeName() in _WHOLE]
+
+    def frame(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0].reset_index(drop=True)
+        for place, name in enumerate(whole):
+            empty = rows[f"_null{place}"]
+            if empty.any():
+                known = rows[name].astype(object if rows[name].dtype == bool else float)
+                rows[name] = None if empty.all() else known.where(~empty, None)
+        return rows[[*columns, "window_start", "window_end"]]
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: list[pd.DataFrame] = []
         for batch in batches:
-            for start, end, held_rows in zip(batch["window_start"], batch["window_end"], batch["_rows"]):
-                frame = pd.DataFrame([tuple(r[c] for c in columns) for r in held_rows], columns=columns)
-                yield function(frame.assign(window_start=start, window_end=end))
-
-    slim = held.select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "_rows")
-    return slim.mapInPandas(call, schema)
+            cuts = np.flatnonzero(batch["_place"].to_numpy() == 0)
+            for low, high in zip(np.r_[0, cuts], np.r_[cuts, len(batch)]):
+                if parts and low < len(batch) and batch["_place"].iat[low] == 0:
+                    yield function(frame(parts))
+                    parts = []
+                if low < high:
+                    parts.append(batch.iloc[low:high])
+        if parts:
+            yield function(frame(parts))
+
+    # The rows of a window follow one another, so Python holds one window and one batch of rows at a time.
+    flat = held.select(
+        F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), F.posexplode("_rows").alias("_place", "_row")
+    )
+    zeros = {name: F.lit(0).cast(df.schema[name].dataType) for name in whole}
+    values = [F.coalesce(F.col("_row")[c], zeros[c]).alias(c) if c in zeros else F.col("_row")[c].alias(c) for c in columns]
+    marks = [F.col("_row")[name].isNull().alias(f"_null{place}") for place, name in enumerate(whole)]
+    return flat.select("window_start", "window_end", "_place", *values, *marks).mapInPandas(call, schema)

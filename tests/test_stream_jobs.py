@@ -153,6 +153,25 @@ def test_whole_windows(replay, spark, slide):
     assert sorted(map(tuple, replay.run(found(stream)).drop("batch_id").collect())) == expected
 
 
+def test_windows_reach_python_row_by_row(spark):
+    """Windows longer and shorter than a batch; numbers keep their digits beside another window's NULLs."""
+    rows = [(key, 10 + n, None if key == 2 else 2**60 + n, None if key == 2 and n else True) for key in (1, 2, 3) for n in range(25 * key)]
+    table = spark.createDataFrame(rows, "key bigint, t bigint, n bigint, good boolean").withColumn("ts", F.timestamp_seconds("t"))
+
+    def told(rows: pd.DataFrame) -> pd.DataFrame:
+        numbers = [] if rows["n"].isna().any() else rows["n"].tolist()
+        good = sum(x is True or x == 1 for x in rows["good"].tolist())
+        return pd.DataFrame({"key": [rows["key"].iat[0]], "size": [len(rows)], "least": [str(min(numbers, default=""))], "good": [good]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        made = firing.window_rows(table, ["key"], "ts", "600 seconds", told, "key bigint, size bigint, least string, good bigint").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(map(tuple, made)) == [(1, 25, str(2**60), 25), (2, 50, "", 1), (3, 75, str(2**60), 75)]
+
+
 def state_rows(spark, folder, name):
     reader = spark.read.format("statestore").option("path", f"{folder}/checkpoint").option("stateVarName", name)
     return reader.load().count()
