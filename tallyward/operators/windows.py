@@ -23,6 +23,9 @@ from tallyward.functions.timing import (
 # A slice of a sliding count covers this many window lengths of one key's timeline.
 _WINDOWS_PER_SLICE = 24
 
+# A task that counts or ranks gets about so many (row, window) pairs, of which a row of a long window counts at most _PAIRS.
+_PAIRS_PER_TASK, _PAIRS = 4_000_000, 8
+
 # With up to this many windows per row it is cheaper to copy the rows (one shuffle less).
 _COPY_UP_TO = 4
 
@@ -35,10 +38,12 @@ def windowed_counts(
     slide: Span | None = None,
     where: Column | None = None,
     early: bool = False,
+    pairs_per_task: int = _PAIRS_PER_TASK,
 ) -> DataFrame:
     """Rows per (key, window), non-empty windows only: ``keys, window_start, window_end, cnt``.
 
-    ``early`` is for streams in update mode, which report a window before it is final.
+    ``early`` is for streams in update mode, which report a window before it is final. Large tables with sliding windows
+    are dealt over more tasks than the session's number, so that a task has some ``pairs_per_task`` (row, window) pairs.
     """
     keys, size_us = list(keys), span_micros(size)
     slide_us = span_micros(slide) if slide is not None else size_us
@@ -50,10 +55,21 @@ def windowed_counts(
         counted = df.groupBy(*keys, end.alias("_end")).agg(F.count("*").alias("cnt"))
     else:
         spans = _spans(df, keys, ts, size_us, slide_us)
-        counted = span_counts(spans, keys, "_first", "_last", size_us, slide_us)
+        parts = _more_parts(spans, size_us, slide_us, pairs_per_task)
+        counted = span_counts(spans, keys, "_first", "_last", size_us, slide_us, parts=parts)
     return with_bounds(counted, size_us)
 
 
+def _more_parts(spans: DataFrame, size_us: int, slide_us: int, pairs_per_task: int) -> int | None:
+    """The number of tasks for a table that is too large for the session's number, else None."""
+    parts = math.ceil(spans.count() * min(math.ceil(size_us / slide_us), _PAIRS) / pairs_per_task)
+    return parts if parts > int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _dealt(df: DataFrame, parts: int | None, *by: str) -> DataFrame:
+    return df.repartition(parts, *by) if parts else df
+
+
 def _stream_counts(df, keys, ts, size_us, slide_us, early) -> DataFrame:
     size, slide = span_text(size_us), span_text(slide_us)
     if early or size_us <= _COPY_UP_TO * slide_us or size_us % slide_us:
@@ -99,28 +115,42 @@ def with_bounds(counted: DataFrame, size_us: int) -> DataFrame:
 
 
 def span_counts(
-    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int, weight: str | None = None
+    spans: DataFrame,
+    keys: Sequence[str],
+    first: str,
+    last: str,
+    size_us: int,
+    slide_us: int,
+    weight: str | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """How many rows cover each window end (``_end``), for rows covering the ends ``first .. last``.
 
-    With ``weight`` a row stands for so many.
+    With ``weight`` a row stands for so many, with ``parts`` the shuffles go to so many tasks.
     """
     keys, slide = list(keys), F.lit(slide_us)
     if size_us <= _COPY_UP_TO * slide_us:
         ends = F.explode(F.sequence(F.col(first), F.col(last), slide)).alias("_end")
-        copies = spans.select(*keys, *([weight] if weight else []), ends)
+        copies = _dealt(spans.select(*keys, *([weight] if weight else []), ends), parts, *keys, "_end")
         return copies.groupBy(*keys, "_end").agg((F.sum(weight) if weight else F.count("*")).alias("cnt"))
-    plateaus = span_plateaus(spans, keys, first, last, size_us, slide_us, weight)
+    plateaus = span_plateaus(spans, keys, first, last, size_us, slide_us, weight, parts)
     ends = F.sequence(F.col("_at"), F.col("_until") - slide, slide)
     return plateaus.select(*keys, F.explode(ends).alias("_end"), "cnt")
 
 
 def span_plateaus(
-    spans: DataFrame, keys: Sequence[str], first: str, last: str, size_us: int, slide_us: int, weight: str | None = None
+    spans: DataFrame,
+    keys: Sequence[str],
+    first: str,
+    last: str,
+    size_us: int,
+    slide_us: int,
+    weight: str | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Runs of window ends ``_at`` (inclusive) to ``_until`` (exclusive) that are covered by the same ``cnt`` rows.
 
-    With ``weight`` a row stands for so many.
+    With ``weight`` a row stands for so many, with ``parts`` the shuffles go to so many tasks.
 
     A row covers up to size / slide windows (720 for an hour every five seconds). Instead of copying
     rows, equal spans are counted first (map-side), each span becomes one +n and one -n step, and a
@@ -135,13 +165,13 @@ def span_plateaus(
     def slice_of(end: Column) -> Column:
         return floor_to(end - F.lit(offset), slice_us) + F.lit(offset)
 
-    cells = spans.groupBy(*keys, first, last).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
+    cells = _dealt(spans, parts, *keys, first, last).groupBy(*keys, first, last).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     slices = F.sequence(slice_of(F.col(first)), slice_of(F.col(last)), F.lit(slice_us))
     sliced = cells.select(*keys, first, last, "_n", F.explode(slices).alias("_slice"))
     slice_end = F.col("_slice") + F.lit(slice_us)
     up = F.struct(F.greatest(F.col(first), F.col("_slice")).alias("_at"), F.col("_n").alias("_step"))
     down = F.struct(F.least(F.col(last) + F.lit(slide_us), slice_end).alias("_at"), (-F.col("_n")).alias("_step"))
-    steps = sliced.select(*keys, "_slice", F.inline(F.array(up, down)))
+    steps = _dealt(sliced.select(*keys, "_slice", F.inline(F.array(up, down))), parts, *keys, "_slice")
     timeline = Window.partitionBy(*keys, "_slice").orderBy("_at")
     return steps.select(
         *keys,

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import lateness
+from tallyward.operators import lateness, windows
 from tallyward.streaming import rankings, store
 
 COLUMNS = "url string, t bigint, seq bigint, method string"
@@ -171,3 +171,12 @@ def test_rows_without_number_or_time(spark, tmp_path):
     assert ranks_of(found) == ranked
     channels = {r.url: r.channel for r in found.side_rows().filter("url in ('/x', '/z')").collect()}
     assert channels == {"/x": lateness.UNNUMBERED, "/z": lateness.UNNUMBERED}
+
+
+def test_large_tables_are_dealt_over_more_tasks(spark):
+    rows = [(key, n * 60) for key in range(40) for n in range(0, 50, 1 + key % 3)]
+    df = spark.createDataFrame(rows, "key bigint, t bigint").withColumn("ts", F.timestamp_seconds("t"))
+    few = windows.windowed_counts(df, ["key"], "ts", "10 minutes", "1 minute")
+    many = windows.windowed_counts(df, ["key"], "ts", "10 minutes", "1 minute", pairs_per_task=500)
+    assert many.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
