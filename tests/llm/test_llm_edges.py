@@ -117,6 +117,22 @@ def test_toxicity_learns_a_word(spark):
     assert right.agg(F.avg("ok")).first()[0] > 0.95
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A rare word of very long texts and of few rows among many, in several groups; thresholds of all kept-back rows."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(1_200):
+        toxic = i % 40 == 0
+        words = [rnd.choice(["sun", "rain", "wind", "snow", "fog"]) for _ in range(14_000 if toxic else 20)]
+        words[3] = "zzbad" if toxic else words[3]
+        rows.append((i, " ".join(words), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = toxicity.toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic"), group_words=100_000)
+    again = {r.doc_id: r.score for r in found.collect()}
+    least = min(again[i] for i, _, toxic in rows if toxic)
+    assert least > max(again[i] for i, _, toxic in rows if not toxic)
+
+
 def test_personal_spans(docs, nothing):
     rows = by_id(pii.digests(pii.personal_spans(docs)))
     for d, text in TEXTS:
